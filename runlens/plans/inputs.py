@@ -14,13 +14,22 @@ from runlens.operators.rollup import run_rollup
 from runlens.schemas import CONFIDENCE, DECISION
 
 
+# the columns the roll-up reads; a fixed schema spares the footer scan that inference needs
+RAW = {
+    "lineitem": "l_suppkey bigint, l_linenumber int, l_quantity double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(RAW[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("lineitem", "supplier", "nation", "region")
-    return run_rollup(*[table(spark, sf_dir, name) for name in names])
+    return run_rollup(*[table(spark, sf_dir, name) for name in RAW])
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,9 +70,9 @@ def broken_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("WATCH").alias("decision"),
         F.lit(0.5).alias("confidence"),
     )
-    null_rows = spark.createDataFrame(
-        [("null_label", None, 0.5), (None, "WATCH", 0.5)],
-        "run_id string, decision string, confidence double",
+    null_rows = spark.sql(
+        "SELECT * FROM VALUES ('null_label', NULL, 0.5D), (NULL, 'WATCH', 0.5D) "
+        "AS t(run_id, decision, confidence)"
     )
     return copied.unionByName(ghosts).unionByName(null_rows)
 
