@@ -7,21 +7,29 @@ from runlens.functions.numeric import ratio
 from runlens.schemas import FRESHNESS_BANDS
 
 
+def ratios() -> dict[str, tuple[Column, Column]]:
+    """Numerator and denominator of the three ratio metrics."""
+    expected, planned = F.col("expected_rows"), F.col("expected_duration_seconds")
+    return {
+        "failure_rate": (F.col("failed_rows"), expected),
+        "row_count_variance": (F.col("actual_rows") - expected, expected),
+        "duration_variance": (F.col("duration_seconds") - planned, planned),
+    }
+
+
 def failure_rate() -> Column:
     """Share of the expected rows that failed."""
-    return ratio(F.col("failed_rows"), F.col("expected_rows"))
+    return ratio(*ratios()["failure_rate"])
 
 
 def row_count_variance() -> Column:
     """Relative difference between delivered and expected rows."""
-    expected = F.col("expected_rows")
-    return ratio(F.col("actual_rows") - expected, expected)
+    return ratio(*ratios()["row_count_variance"])
 
 
 def duration_variance() -> Column:
     """Relative difference between actual and expected duration."""
-    expected = F.col("expected_duration_seconds")
-    return ratio(F.col("duration_seconds") - expected, expected)
+    return ratio(*ratios()["duration_variance"])
 
 
 def freshness_severity() -> Column:
@@ -43,11 +51,9 @@ def error_present() -> Column:
     return F.coalesce(F.col("error_message"), F.lit("")) != ""
 
 
-def metric_columns() -> list[Column]:
+def flag_columns() -> list[Column]:
+    """The three metrics that are no ratios."""
     return [
-        failure_rate().alias("failure_rate"),
-        row_count_variance().alias("row_count_variance"),
-        duration_variance().alias("duration_variance"),
         freshness_severity().alias("freshness_severity"),
         schema_drift_present().alias("schema_drift_present"),
         error_present().alias("error_present"),

@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.functions.metrics import metric_columns
 from runlens.functions.numeric import decimal_text
 from runlens.operators.contract import duplicate_runs
 from runlens.operators.measure import decision_extract, with_metrics
@@ -175,14 +174,10 @@ def reconcile(
 def recompute_diff(metrics: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     """Stored metrics that differ from metrics recomputed from the same row's facts; left is stored,
     right is recomputed. Row by row: no shuffle."""
-    both = metrics.select(
-        "run_id",
-        F.struct(*METRIC_COLUMNS).alias("stored"),
-        F.struct(*metric_columns()).alias("fresh"),
-    )
+    stored = {name: f"stored_{name}" for name in METRIC_COLUMNS}
+    both = with_metrics(metrics.withColumnsRenamed(stored))
     fields = [
-        (n, F.col("stored")[n], F.col("fresh")[n], metrics.schema[n].dataType)
-        for n in METRIC_COLUMNS
+        (n, F.col(stored[n]), F.col(n), metrics.schema[n].dataType) for n in METRIC_COLUMNS
     ]
     return _differences(both, fields, tolerance, F.lit(True), [])
 

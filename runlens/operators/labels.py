@@ -22,41 +22,46 @@ def _level(source: Column, levels: dict[str, int], otherwise: int) -> Column:
     return level.otherwise(otherwise)
 
 
-def policy_columns(undisclosed: Column | None = None) -> tuple[Column, Column]:
-    """Decision and confidence of the native policy, as expressions over the extract columns.
+def _decide(df: DataFrame, undisclosed: Column | None) -> DataFrame:
+    """Add decision and confidence of the native policy to rows that have the extract columns.
 
     The label is the worse of the freshness level and the status level; unknown values count as
     worst. Confidence is the share of four signals (freshness, status, failure rate, drift) that sit
     at the chosen level, or null where ``undisclosed`` holds.
     """
-    freshness = _level(F.col("freshness_severity"), {"ON_TIME": 0, "MINOR": 1, "MAJOR": 2}, 3)
-    status = _level(F.col("status"), {"healthy": 0, "degraded": 1}, 3)
     rate = F.col("failure_rate")
-    failures = F.when(rate < 0.01, 0).when(rate < 0.03, 1).when(rate < 0.2, 2).otherwise(3)
-    drift = F.when(F.col("schema_drift") == "none", 0).otherwise(2)
-    level = F.greatest(freshness, status)
-    decision = F.element_at(F.array(*[F.lit(name) for name in LABELS]), level + 1)
-    agreeing = sum(((signal == level).cast("int") for signal in (status, failures, drift)),
-                   (freshness == level).cast("int"))
-    confidence = agreeing.cast("double") / 4
+    levels = {
+        "__freshness": _level(
+            F.col("freshness_severity"), {"ON_TIME": 0, "MINOR": 1, "MAJOR": 2}, 3
+        ),
+        "__status": _level(F.col("status"), {"healthy": 0, "degraded": 1}, 3),
+        "__failures": F.when(rate < 0.01, 0).when(rate < 0.03, 1).when(rate < 0.2, 2).otherwise(3),
+        "__drift": F.when(F.col("schema_drift") == "none", 0).otherwise(2),
+    }
+    # as columns of their own, the levels are computed once and the generated code stays small
+    leveled = df.withColumns(levels).withColumn("__level", F.greatest("__freshness", "__status"))
+    agreeing = sum((F.when(F.col(n) == F.col("__level"), 1.0).otherwise(0.0) for n in levels), F.lit(0.0))
+    confidence = agreeing / 4
     if undisclosed is not None:
-        confidence = F.when(undisclosed, F.lit(None).cast("double")).otherwise(confidence)
-    return decision, confidence
+        confidence = F.when(~undisclosed, confidence)
+    return leveled.select(
+        *df.columns,
+        F.element_at(F.array(*[F.lit(name) for name in LABELS]), F.col("__level") + 1).alias(DECISION),
+        confidence.alias(CONFIDENCE),
+    )
 
 
 def policy_labels(extract: DataFrame, undisclosed: Column | None = None) -> DataFrame:
-    """Labels by the native policy: a projection, no shuffle and no Python worker."""
-    decision, confidence = policy_columns(undisclosed)
-    return extract.select(
-        "run_id", decision.alias("decision"), confidence.alias("confidence")
+    """Labels by the native policy: projections only, no shuffle and no Python worker."""
+    return _decide(extract, undisclosed).select(
+        "run_id", F.col(DECISION).alias("decision"), F.col(CONFIDENCE).alias("confidence")
     )
 
 
 def with_policy(metrics: DataFrame, undisclosed: Column | None = None) -> DataFrame:
     """The final table under the native policy. A policy label is a function of its own row, so the
     one-to-one contract holds by construction and no join is needed."""
-    decision, confidence = policy_columns(undisclosed)
-    return metrics.select("*", decision.alias(DECISION), confidence.alias(CONFIDENCE))
+    return _decide(metrics, undisclosed)
 
 
 def recorded_labels(decisions: DataFrame) -> DataFrame:

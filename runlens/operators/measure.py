@@ -2,13 +2,14 @@
 
 from pyspark.sql import DataFrame
 
-from runlens.functions.metrics import metric_columns
+from runlens.functions.metrics import flag_columns, ratios
+from runlens.functions.numeric import with_ratios
 from runlens.schemas import EXTRACT_COLUMNS, RECORD_COLUMNS
 
 
 def with_metrics(runs: DataFrame) -> DataFrame:
-    """All source columns followed by the six metric columns; one projection, no Python worker."""
-    return runs.select("*", *metric_columns())
+    """All source columns followed by the six metric columns; no shuffle and no Python worker."""
+    return with_ratios(runs, ratios()).select("*", *flag_columns())
 
 
 def decision_extract(metrics: DataFrame) -> DataFrame:

@@ -7,16 +7,6 @@ from runlens.functions.text import midnight_iso, run_key
 from runlens.schemas import RUNS
 
 
-def pipeline_dimension(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """(s_suppkey, s_name, r_name). Nation and region are fixed small tables; no join is hinted, so
-    each is broadcast only while its scanned size is under the session's threshold."""
-    return (
-        supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "s_name", "r_name")
-    )
-
-
 def line_facts(lineitem: DataFrame) -> DataFrame:
     """Order lines summed per (supplier key, month) before any join.
 
@@ -41,12 +31,20 @@ def line_facts(lineitem: DataFrame) -> DataFrame:
 def run_rollup(
     lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame
 ) -> DataFrame:
-    """Runs under the 13-column contract. The second grouping merges suppliers that share a name,
-    so that run_id stays unique; it moves pre-summed rows only."""
-    facts = line_facts(lineitem).join(
-        pipeline_dimension(supplier, nation, region), F.col("l_suppkey") == F.col("s_suppkey")
+    """Runs under the 13-column contract.
+
+    No join is hinted: nation and region are fixed small tables, and supplier is broadcast only while
+    its scanned size is under the session's threshold. They are joined one by one because the size of
+    a join is estimated as a product, which would hide that they are small. The second grouping
+    merges suppliers that share a name, so that run_id stays unique; it moves pre-summed rows only.
+    """
+    placed = (
+        line_facts(lineitem)
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    merged = facts.groupBy("s_name", "r_name", "month").agg(
+    merged = placed.groupBy("s_name", "r_name", "month").agg(
         *[
             F.sum(c).alias(c)
             for c in ("lines", "expected_rows", "actual_rows", "failed_rows", "line_numbers")

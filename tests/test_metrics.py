@@ -1,0 +1,130 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from runlens.functions import metrics as m
+from runlens.functions.numeric import fixed_text, half_up, mean_of_metric, round_exact
+from runlens.operators.labels import policy_labels, with_policy
+from runlens.operators.measure import decision_extract, metric_record, with_metrics
+from runlens.schemas import EXTRACT_COLUMNS, METRIC_COLUMNS, RECORD_COLUMNS, RUNS
+from samples import LABELLED, SAMPLE, run, runs_frame
+
+
+def metrics_of(spark, **changes):
+    return with_metrics(runs_frame(spark, [run(**changes)])).first()
+
+
+def plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_sample_values(spark):
+    rows = with_metrics(runs_frame(spark, SAMPLE)).collect()
+    got = [(r.failure_rate, r.row_count_variance, r.duration_variance) for r in rows[:5]]
+    assert got == [
+        (0.000342, -0.003208, -0.084112),
+        (0.029325, -0.054425, 0.392523),
+        (0.019433, -0.026758, 0.607477),
+        (0.719883, -0.657875, 0.196262),
+        (0.000362, -0.004441, 0.095344),
+    ]
+    assert [r.freshness_severity for r in rows] == [
+        "ON_TIME", "MAJOR", "MINOR", "SEVERE", "ON_TIME", "ON_TIME", "MAJOR", "SEVERE"]
+    assert [r.schema_drift_present for r in rows] == [False] * 3 + [True] + [False] * 3 + [True]
+    assert [r.error_present for r in rows] == [False] * 3 + [True] + [False] * 3 + [True]
+
+
+def test_policy_agrees_with_the_recorded_labels(spark):
+    final = with_policy(with_metrics(runs_frame(spark, SAMPLE))).orderBy("run_id")
+    assert [r.label_decision for r in final.collect()] == LABELLED
+
+
+def test_rounding_is_that_of_the_binary_value(spark):
+    rnd = random.Random(11)
+    pairs = [(580, 1600000), (-580, 1600000), (-1, 10**9), (10**14 + 1, 3)]
+    pairs += [(k, 128) for k in range(-200, 200)]
+    pairs += [(2 * k + 1, 2000000) for k in range(-2000, 2000)]
+    pairs += [(rnd.randrange(-(10**9), 10**12), rnd.randrange(1, 10**7)) for _ in range(5000)]
+    rows = spark.createDataFrame(pairs, "a long, b long").select(
+        "a", "b", round_exact(F.col("a") / F.col("b")).alias("r")
+    ).collect()
+    assert [r.r for r in rows] == [round(a / b, 6) for a, b in pairs]
+    assert not any(str(r.r) == "-0.0" for r in rows)
+
+
+def test_single_columns_equal_the_staged_projection(spark, sf_dir):
+    from runlens.plans import inputs
+
+    metrics = inputs.metrics(spark, sf_dir)
+    single = metrics.select("*", *[getattr(m, c)().alias(f"one_{c}") for c in METRIC_COLUMNS])
+    different = " OR ".join(f"NOT ({c} <=> one_{c})" for c in METRIC_COLUMNS)
+    assert single.where(different).count() == 0
+
+
+@pytest.mark.parametrize("empty", [0, None])
+def test_empty_denominator_gives_zero(spark, empty):
+    row = metrics_of(spark, expected_rows=empty, expected_duration_seconds=empty)
+    assert (row.failure_rate, row.row_count_variance, row.duration_variance) == (0.0, 0.0, 0.0)
+
+
+def test_null_numerator_gives_null(spark):
+    row = metrics_of(spark, failed_rows=None, actual_rows=None, duration_seconds=None)
+    assert (row.failure_rate, row.row_count_variance, row.duration_variance) == (None, None, None)
+
+
+@pytest.mark.parametrize("delay, band", [
+    (-3, "ON_TIME"), (0, "ON_TIME"), (15, "ON_TIME"), (16, "MINOR"), (60, "MINOR"), (61, "MAJOR"),
+    (240, "MAJOR"), (241, "SEVERE"), (1440, "SEVERE"), (None, None)])
+def test_freshness_bands(spark, delay, band):
+    assert metrics_of(spark, freshness_delay_minutes=delay).freshness_severity == band
+
+
+@pytest.mark.parametrize("drift, present", [
+    (None, False), ("", False), ("none", False), ("None", True), ("column_added", True)])
+def test_drift_flag(spark, drift, present):
+    assert metrics_of(spark, schema_drift=drift).schema_drift_present is present
+
+
+@pytest.mark.parametrize("error, present", [(None, False), ("", False), (" ", True), ("x", True)])
+def test_error_flag(spark, error, present):
+    assert metrics_of(spark, error_message=error).error_present is present
+
+
+def test_shapes(spark):
+    metrics = with_metrics(runs_frame(spark, [run()]))
+    assert metrics.columns == RUNS.fieldNames() + METRIC_COLUMNS
+    assert decision_extract(metrics).columns == EXTRACT_COLUMNS and len(EXTRACT_COLUMNS) == 10
+    assert metric_record(metrics).columns == RECORD_COLUMNS and len(RECORD_COLUMNS) == 11
+
+
+def test_half_up_and_fixed_text(spark):
+    values = [1.005, 0.125, 2.5, 0.0, 0.615, -0.125, 1.0]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select(
+        half_up(F.col("x"), 2).alias("h"), fixed_text(F.col("x"), 2).alias("t")).collect()
+    assert [r.h for r in rows] == [1.0, 0.13, 2.5, 0.0, 0.62, -0.12, 1.0]
+    assert [r.t for r in rows] == ["1.00", "0.13", "2.50", "0.00", "0.61", "-0.13", "1.00"]
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 17])
+def test_mean_does_not_depend_on_partitioning(spark, sf_dir, partitions):
+    from runlens.plans import inputs
+
+    df = inputs.metrics(spark, sf_dir).repartition(partitions)
+    means = [r.m for r in df.groupBy("domain").agg(
+        mean_of_metric(F.col("failure_rate")).alias("m")).orderBy("domain").collect()]
+    whole = inputs.metrics(spark, sf_dir).coalesce(1).groupBy("domain").agg(
+        mean_of_metric(F.col("failure_rate")).alias("m")).orderBy("domain")
+    assert means == [r.m for r in whole.collect()]
+
+
+def test_metrics_and_policy_run_in_one_generated_stage_without_python(spark, sf_dir, tmp_path):
+    from runlens.plans import inputs
+    from runlens.sources.staging import stage
+
+    runs = stage(inputs.runs(spark, sf_dir), "plan-runs")
+    text = plan(with_policy(with_metrics(runs)))
+    assert "Python" not in text and "Exchange" not in text
+    narrow = plan(policy_labels(decision_extract(with_metrics(runs))))
+    scanned = next(line for line in narrow.splitlines() if "ReadSchema" in line)
+    assert "pipeline_name" not in scanned and "error_message" not in scanned
