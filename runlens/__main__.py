@@ -27,13 +27,16 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(argument)
         return sub
 
-    add("measure", "runs", "table", "extract").add_argument("--format", default="parquet")
+    measure = add("measure", "runs", "table", "extract")
+    measure.add_argument("--format", default="parquet")
+    measure.add_argument("--quarantine", help="folder for rejected runs; default is to fail")
     label = add("label", "extract", "decisions", "meta")
     label.add_argument("--version", default="v1")
     label.add_argument("--generated-at", required=True)
     final = add("final", "metrics", "decisions", "table", "csv")
     final.add_argument("--format", default="parquet")
     final.add_argument("--json-array", action="store_true")
+    final.add_argument("--quarantine", help="folder for violations; default is to fail")
     add("dashboard", "final_csv", "out")
     report = add("report", "table")
     report.add_argument("name", choices=REPORTS)
@@ -46,14 +49,14 @@ def main(argv: list[str] | None = None) -> None:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"runlens-{a.job}").getOrCreate()
     if a.job == "measure":
-        rows = jobs.measure_job(spark, a.runs, a.table, a.extract, a.format)
+        rows = jobs.measure_job(spark, a.runs, a.table, a.extract, a.format, a.quarantine)
     elif a.job == "label":
         rows = jobs.label_job(
             spark, a.extract, a.decisions, a.meta, "policy", a.version, a.generated_at
         )
     elif a.job == "final":
         rows = jobs.final_job(
-            spark, a.metrics, a.decisions, a.table, a.csv, a.format, a.json_array
+            spark, a.metrics, a.decisions, a.table, a.csv, a.format, a.json_array, a.quarantine
         )
     elif a.job == "dashboard":
         rows = jobs.dashboard_job(spark, a.final_csv, a.out)

@@ -46,3 +46,21 @@ def canonical_text(df: DataFrame, columns: list[str], decimals: int = METRIC_DEC
         return F.coalesce(text, F.lit("\u001e"))
 
     return F.concat_ws("\u001f", *[field(c) for c in columns])
+
+
+def python_text(df: DataFrame) -> DataFrame:
+    """Booleans and doubles as Python prints them (True, 7.1e-05), for consumers of the CSV that
+    parse it as text. Doubles must be below 1e16."""
+
+    def field(f: T.StructField) -> Column:
+        value = F.col(f.name)
+        if isinstance(f.dataType, T.BooleanType):
+            value = F.initcap(value.cast("string"))
+        elif isinstance(f.dataType, T.DoubleType):
+            plain = F.call_function("format_number", value, F.lit("0.0" + "#" * 17))
+            short = F.call_function("format_number", value, F.lit("0." + "#" * 17 + "E00"))
+            tiny = (F.abs(value) < 1e-4) & (value != 0)
+            value = F.when(tiny, F.lower(short)).otherwise(plain)
+        return value.alias(f.name)
+
+    return df.select(*[field(f) for f in df.schema.fields])

@@ -69,6 +69,12 @@ def recorded_labels(decisions: DataFrame) -> DataFrame:
     return decisions.select(*[F.col(f.name).cast(f.dataType) for f in DECISIONS])
 
 
+def request_payload(extract: DataFrame) -> DataFrame:
+    """(run_id, payload): the extract row as JSON with nulls kept, for scorers that take text."""
+    payload = F.to_json(F.struct(*EXTRACT_COLUMNS), {"ignoreNullFields": "false"})
+    return extract.select("run_id", payload.alias("payload"))
+
+
 def scored_labels(
     extract: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame]
 ) -> DataFrame:

@@ -8,18 +8,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.operators import contract, labels, provenance
+from runlens.operators import checks, contract, labels, provenance
 from runlens.operators.measure import with_metrics
+from runlens.schemas import RUNS
 from runlens.sources import readers, writers
 
 
 def measure_job(
-    spark: SparkSession, runs_path: str, table_path: str, extract_path: str, fmt: str = "parquet"
+    spark: SparkSession,
+    runs_path: str,
+    table_path: str,
+    extract_path: str,
+    fmt: str = "parquet",
+    quarantine_path: str | None = None,
 ) -> int:
-    """Runs CSV -> metrics table and labeller input. The extract is read back from the table."""
-    runs = readers.load_runs(spark, runs_path)
-    contract.check_source_keys(runs)
-    writers.write_table(with_metrics(runs), table_path, fmt)
+    """Runs CSV -> metrics table and labeller input. The extract is read back from the table.
+
+    Repeated run ids fail the job. With ``quarantine_path``, runs that break any expectation are
+    written there with their reasons instead, and the job goes on with the others.
+    """
+    if quarantine_path is None:
+        runs = readers.load_runs(spark, runs_path)
+        contract.check_source_keys(runs)
+    else:
+        runs, rejected = checks.quarantine(readers.load_runs(spark, runs_path, keep_malformed=True))
+        writers.write_table(rejected, quarantine_path, fmt)
+    writers.write_table(with_metrics(runs.select(*RUNS.fieldNames())), table_path, fmt)
     return writers.export_extract(readers.read_table(spark, table_path, fmt), extract_path)
 
 
@@ -49,12 +63,20 @@ def final_job(
     csv_path: str,
     fmt: str = "parquet",
     json_array: bool = False,
+    quarantine_path: str | None = None,
 ) -> int:
-    """Metrics and decisions -> final table and its CSV. Refuses anything but one allowed label per
-    run. The CSV is derived from the written table."""
+    """Metrics and decisions -> final table and its CSV, derived from the written table.
+
+    Refuses anything but one allowed label per run. With ``quarantine_path``, the violations are
+    written there instead, and the runs that keep the contract go on.
+    """
     metrics = readers.read_table(spark, metrics_path, fmt)
     decisions = readers.load_decisions(spark, decisions_path, json_array)
-    final = contract.build_final(metrics, decisions)
+    if quarantine_path is None:
+        final = contract.build_final(metrics, decisions)
+    else:
+        final, violations = contract.quarantine_final(metrics, decisions)
+        writers.write_table(violations, quarantine_path, fmt)
     writers.write_table(final, table_path, fmt)
     return writers.export_final_csv(readers.read_table(spark, table_path, fmt), csv_path)
 

@@ -322,6 +322,7 @@ def oracle_sql() -> dict[str, str]:
         "runs_csv": runs + all_runs,
         "metrics_full": metrics + all_metrics,
         "metrics_table": metrics + all_metrics,
+        "catalog_table": metrics + all_metrics,
         "stream_metrics": metrics + all_metrics,
         "metric_record": metrics + f"select {', '.join(RECORD_COLUMNS)} from metrics",
         "decision_extract": metrics + f"select {_EXTRACT} from metrics",

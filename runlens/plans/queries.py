@@ -168,7 +168,7 @@ def stream_domain_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def runs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs written as CSV and scanned under the fixed schema."""
     path = staging.new_folder(spark, "runs-csv")
-    inputs.runs(spark, sf_dir).write.option("header", True).csv(path)
+    writers.write_csv(inputs.runs(spark, sf_dir), path)
     return readers.load_runs(spark, path)
 
 
@@ -193,6 +193,17 @@ def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, path)
 
 
+def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics table written to the catalog, bucketed by run_id, and scanned by name."""
+    current = spark.catalog.currentDatabase()
+    readers.use_namespace(spark, "runlens", staging.new_folder(spark, "database"))
+    try:
+        writers.save_table(inputs.metrics(spark, sf_dir), "run_metrics", buckets=8)
+        return spark.table("runlens.run_metrics")
+    finally:
+        spark.catalog.setCurrentDatabase(current)
+
+
 def dashboard_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboard extract taken from the portable CSV of the final table."""
     path = staging.new_folder(spark, "final-csv")
@@ -263,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "decisions_json": decisions_json,
     "extract_json": extract_json,
     "metrics_table": metrics_table,
+    "catalog_table": catalog_table,
     "latest_runs": latest_runs,
     "pruned_domain_scan": pruned_domain_scan,
     "partition_upsert": partition_upsert,

@@ -8,10 +8,13 @@ from runlens.schemas import DECISIONS, EXTRACT, FINAL, RUNS
 CORRUPT = "_corrupt_record"
 
 
-def load_runs(spark: SparkSession, path: str, keep_malformed: bool = False) -> DataFrame:
-    """Runs from CSV with header. ``keep_malformed`` adds the raw text of lines that do not fit the
-    schema as ``_corrupt_record``, for the quarantine split."""
-    reader = spark.read.option("header", True)
+def load_runs(
+    spark: SparkSession, path: str, keep_malformed: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """Runs from CSV with header, quotes doubled inside quotes. ``keep_malformed`` adds the raw text
+    of lines that do not fit the schema as ``_corrupt_record``, for the quarantine split.
+    ``multi_line`` allows line breaks inside quotes; such files cannot be split."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if not keep_malformed:
         return reader.schema(RUNS).csv(path)
     schema = T.StructType([*RUNS.fields, T.StructField(CORRUPT, T.StringType())])
@@ -31,7 +34,7 @@ def load_extract(spark: SparkSession, path: str, array: bool = False) -> DataFra
 
 def load_final_csv(spark: SparkSession, path: str) -> DataFrame:
     """The final table from its portable CSV; empty confidence becomes null."""
-    return spark.read.schema(FINAL).option("header", True).csv(path)
+    return spark.read.schema(FINAL).option("header", True).option("escape", '"').csv(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

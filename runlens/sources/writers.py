@@ -1,10 +1,12 @@
 """Sinks. Every write is distributed; row counts come from the write itself, without a second scan."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
+from runlens.functions.text import python_text
 from runlens.operators.measure import decision_extract
 from runlens.operators.reports import dashboard_extract
 from runlens.schemas import DECISIONS
@@ -32,6 +34,15 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", buckets: int = 0)
     return _counted(df, write)
 
 
+def publish_table(df: DataFrame, name: str, folder: str) -> int:
+    """Write a new version below ``folder``, then point the view ``name`` at it. Readers see the old
+    version or the new one, never a part; old versions stay until the caller removes them."""
+    path = f"{folder.rstrip('/')}/version={uuid.uuid4().hex}"
+    rows = write_table(df, path)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    return rows
+
+
 def export_extract(metrics: DataFrame, path: str) -> int:
     """The labeller's input as JSON Lines by run_id, nulls kept; returns the row count."""
     rows = decision_extract(metrics).orderBy("run_id")
@@ -54,12 +65,23 @@ def final_export(final: DataFrame) -> DataFrame:
     return final.orderBy("run_id")
 
 
-def export_final_csv(final: DataFrame, path: str, single_file: bool = False) -> int:
-    """The final table as CSV with header by run_id. ``single_file`` sends all rows through one
-    task and is for small tables only."""
+def write_csv(rows: DataFrame, path: str) -> int:
+    """CSV with header: quotes doubled inside quotes, blanks kept, null as an empty field."""
+    return _counted(
+        rows,
+        lambda w: w.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path),
+    )
+
+
+def export_final_csv(final: DataFrame, path: str, as_python: bool = False) -> int:
+    """The final table as CSV by run_id. ``as_python`` writes booleans and doubles the way Python
+    prints them; the default is Spark's text, which casts back the same."""
     rows = final_export(final)
-    rows = rows.coalesce(1).sortWithinPartitions("run_id") if single_file else rows
-    return _counted(rows, lambda w: w.option("header", True).csv(path))
+    return write_csv(python_text(rows) if as_python else rows, path)
 
 
 def export_dashboard(final: DataFrame, path: str) -> int:

@@ -1,6 +1,6 @@
 """Incremental loads. The metric columns are those of the batch path."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,17 +28,29 @@ def with_event_time(runs: DataFrame) -> DataFrame:
     return runs.withColumn(EVENT_TIME, text.try_cast("timestamp"))
 
 
-def stream_metrics(runs: DataFrame, delay: str) -> DataFrame:
+def stream_metrics(
+    runs: DataFrame, delay: str, spread_by: Column | None = None, spread: int = 16
+) -> DataFrame:
     """Metrics of each run once, however often its row arrives within ``delay``. State is kept per
     run_id and dropped as the watermark passes. Rows later than the watermark are dropped and
-    counted in the query progress; use a merge (operators.upsert) where the latest row must win."""
+    counted in the query progress; use a merge (operators.upsert) where the latest row must win.
+
+    All copies of a key meet in one task. Where one key may be delivered very often, ``spread_by``
+    names something that differs between its copies, such as the file they came in: copies are then
+    first thinned out in up to ``spread`` tasks per key, at the price of a second state store.
+    """
     fresh = with_event_time(runs).withWatermark(EVENT_TIME, delay)
-    return with_metrics(fresh.dropDuplicatesWithinWatermark(["run_id"]).drop(EVENT_TIME))
+    if spread_by is not None:
+        fresh = fresh.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
+        fresh = fresh.dropDuplicatesWithinWatermark(["run_id", "__salt"]).drop("__salt")
+    once = fresh.dropDuplicatesWithinWatermark(["run_id"])
+    return with_metrics(once.select(*RUNS.fieldNames()))
 
 
 def domain_daily(runs: DataFrame, delay: str) -> DataFrame:
     """Runs and failure rate sum per UTC day and domain. The sum is in whole 1e-6 units, so it does
-    not depend on arrival order."""
+    not depend on arrival order. Append it to a table for closed days only, or upsert it to see open
+    days as well."""
     timed = with_metrics(with_event_time(runs).withWatermark(EVENT_TIME, delay))
     grouped = timed.groupBy(F.window(EVENT_TIME, "1 day"), "domain").agg(
         F.count("*").alias("runs"), F.sum(micros(F.col("failure_rate"))).alias("rate_micros")

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from runlens.operators import checks
 from runlens.operators.measure import decision_extract, with_metrics
 from runlens.plans import inputs
+from runlens.sources.staging import stage
 from samples import SAMPLE, run, runs_frame
 
 DOMAINS = ["auto_claims", "policies"]
@@ -56,6 +57,31 @@ def test_quarantine_holds_when_one_key_has_a_third_of_the_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_the_join_with_repeated_keys_splits_a_hot_key(spark):
+    rows = [run(run_id="hot", error_message="x" * 50 + str(i)) for i in range(3000)]
+    rows += [run(run_id=f"r{i % 4000}") for i in range(6000)]
+    frame = stage(runs_frame(spark, rows).repartition(8), "hot-runs")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        marked = checks.with_reasons(frame)
+        repeated = [r.run_id for r in marked.collect() if "duplicate_run_id" in r.reasons]
+        assert len(repeated) == 3000 + 4000 and repeated.count("hot") == 3000
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_label_rules_count_contradictions(spark):
     metrics = with_metrics(runs_frame(spark, SAMPLE[:4]))
     final = metrics.select("*", F.lit("HEALTHY").alias("label_decision"), F.lit(1.5).alias("label_confidence"))

@@ -4,7 +4,8 @@ import pytest
 
 from runlens.operators import contract, provenance
 from runlens.operators.checks import quarantine
-from runlens.operators.labels import chosen_probability, scored_labels
+from runlens.functions.text import python_text
+from runlens.operators.labels import chosen_probability, request_payload, scored_labels, with_policy
 from runlens.operators.measure import decision_extract, with_metrics
 from runlens.plans import inputs, jobs
 from runlens.schemas import DASHBOARD_COLUMNS, EXTRACT_COLUMNS, RUNS
@@ -104,6 +105,68 @@ def test_a_broken_contract_writes_nothing(spark, tmp_path):
     assert not (tmp_path / "m2").exists()
 
 
+def test_command_line(spark, tmp_path, capsys):
+    from runlens.__main__ import main
+
+    p = lambda name: str(tmp_path / name)
+    source = write_csv(tmp_path / "runs.csv", SAMPLE)
+    main(["measure", source, p("m"), p("x")])
+    main(["label", p("x"), p("d"), p("meta"), "--generated-at", "2026-01-01T00:00:00Z"])
+    main(["final", p("m"), p("d"), p("f"), p("csv")])
+    main(["dashboard", p("csv"), p("web")])
+    main(["report", p("f"), "kpi_summary", p("kpi")])
+    assert capsys.readouterr().out.splitlines() == [f"{j}: 8 rows" for j in ("measure", "label", "final", "dashboard")]
+    assert json.loads(lines_of(tmp_path / "kpi")[0])["blocked"] == 2
+
+
+def test_quarantine_paths_replace_failing(spark, tmp_path):
+    p = lambda name: str(tmp_path / name)
+    source = write_csv(tmp_path / "runs.csv", [run(run_id="a"), run(run_id="b"), run(run_id="c"), run(run_id="c")])
+    assert jobs.measure_job(spark, source, p("m"), p("x"), quarantine_path=p("rejected")) == 2
+    assert [r.run_id for r in spark.read.parquet(p("rejected")).collect()] == ["c", "c"]
+    (tmp_path / "d.json").write_text('{"run_id":"a","decision":"HEALTHY"}\n{"run_id":"b","decision":"FINE"}\n')
+    assert jobs.final_job(spark, p("m"), p("d.json"), p("f"), p("csv"), quarantine_path=p("bad")) == 1
+    assert [tuple(r) for r in spark.read.parquet(p("bad")).collect()] == [("b", "bad_label")]
+
+
+def test_csv_keeps_quotes_blanks_and_nulls(spark, tmp_path):
+    rows = [run(run_id=f"r{i}", error_message=e) for i, e in enumerate(['say "no", twice', " ", None, "a\\b"])]
+    writers.write_csv(runs_frame(spark, rows), str(tmp_path / "csv"))
+    assert sorted(tuple(r) for r in readers.load_runs(spark, str(tmp_path / "csv")).collect()) == rows
+    assert any('"say ""no"", twice"' in line for line in lines_of(tmp_path / "csv"))
+    broken_line = run(run_id="m", error_message='"two\nlines"')
+    path = write_csv(tmp_path / "multi.csv", [broken_line], "\n")
+    assert readers.load_runs(spark, path, multi_line=True).first().error_message == "two\nlines"
+
+
+def test_csv_as_python_prints_it(spark, tmp_path):
+    values = [0.000342, -0.003208, 7.1e-05, 1e-06, -2.5e-05, 0.0001, 0.0, 1.0, 0.96, 0.1 + 0.2, 12345.678901, None]
+    df = spark.createDataFrame([(v, v is not None) for v in values], "x double, b boolean")
+    got = python_text(df).collect()
+    assert [r.x for r in got] == [None if v is None else repr(v) for v in values]
+    assert {r.b for r in got} == {"True", "False"}
+    final = with_policy(with_metrics(runs_frame(spark, SAMPLE)))
+    assert writers.export_final_csv(final, str(tmp_path / "csv"), as_python=True) == 8
+    assert lines_of(tmp_path / "csv")[1] == (
+        "auto_claims_dedupe_transform_20260918_0,auto_claims_dedupe_transform,auto_claims,"
+        "2026-09-18T04:45:00,120000,119615,41,196,214,1,none,healthy,,0.000342,-0.003208,"
+        "-0.084112,ON_TIME,False,False,HEALTHY,1.0")
+
+
+def test_publishing_swaps_versions(spark, tmp_path):
+    frame = with_metrics(runs_frame(spark, SAMPLE))
+    for rows in (8, 3):
+        assert writers.publish_table(frame.limit(rows), "published", str(tmp_path / "versions")) == rows
+        assert spark.table("published").count() == rows
+    assert len(list((tmp_path / "versions").iterdir())) == 2
+
+
+def test_request_payload(spark):
+    extract = decision_extract(with_metrics(runs_frame(spark, [run(domain=None)])))
+    payload = json.loads(request_payload(extract).first().payload)
+    assert list(payload) == EXTRACT_COLUMNS and payload["domain"] is None
+
+
 def test_catalog_tables(spark, tmp_path):
     current = spark.catalog.currentDatabase()
     readers.use_namespace(spark, "lens_test", str(tmp_path / "db"))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from runlens.operators.measure import with_metrics
 from runlens.plans import inputs
@@ -29,6 +30,15 @@ def test_stream_equals_batch_over_many_triggers(spark, sf_dir, yearly_files, tmp
     assert out.count() == 826 and batch.exceptAll(out.select(*batch.columns)).count() == 0
 
 
+def test_spread_copies_are_still_kept_once(spark, yearly_files, tmp_path):
+    path, _ = yearly_files
+    stream = streams.read_run_stream(spark, path, files_per_trigger=3)
+    rows = streams.stream_metrics(stream.select("*", "_metadata.file_path"), "400 days", F.col("file_path"), 4)
+    streams.append_to_table(rows, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == out.select("run_id").distinct().count() == 826
+
+
 def test_daily_health_over_many_triggers_and_a_restart(spark, sf_dir, yearly_files, tmp_path):
     path, _ = yearly_files
     out, progress = str(tmp_path / "daily"), str(tmp_path / "progress")
