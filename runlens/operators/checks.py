@@ -1,5 +1,8 @@
 """Data checks: row expectations, label quality, reconciliation and the quarantine split."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +13,7 @@ from runlens.operators.measure import decision_extract, with_metrics
 from runlens.schemas import (
     ATTENTION, CONFIDENCE, DECISION, DRIFT_KINDS, METRIC_COLUMNS, METRIC_DECIMALS, RUNS, STATUSES,
 )
+from runlens.sources.readers import CORRUPT
 from runlens.sources.staging import stage
 
 REQUIRED = [f.name for f in RUNS.fields if not f.nullable]
@@ -75,31 +79,39 @@ def label_quality(final: DataFrame) -> DataFrame:
     return _counted(final, label_rules())
 
 
-def with_reasons(runs: DataFrame, domains: list[str] | None = None) -> DataFrame:
-    """Every run with ``reasons``, the array of rules it violates (empty when valid).
+def _any(rules: dict[str, Column]) -> Column:
+    return reduce(or_, (F.coalesce(rule, F.lit(False)) for rule in rules.values()))
+
+
+def _marked(runs: DataFrame) -> DataFrame:
+    """Runs with ``copies``, set on every copy of a repeated run_id.
 
-    All copies of a repeated run_id are marked: none can be told to be the right one. The repeated
-    keys are written out before the join, so that their real size decides: few are broadcast and the
-    runs stay where they are; many are shuffled, in a join whose hot partitions can be split.
+    The repeated keys are written out before the join, so that their real size decides: few are
+    broadcast and the runs stay where they are; many are shuffled, in a join whose hot partitions can
+    be split.
     """
     known = runs.where(F.col("run_id").isNotNull())
     repeated = stage(duplicate_runs(known), "duplicate-keys")
-    marked = runs.join(repeated, "run_id", "left")
-    rules = run_rules(domains)
-    if "_corrupt_record" in runs.columns:
-        rules["malformed_record"] = F.col("_corrupt_record").isNotNull()
-    rules["duplicate_run_id"] = F.col("copies").isNotNull()
-    reasons = F.array_compact(F.array(*[F.when(rule, name) for name, rule in rules.items()]))
-    return marked.select(*runs.columns, reasons.alias("reasons"))
+    return runs.join(repeated, "run_id", "left").select(*runs.columns, "copies")
 
 
 def quarantine(
     runs: DataFrame, domains: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid runs, rejected runs with their reasons). Together they are exactly the input."""
-    marked = with_reasons(runs, domains)
-    rejected = F.size("reasons") > 0
-    return marked.where(~rejected).drop("reasons"), marked.where(rejected)
+    """(valid runs, rejected runs with ``reasons``, the array of rules they violate). Together they
+    are exactly the input.
+
+    All copies of a repeated run_id are rejected: none can be told to be the right one. Reasons are
+    put together for rejected rows only; the test all rows pass through is plain generated code.
+    """
+    rules = run_rules(domains)
+    if CORRUPT in runs.columns:
+        rules["malformed_record"] = F.col(CORRUPT).isNotNull()
+    rules["duplicate_run_id"] = F.col("copies").isNotNull()
+    marked, broken = _marked(runs), _any(rules)
+    reasons = F.array_compact(F.array(*[F.when(rule, name) for name, rule in rules.items()]))
+    rejected = marked.where(broken).select(*runs.columns, reasons.alias("reasons"))
+    return marked.where(~broken).select(*runs.columns), rejected
 
 
 def _text(value: Column, kind: T.DataType) -> Column:
@@ -116,10 +128,16 @@ def _same(left: Column, right: Column, kind: T.DataType, tolerance: float) -> Co
 
 
 def _differences(df: DataFrame, fields: list[tuple[str, Column, Column, T.DataType]],
-                 tolerance: float, compare: Column, extra: list[Column]) -> DataFrame:
+                 tolerance: float, rows: Column | None = None) -> DataFrame:
+    """(run_id, field, left_value, right_value) per differing field. ``rows``, where not null, is a
+    ready entry that stands for the whole row. Entries are built for differing rows only."""
+    single = F.lit(True) if rows is None else rows.isNull()
+    differs = {
+        name: single & ~_same(left, right, kind, tolerance) for name, left, right, kind in fields
+    }
     entries = [
         F.when(
-            compare & ~_same(left, right, kind, tolerance),
+            differs[name],
             F.struct(
                 F.lit(name).alias("field"),
                 _text(left, kind).alias("left_value"),
@@ -128,7 +146,9 @@ def _differences(df: DataFrame, fields: list[tuple[str, Column, Column, T.DataTy
         )
         for name, left, right, kind in fields
     ]
-    return df.select("run_id", F.inline(F.array_compact(F.array(*extra, *entries))))
+    found = df.where(_any(differs) | ~single)
+    whole = [] if rows is None else [rows]
+    return found.select("run_id", F.inline(F.array_compact(F.array(*whole, *entries))))
 
 
 def reconcile(
@@ -168,7 +188,7 @@ def reconcile(
     fields = [
         (c, F.col("lv")[c], F.col("rv")[c], left.schema[c].dataType) for c in columns
     ]
-    return _differences(both, fields, tolerance, single, [rows])
+    return _differences(both, fields, tolerance, rows)
 
 
 def recompute_diff(metrics: DataFrame, tolerance: float = 1e-9) -> DataFrame:
@@ -179,7 +199,7 @@ def recompute_diff(metrics: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     fields = [
         (n, F.col(stored[n]), F.col(n), metrics.schema[n].dataType) for n in METRIC_COLUMNS
     ]
-    return _differences(both, fields, tolerance, F.lit(True), [])
+    return _differences(both, fields, tolerance)
 
 
 def extract_diff(runs: DataFrame, extract: DataFrame) -> DataFrame:

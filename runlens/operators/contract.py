@@ -64,9 +64,10 @@ def coverage_violations(metrics: DataFrame, decisions: DataFrame) -> DataFrame:
         F.when(F.col("is_source_duplicate"), "source_duplicate"),
         F.when(F.col("bad_label_rows") > 0, "bad_label"),
     )
-    return key_status(metrics, decisions).select(
-        "run_id", F.explode(F.array_compact(found)).alias("violation")
+    offending = key_status(metrics, decisions).where(
+        "is_missing OR is_extra OR is_duplicate OR is_source_duplicate OR bad_label_rows > 0"
     )
+    return offending.select("run_id", F.explode(F.array_compact(found)).alias("violation"))
 
 
 def check_contract(metrics: DataFrame, decisions: DataFrame, examples: int = 10) -> int:

@@ -4,7 +4,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.text import midnight_iso, run_key
-from runlens.schemas import RUNS
+
+_SUMS = ["lines", "expected_rows", "actual_rows", "failed_rows", "line_numbers"]
+
+# the last three columns of a run, from the summed lines
+_RULES = {
+    "schema_drift": """CASE WHEN lines % 11 = 0 THEN 'type_changed' WHEN lines % 7 = 0 THEN 'column_added'
+        WHEN lines % 13 = 0 THEN 'column_removed' ELSE 'none' END""",
+    "status": """CASE WHEN failed_rows * 5 >= expected_rows THEN 'failed'
+        WHEN actual_rows * 10 < expected_rows * 9 OR failed_rows * 200 > expected_rows THEN 'degraded'
+        ELSE 'healthy' END""",
+    "error_message": """CASE WHEN failed_rows * 5 >= expected_rows THEN 'upstream rows rejected'
+        WHEN failed_rows * 200 > expected_rows AND lines % 2 = 0
+        THEN 'row count variance above warn threshold' END""",
+}
 
 
 def line_facts(lineitem: DataFrame) -> DataFrame:
@@ -13,18 +26,22 @@ def line_facts(lineitem: DataFrame) -> DataFrame:
     Only counts, sums and a minimum of fixed-width columns, so the map side already collapses a
     supplier that owns a large share of all lines, and the join sees one row per key and month.
     """
-    quantity = F.col("l_quantity").cast("bigint")
-    returned = F.col("l_returnflag") == "R"
-    lost = returned & (F.col("l_linestatus") == "F")
-    rejected = returned & (F.col("l_linestatus") == "O") & (F.col("l_linenumber") >= 4)
-    shipped = F.col("l_shipdate").cast("date")
-    return lineitem.groupBy("l_suppkey", F.trunc(shipped, "month").alias("month")).agg(
-        F.count("*").alias("lines"),
-        F.sum(quantity).alias("expected_rows"),
-        F.sum(F.when(lost, F.lit(0)).otherwise(quantity)).alias("actual_rows"),
-        F.sum(F.when(rejected, quantity).otherwise(F.lit(0))).alias("failed_rows"),
-        F.sum(F.col("l_linenumber").cast("bigint")).alias("line_numbers"),
-        F.min(shipped).alias("first_day"),
+    lines = lineitem.selectExpr(
+        "l_suppkey",
+        "CAST(l_shipdate AS date) AS shipped",
+        "TRUNC(CAST(l_shipdate AS date), 'month') AS month",
+        "CAST(l_quantity AS bigint) AS quantity",
+        "CAST(l_linenumber AS bigint) AS number",
+        "l_returnflag = 'R' AND l_linestatus = 'F' AS lost",
+        "l_returnflag = 'R' AND l_linestatus = 'O' AND l_linenumber >= 4 AS rejected",
+    )
+    return lines.groupBy("l_suppkey", "month").agg(
+        F.expr("COUNT(*) AS lines"),
+        F.expr("SUM(quantity) AS expected_rows"),
+        F.expr("SUM(IF(lost, 0, quantity)) AS actual_rows"),
+        F.expr("SUM(IF(rejected, quantity, 0)) AS failed_rows"),
+        F.expr("SUM(number) AS line_numbers"),
+        F.expr("MIN(shipped) AS first_day"),
     )
 
 
@@ -45,43 +62,20 @@ def run_rollup(
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     merged = placed.groupBy("s_name", "r_name", "month").agg(
-        *[
-            F.sum(c).alias(c)
-            for c in ("lines", "expected_rows", "actual_rows", "failed_rows", "line_numbers")
-        ],
-        F.min("first_day").alias("first_day"),
-    )
-    lines, expected = F.col("lines"), F.col("expected_rows")
-    failed, actual = F.col("failed_rows"), F.col("actual_rows")
-    pipeline = F.lower(F.replace(F.col("s_name"), F.lit("#"), F.lit("_")))
-    is_failed = failed * 5 >= expected
-    over_warning = failed * 200 > expected
-    status = (
-        F.when(is_failed, "failed")
-        .when((actual * 10 < expected * 9) | over_warning, "degraded")
-        .otherwise("healthy")
+        *[F.expr(f"SUM({c}) AS {c}") for c in _SUMS], F.expr("MIN(first_day) AS first_day")
     )
-    drift = (
-        F.when(lines % 11 == 0, "type_changed")
-        .when(lines % 7 == 0, "column_added")
-        .when(lines % 13 == 0, "column_removed")
-        .otherwise("none")
-    )
-    error = F.when(is_failed, "upstream rows rejected").when(
-        over_warning & (lines % 2 == 0), "row count variance above warn threshold"
-    )
-    return merged.select(
-        run_key(pipeline, F.col("month")).alias("run_id"),
-        pipeline.alias("pipeline_name"),
-        F.lower("r_name").alias("domain"),
-        midnight_iso(F.col("month")).alias("run_timestamp"),
+    named = merged.select("*", F.expr("LOWER(REPLACE(s_name, '#', '_')) AS pipeline_name"))
+    month = F.col("month")
+    return named.select(
+        run_key(F.col("pipeline_name"), month).alias("run_id"),
+        "pipeline_name",
+        F.expr("LOWER(r_name) AS domain"),
+        midnight_iso(month).alias("run_timestamp"),
         "expected_rows",
         "actual_rows",
         "failed_rows",
-        (F.col("line_numbers") * 30).alias("duration_seconds"),
-        (lines * 120).alias("expected_duration_seconds"),
-        ((F.dayofmonth("first_day") - 1) * 20).cast("bigint").alias("freshness_delay_minutes"),
-        drift.alias("schema_drift"),
-        status.alias("status"),
-        error.alias("error_message"),
-    ).select(*RUNS.fieldNames())
+        F.expr("line_numbers * 30 AS duration_seconds"),
+        F.expr("lines * 120 AS expected_duration_seconds"),
+        F.expr("CAST((DAY(first_day) - 1) * 20 AS bigint) AS freshness_delay_minutes"),
+        *[F.expr(f"{rule} AS {name}") for name, rule in _RULES.items()],
+    )

@@ -43,28 +43,27 @@ def clean_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.quarantine_final(metrics, broken)[0]
 
 
-def _policy_batch(batch: pd.DataFrame) -> pd.DataFrame:
+def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The native policy again, as a user's batch scorer would write it."""
-    freshness = batch.freshness_severity.map({"ON_TIME": 0, "MINOR": 1, "MAJOR": 2}).fillna(3)
-    status = batch.status.map({"healthy": 0, "degraded": 1}).fillna(3)
-    failures = np.searchsorted([0.01, 0.03, 0.2], batch.failure_rate, side="right")
-    drift = np.where(batch.schema_drift == "none", 0, 2)
-    level = np.maximum(freshness, status).astype(int)
-    agreeing = sum((np.asarray(signal) == level).astype(int)
-                   for signal in (freshness, status, failures, drift))
-    confidence = pd.Series(agreeing / 4, index=batch.index)
-    return pd.DataFrame(
-        {
-            "run_id": batch.run_id,
-            "decision": [LABELS[i] for i in level],
-            "confidence": confidence.mask(batch.freshness_delay_minutes % 140 == 100),
-        }
-    )
-
 
-def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    extract = measure.decision_extract(inputs.metrics(spark, sf_dir))
-    return labels.scored_labels(extract, _policy_batch)
+    def score(batch: pd.DataFrame) -> pd.DataFrame:
+        freshness = batch.freshness_severity.map({"ON_TIME": 0, "MINOR": 1, "MAJOR": 2}).fillna(3)
+        status = batch.status.map({"healthy": 0, "degraded": 1}).fillna(3)
+        failures = np.searchsorted([0.01, 0.03, 0.2], batch.failure_rate, side="right")
+        drift = np.where(batch.schema_drift == "none", 0, 2)
+        level = np.maximum(freshness, status).astype(int)
+        agreeing = sum((np.asarray(signal) == level).astype(int)
+                       for signal in (freshness, status, failures, drift))
+        confidence = pd.Series(agreeing / 4, index=batch.index)
+        return pd.DataFrame(
+            {
+                "run_id": batch.run_id,
+                "decision": [LABELS[i] for i in level],
+                "confidence": confidence.mask(batch.freshness_delay_minutes % 140 == 100),
+            }
+        )
+
+    return labels.scored_labels(measure.decision_extract(inputs.metrics(spark, sf_dir)), score)
 
 
 def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Incremental loads. The metric columns are those of the batch path."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -85,14 +87,22 @@ def upsert_to_table(rows: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def read_domain_daily(spark: SparkSession, path: str) -> DataFrame:
-    """The latest state of every (day, domain) written by :func:`upsert_to_table`."""
-    newest = (
-        spark.read.parquet(path)
-        .groupBy("day", "domain")
-        .agg(F.max(F.struct("batch", "runs", "rate_micros")).alias("s"))
-    )
-    mean = F.col("s.rate_micros") / F.lit(1e6) / F.col("s.runs")
-    return newest.select(
-        "day", "domain", F.col("s.runs").alias("runs"), round_exact(mean).alias("mean_failure_rate")
+def _newest(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
+    states = reduce(DataFrame.unionByName, (spark.read.parquet(path) for path in paths))
+    state = F.max(F.struct("batch", "runs", "rate_micros")).alias("s")
+    return states.groupBy("day", "domain").agg(state).select("day", "domain", "s.*")
+
+
+def read_domain_daily(spark: SparkSession, *paths: str) -> DataFrame:
+    """The latest state of every (day, domain) below the folders written by :func:`upsert_to_table`
+    or :func:`compact_domain_daily`."""
+    mean = F.col("rate_micros") / F.lit(1e6) / F.col("runs")
+    return _newest(spark, paths).select(
+        "day", "domain", "runs", round_exact(mean).alias("mean_failure_rate")
     )
+
+
+def compact_domain_daily(spark: SparkSession, out: str, *paths: str) -> None:
+    """Write the latest states as one folder. Every state carries its batch, so reading ``out``
+    together with the folders it replaces, before they are removed, gives the same rows."""
+    _newest(spark, paths).write.mode("overwrite").parquet(out)

@@ -58,7 +58,7 @@ def test_quarantine_holds_when_one_key_has_a_third_of_the_rows(spark):
 
 
 def test_the_join_with_repeated_keys_splits_a_hot_key(spark):
-    rows = [run(run_id="hot", error_message="x" * 50 + str(i)) for i in range(3000)]
+    rows = [run(run_id="hot", pipeline_name="x" * 50 + str(i)) for i in range(3000)]
     rows += [run(run_id=f"r{i % 4000}") for i in range(6000)]
     frame = stage(runs_frame(spark, rows).repartition(8), "hot-runs")
     settings = {
@@ -73,10 +73,12 @@ def test_the_join_with_repeated_keys_splits_a_hot_key(spark):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        marked = checks.with_reasons(frame)
-        repeated = [r.run_id for r in marked.collect() if "duplicate_run_id" in r.reasons]
+        valid, rejected = checks.quarantine(frame)
+        repeated = [r.run_id for r in rejected.collect() if "duplicate_run_id" in r.reasons]
         assert len(repeated) == 3000 + 4000 and repeated.count("hot") == 3000
-        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+        assert len(valid.collect()) == 2000
+        for df in (valid, rejected):
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -51,6 +51,10 @@ def test_daily_health_over_many_triggers_and_a_restart(spark, sf_dir, yearly_fil
     assert daily.selectExpr("day", "domain", "runs").exceptAll(
         batch.selectExpr("day", "domain", "count * 2")).count() == 0
     assert daily.count() == batch.count()
+    streams.compact_domain_daily(spark, str(tmp_path / "compact"), out)
+    for paths in ([str(tmp_path / "compact")], [str(tmp_path / "compact"), out]):
+        again = streams.read_domain_daily(spark, *paths)
+        assert again.count() == daily.count() and again.exceptAll(daily).count() == 0
 
 
 def test_closed_days_can_be_appended(spark, yearly_files, tmp_path):
