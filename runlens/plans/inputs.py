@@ -12,6 +12,7 @@ from runlens.operators.labels import policy_labels, with_policy
 from runlens.operators.measure import decision_extract, with_metrics
 from runlens.operators.rollup import run_rollup
 from runlens.schemas import CONFIDENCE, DECISION
+from runlens.sources.staging import stage
 
 
 # the columns the roll-up reads; a fixed schema spares the footer scan that inference needs
@@ -46,76 +47,81 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_policy(metrics(spark, sf_dir), undisclosed())
+    return labelled(runs(spark, sf_dir))
 
 
 def every(n: int) -> Column:
     return F.col("expected_rows") % n == 0
 
 
-def broken_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs, written once, for queries that use them more than once."""
+    return stage(runs(spark, sf_dir), "runs")
+
+
+def labelled(runs: DataFrame) -> DataFrame:
+    return with_policy(with_metrics(runs), undisclosed())
+
+
+def broken_decisions(runs: DataFrame, region: DataFrame) -> DataFrame:
     """Decisions with missing, repeated, extra and null keys, and labels outside the vocabulary."""
-    labelled = final(spark, sf_dir).select(
+    decided = labelled(runs).select(
         "run_id",
         F.when(every(83), F.lit("MAYBE")).otherwise(F.col(DECISION)).alias("decision"),
         F.col(CONFIDENCE).alias("confidence"),
         F.when(every(97), 0).when(every(89), 2).otherwise(1).alias("copies"),
     )
-    copied = labelled.select(
+    copied = decided.select(
         "run_id", "decision", "confidence",
         F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("copy"),
     ).drop("copy")
-    ghosts = table(spark, sf_dir, "region").select(
+    ghosts = region.select(
         F.concat(F.lit("ghost_"), F.lower("r_name")).alias("run_id"),
         F.lit("WATCH").alias("decision"),
         F.lit(0.5).alias("confidence"),
     )
-    null_rows = spark.sql(
+    null_rows = runs.sparkSession.sql(
         "SELECT * FROM VALUES ('null_label', NULL, 0.5D), (NULL, 'WATCH', 0.5D) "
         "AS t(run_id, decision, confidence)"
     )
     return copied.unionByName(ghosts).unionByName(null_rows)
 
 
-def broken_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def broken_runs(runs: DataFrame) -> DataFrame:
     """Runs with repeated keys, impossible counts, null status, unknown drift, negative delay."""
-    whole = runs(spark, sf_dir)
-    changed = whole.withColumns(
+    expected, delay = F.col("expected_rows"), F.col("freshness_delay_minutes")
+    changed = runs.withColumns(
         {
-            "failed_rows": F.when(every(103), F.col("expected_rows") + 1).otherwise(F.col("failed_rows")),
+            "failed_rows": F.when(every(103), expected + 1).otherwise(F.col("failed_rows")),
             "status": F.when(~every(107), F.col("status")),
-            "schema_drift": F.when(every(109), F.lit("renamed")).otherwise(F.col("schema_drift")),
-            "freshness_delay_minutes": F.when(every(113), F.lit(-5)).otherwise(
-                F.col("freshness_delay_minutes")
-            ).cast("bigint"),
+            "schema_drift": F.when(every(109), "renamed").otherwise(F.col("schema_drift")),
+            "freshness_delay_minutes": F.when(every(113), -5).otherwise(delay),
             "copy": F.explode(F.array_repeat(F.lit(1), F.when(every(101), 2).otherwise(1))),
         }
     )
-    return changed.select(*whole.columns)
+    return changed.select(*runs.columns)
 
 
-def drifted_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drifted(final: DataFrame) -> DataFrame:
     """The final table with some failure rates changed."""
     rate = F.col("failure_rate")
-    return final(spark, sf_dir).withColumn(
-        "failure_rate", F.when(every(97), rate + 0.001).otherwise(rate)
-    )
+    return final.withColumn("failure_rate", F.when(every(97), rate + 0.001).otherwise(rate))
 
 
-def incoming_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incoming_runs(runs: DataFrame, region: DataFrame) -> DataFrame:
     """A correction batch: some runs delivered again with more rows, and a new run per region."""
-    whole = runs(spark, sf_dir)
-    corrected = whole.where(every(101)).withColumn("actual_rows", F.col("actual_rows") + 1000)
-    fresh = table(spark, sf_dir, "region").select(
-        F.concat(F.lower("r_name"), F.lit("_20020101")).alias("run_id"),
-        F.lower("r_name").alias("pipeline_name"),
-        F.lower("r_name").alias("domain"),
+    corrected = runs.where(every(101)).withColumn("actual_rows", F.col("actual_rows") + 1000)
+    numbers = {
+        "expected_rows": 100, "actual_rows": 100, "failed_rows": 0, "duration_seconds": 60,
+        "expected_duration_seconds": 60, "freshness_delay_minutes": 5,
+    }
+    domain = F.lower("r_name")
+    fresh = region.select(
+        F.concat(domain, F.lit("_20020101")).alias("run_id"),
+        domain.alias("pipeline_name"),
+        domain.alias("domain"),
         F.lit("2002-01-01T00:00:00").alias("run_timestamp"),
-        *[F.lit(n).cast("bigint").alias(c) for c, n in (
-            ("expected_rows", 100), ("actual_rows", 100), ("failed_rows", 0),
-            ("duration_seconds", 60), ("expected_duration_seconds", 60),
-            ("freshness_delay_minutes", 5),
-        )],
+        *[F.lit(n).cast("bigint").alias(name) for name, n in numbers.items()],
         F.lit("none").alias("schema_drift"),
         F.lit("healthy").alias("status"),
         F.lit(None).cast("string").alias("error_message"),

@@ -36,11 +36,24 @@ def final_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.build_final(metrics, decisions)
 
 
+def _broken_contract(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Runs, and decisions for them that break the contract in every way."""
+    runs = inputs.staged_runs(spark, sf_dir)
+    return runs, inputs.broken_decisions(runs, inputs.table(spark, sf_dir, "region"))
+
+
 def clean_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final rows of the runs whose decisions keep the contract; the others are set aside."""
-    broken = staging.stage(inputs.broken_decisions(spark, sf_dir), "broken-decisions")
-    metrics = staging.stage(inputs.metrics(spark, sf_dir), "metrics")
-    return contract.quarantine_final(metrics, broken)[0]
+    runs, decisions = _broken_contract(spark, sf_dir)
+    return contract.quarantine_final(measure.with_metrics(runs), decisions)[0]
+
+
+def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract.coverage_report(*_broken_contract(spark, sf_dir))
+
+
+def coverage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract.coverage_violations(*_broken_contract(spark, sf_dir))
 
 
 def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,45 +79,47 @@ def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.scored_labels(measure.decision_extract(inputs.metrics(spark, sf_dir)), score)
 
 
-def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.coverage_report(
-        inputs.runs(spark, sf_dir), inputs.broken_decisions(spark, sf_dir)
-    )
+def broken_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.broken_runs(inputs.runs(spark, sf_dir))
 
 
-def coverage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.coverage_violations(
-        inputs.runs(spark, sf_dir), inputs.broken_decisions(spark, sf_dir)
-    )
+def staged_broken_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stage(broken_runs(spark, sf_dir), "broken-runs")
 
 
 def expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted against a domain list without europe, so that the domain rule has findings."""
-    return checks.expectation_report(inputs.broken_runs(spark, sf_dir), KNOWN_DOMAINS)
+    return checks.expectation_report(staged_broken_runs(spark, sf_dir), KNOWN_DOMAINS)
 
 
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected runs with their reasons as text."""
-    rejected = checks.quarantine(inputs.broken_runs(spark, sf_dir))[1]
+    rejected = checks.quarantine(staged_broken_runs(spark, sf_dir))[1]
     return rejected.withColumn("reasons", F.array_join("reasons", ","))
 
 
 def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.quarantine(inputs.broken_runs(spark, sf_dir))[0]
+    return checks.quarantine(staged_broken_runs(spark, sf_dir))[0]
+
+
+def recompute_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored metrics, some of them changed, against metrics computed from the same rows."""
+    return checks.recompute_diff(inputs.drifted(inputs.final(spark, sf_dir)))
 
 
 def reconcile_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboard extract against a copy with changed rates and removed rows."""
-    ours = reports.dashboard_extract(inputs.final(spark, sf_dir))
-    copy = inputs.drifted_final(spark, sf_dir).where(~inputs.every(89))
+    final = inputs.labelled(inputs.staged_runs(spark, sf_dir))
+    copy = inputs.drifted(final).where(~inputs.every(89)).select(*DASHBOARD_COLUMNS)
     compared = [c for c in DASHBOARD_COLUMNS if c != "run_id"]
-    return checks.reconcile(ours, copy.select(*DASHBOARD_COLUMNS), compared)
+    return checks.reconcile(final.select(*DASHBOARD_COLUMNS), copy, compared)
 
 
 def extract_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A drifted extract against the extract recomputed from the runs."""
-    drifted = measure.decision_extract(inputs.drifted_final(spark, sf_dir))
-    return checks.extract_diff(inputs.runs(spark, sf_dir), drifted)
+    runs = inputs.staged_runs(spark, sf_dir)
+    drifted = inputs.drifted(measure.with_metrics(runs))
+    return checks.extract_diff(runs, measure.decision_extract(drifted))
 
 
 def filtered_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +134,9 @@ def label_job_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert.merge_runs(inputs.runs(spark, sf_dir), inputs.incoming_runs(spark, sf_dir))
+    """The run table with a correction batch merged in."""
+    runs = inputs.staged_runs(spark, sf_dir)
+    return upsert.merge_runs(runs, inputs.incoming_runs(runs, inputs.table(spark, sf_dir, "region")))
 
 
 def pruned_domain_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,10 +151,11 @@ def pruned_domain_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A correction batch merged into the partitioned run table."""
     path = staging.new_folder(spark, "by-domain")
-    whole = inputs.runs(spark, sf_dir)
-    layout.write_partitioned(whole, path)
-    layout.upsert_partitioned(spark, path, inputs.incoming_runs(spark, sf_dir))
-    return layout.read_partitioned(spark, path).select(*whole.columns)
+    runs = inputs.staged_runs(spark, sf_dir)
+    layout.write_partitioned(runs, path)
+    batch = inputs.incoming_runs(runs, inputs.table(spark, sf_dir, "region"))
+    layout.upsert_partitioned(spark, path, batch)
+    return layout.read_partitioned(spark, path).select(*runs.columns)
 
 
 def _run_files(spark: SparkSession, sf_dir: str) -> str:
@@ -235,7 +253,7 @@ QUERIES: dict[str, Query] = {
     "clean_final": clean_final,
     "coverage_report": coverage_report,
     "coverage_violations": coverage_violations,
-    "duplicate_runs": _of(inputs.broken_runs, contract.duplicate_runs),
+    "duplicate_runs": _of(broken_runs, contract.duplicate_runs),
     # reports
     "kpi_summary": _of(inputs.final, reports.kpi_summary),
     "kpi_by_label": _of(inputs.final, reports.kpi_by_label),
@@ -254,7 +272,7 @@ QUERIES: dict[str, Query] = {
     "queue_display": _of(inputs.final, reports.queue_display),
     "filtered_runs": filtered_runs,
     "runs_preview": _of(inputs.runs, reports.runs_preview),
-    "source_profile": _of(inputs.broken_runs, reports.source_profile),
+    "source_profile": _of(broken_runs, reports.source_profile),
     "domain_profile": _of(inputs.runs, reports.domain_profile),
     "dashboard_extract": _of(inputs.final, reports.dashboard_extract),
     "dashboard_from_csv": dashboard_from_csv,
@@ -265,7 +283,7 @@ QUERIES: dict[str, Query] = {
     "label_quality": _of(inputs.final, checks.label_quality),
     "quarantine_rows": quarantine_rows,
     "valid_rows": valid_rows,
-    "recompute_diff": _of(inputs.drifted_final, checks.recompute_diff),
+    "recompute_diff": recompute_diff,
     "extract_diff": extract_diff,
     "reconcile_diff": reconcile_diff,
     # sources, sinks, layout

@@ -24,8 +24,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 
 
 def save_table(df: DataFrame, name: str, fmt: str = "parquet", buckets: int = 0) -> int:
-    """Overwrite a catalog table. ``buckets`` > 0 buckets and sorts it by run_id, so that the
-    contract check and the join of two such tables need no shuffle."""
+    """Overwrite a catalog table. ``buckets`` > 0 buckets and sorts it by run_id, so that the join of
+    two such tables and a grouping by run_id need no shuffle."""
 
     def write(w: DataFrameWriter) -> None:
         w = w.format(fmt)

@@ -97,7 +97,7 @@ def test_guard_is_one_shuffle_of_keys_with_partial_sums(spark, sf_dir):
     assert "pipeline_name" not in text
 
 
-def test_bucketed_tables_are_checked_and_joined_without_shuffle(spark, sf_dir):
+def test_bucketed_tables_are_joined_without_shuffle(spark, sf_dir):
     from runlens.plans import inputs
     from runlens.sources.writers import save_table
     from test_metrics import plan
@@ -109,6 +109,7 @@ def test_bucketed_tables_are_checked_and_joined_without_shuffle(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "Exchange" not in plan(join_final(m, d)).split("\n\n")[0]
+        assert "Exchange" not in plan(duplicate_runs(m)).split("\n\n")[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert check_contract(m, d) == 826
