@@ -18,17 +18,17 @@ def ratios() -> dict[str, tuple[Column, Column]]:
 
 
 def failure_rate() -> Column:
-    """Share of the expected rows that failed."""
+    """Failed rows per expected row."""
     return ratio(*ratios()["failure_rate"])
 
 
 def row_count_variance() -> Column:
-    """Relative difference between delivered and expected rows."""
+    """Delivered rows over or under plan, per planned row."""
     return ratio(*ratios()["row_count_variance"])
 
 
 def duration_variance() -> Column:
-    """Relative difference between actual and expected duration."""
+    """Run time over or under plan, per planned second."""
     return ratio(*ratios()["duration_variance"])
 
 

@@ -97,10 +97,10 @@ QUEUE_COLUMNS = [
 FRESHNESS_BANDS = [(15, "ON_TIME"), (60, "MINOR"), (240, "MAJOR"), (None, "SEVERE")]
 LABELS = ["HEALTHY", "WATCH", "INVESTIGATE", "BLOCK"]
 LABEL_MEANINGS = {
-    "HEALTHY": "normal pipeline operation",
-    "WATCH": "a small anomaly needs observation",
-    "INVESTIGATE": "a material anomaly needs review",
-    "BLOCK": "a severe condition makes downstream data unsafe",
+    "HEALTHY": "the run needs no action",
+    "WATCH": "slightly off; keep an eye on the next runs",
+    "INVESTIGATE": "clearly off; someone should look into it",
+    "BLOCK": "do not let other jobs use the delivered data",
 }
 ATTENTION = ["WATCH", "INVESTIGATE"]
 QUEUE = ["INVESTIGATE", "BLOCK"]

@@ -10,9 +10,9 @@ TABLES = (
 ).split()
 
 
-def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def oracle(sf_dir: str, tables: list[str] = TABLES) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for name in TABLES:
+    for name in tables:
         con.execute(f"create view {name} as select * from read_parquet('{sf_dir}/{name}.parquet')")
     return con
 
