@@ -5,16 +5,20 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from runlens.operators import reports
+from runlens.operators import alerts, checks, reports
 from runlens.plans import jobs
 from runlens.sources.readers import read_table
 
-REPORTS = [
-    "kpi_summary", "kpi_by_label", "decision_distribution", "domain_decision",
-    "domain_decision_pivot", "status_confusion", "mean_freshness", "health_table", "health_runs",
-    "freshness_trend", "queue_runs", "queue_compact", "queue_display", "health_display",
-    "kpi_display",
-]
+REPORTS = {
+    report.__name__: report
+    for report in (
+        reports.kpi_summary, reports.kpi_by_label, reports.decision_distribution,
+        reports.domain_decision, reports.domain_decision_pivot, reports.status_confusion,
+        reports.mean_freshness, reports.health_table, reports.health_runs, reports.freshness_trend,
+        reports.queue_runs, reports.queue_compact, reports.queue_display, reports.health_display,
+        reports.kpi_display, checks.label_quality, checks.recompute_diff, alerts.alert_rows,
+    )
+}
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -38,6 +42,10 @@ def _parser() -> argparse.ArgumentParser:
     final.add_argument("--json-array", action="store_true")
     final.add_argument("--quarantine", help="folder for violations; default is to fail")
     add("dashboard", "final_csv", "out")
+    stream = add("stream", "source", "table", "progress")
+    stream.add_argument("--delay", default="7 days", help="how late a row or its copy may arrive")
+    stream.add_argument("--source-format", default="json", choices=["json", "csv", "parquet"])
+    stream.add_argument("--files-per-trigger", type=int)
     report = add("report", "table")
     report.add_argument("name", choices=REPORTS)
     report.add_argument("out", help="folder for the report's JSON rows")
@@ -60,8 +68,13 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif a.job == "dashboard":
         rows = jobs.dashboard_job(spark, a.final_csv, a.out)
+    elif a.job == "stream":
+        rows = jobs.stream_job(
+            spark, a.source, a.table, a.progress, a.delay, a.source_format,
+            files_per_trigger=a.files_per_trigger,
+        )
     else:
-        report = getattr(reports, a.name)(read_table(spark, a.table, a.format))
+        report = REPORTS[a.name](read_table(spark, a.table, a.format))
         report.write.mode("overwrite").option("ignoreNullFields", False).json(a.out)
         return
     print(f"{a.job}: {rows} rows")

@@ -12,6 +12,7 @@ from runlens.operators import checks, contract, labels, provenance
 from runlens.operators.measure import with_metrics
 from runlens.schemas import RUNS
 from runlens.sources import readers, writers
+from runlens.streaming import runs as streams
 
 
 def measure_job(
@@ -84,3 +85,23 @@ def final_job(
 def dashboard_job(spark: SparkSession, final_csv: str, out_path: str) -> int:
     """Final CSV -> dashboard JSON."""
     return writers.export_dashboard(readers.load_final_csv(spark, final_csv), out_path)
+
+
+def stream_job(
+    spark: SparkSession,
+    source: str,
+    table_path: str,
+    progress_path: str,
+    delay: str,
+    source_fmt: str = "json",
+    fmt: str = "parquet",
+    files_per_trigger: int | None = None,
+) -> int:
+    """Run files that arrived since the last call -> metrics table, each run once; returns the number
+    of input rows. ``progress_path`` holds what was done and must stay with the table."""
+    options = {"header": "true", "escape": '"'} if source_fmt == "csv" else {}
+    arrived = streams.read_run_stream(spark, source, source_fmt, files_per_trigger, **options)
+    rows = streams.stream_metrics(arrived, delay)
+    query = streams.append_to_table(rows, table_path, progress_path, fmt)
+    query.awaitTermination()
+    return sum(p["numInputRows"] for p in query.recentProgress)

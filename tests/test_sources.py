@@ -115,6 +115,8 @@ def test_command_line(spark, tmp_path, capsys):
     main(["final", p("m"), p("d"), p("f"), p("csv")])
     main(["dashboard", p("csv"), p("web")])
     main(["report", p("f"), "kpi_summary", p("kpi")])
+    main(["report", p("f"), "alert_rows", p("alerts")])
+    assert len(lines_of(tmp_path / "alerts")) == 4
     assert capsys.readouterr().out.splitlines() == [f"{j}: 8 rows" for j in ("measure", "label", "final", "dashboard")]
     assert json.loads(lines_of(tmp_path / "kpi")[0])["blocked"] == 2
 

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from runlens.operators.measure import with_metrics
-from runlens.plans import inputs
+from runlens.plans import inputs, jobs
+from runlens.sources import writers
 from runlens.streaming import runs as streams
 from samples import run, runs_frame
 
@@ -68,7 +69,8 @@ def test_closed_days_can_be_appended(spark, yearly_files, tmp_path):
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     source = str(tmp_path / "in")
     for i, day in enumerate(["2026-01-10", "2026-01-20", "2026-01-01"]):
-        runs_frame(spark, [run(run_id=f"r{i}", run_timestamp=f"{day}T00:00:00")]).coalesce(1).write.mode("append").json(source)
+        arrived = runs_frame(spark, [run(run_id=f"r{i}", run_timestamp=f"{day}T00:00:00")])
+        arrived.coalesce(1).write.mode("append").json(source)
     rows = streams.stream_metrics(streams.read_run_stream(spark, source, files_per_trigger=1), "2 days")
     query = streams.append_to_table(rows, str(tmp_path / "out"), str(tmp_path / "progress"))
     query.awaitTermination()
@@ -76,6 +78,16 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     assert sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]) == 1
 
 
+def test_stream_job_goes_on_where_it_stopped(spark, tmp_path):
+    source, paths = tmp_path / "in", [str(tmp_path / n) for n in ("in", "table", "progress")]
+    for day, read in ((1, 2), (2, 2)):
+        rows = [run(run_id=f"r{day}", run_timestamp=f"2026-01-0{day}T00:00:00", error_message='say "x"')] * 2
+        writers.write_csv(runs_frame(spark, rows).coalesce(1), str(source / f"day{day}"))
+        assert jobs.stream_job(spark, paths[0] + "/*", *paths[1:], "7 days", "csv") == read
+    out = spark.read.parquet(paths[1])
+    assert sorted((r.run_id, r.error_message) for r in out.collect()) == [("r1", 'say "x"'), ("r2", 'say "x"')]
+
+
 def test_event_time_is_utc_and_tolerates_bad_text(spark):
     df = runs_frame(spark, [run(run_timestamp="2026-01-01T12:30:00"), run(run_timestamp="soon")])
     seconds = [r.s for r in streams.with_event_time(df).selectExpr("unix_seconds(event_time) AS s").collect()]
