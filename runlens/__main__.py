@@ -46,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--delay", default="7 days", help="how late a row or its copy may arrive")
     stream.add_argument("--source-format", default="json", choices=["json", "csv", "parquet"])
     stream.add_argument("--files-per-trigger", type=int)
+    stream.add_argument("--quarantine", help="folder for rejected rows; default is to fail")
     report = add("report", "table")
     report.add_argument("name", choices=REPORTS)
     report.add_argument("out", help="folder for the report's JSON rows")
@@ -69,10 +70,11 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "dashboard":
         rows = jobs.dashboard_job(spark, a.final_csv, a.out)
     elif a.job == "stream":
-        rows = jobs.stream_job(
+        jobs.stream_job(
             spark, a.source, a.table, a.progress, a.delay, a.source_format,
-            files_per_trigger=a.files_per_trigger,
+            files_per_trigger=a.files_per_trigger, quarantine_path=a.quarantine,
         )
+        return
     else:
         report = REPORTS[a.name](read_table(spark, a.table, a.format))
         report.write.mode("overwrite").option("ignoreNullFields", False).json(a.out)

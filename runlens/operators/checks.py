@@ -83,6 +83,31 @@ def _any(rules: dict[str, Column]) -> Column:
     return reduce(or_, (F.coalesce(rule, F.lit(False)) for rule in rules.values()))
 
 
+def _split(
+    df: DataFrame, rules: dict[str, Column], columns: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    broken = _any(rules)
+    reasons = F.array_compact(F.array(*[F.when(rule, name) for name, rule in rules.items()]))
+    rejected = df.where(broken).select(*columns, reasons.alias("reasons"))
+    return df.where(~broken).select(*columns), rejected
+
+
+def row_rules(runs: DataFrame, domains: list[str] | None = None) -> dict[str, Column]:
+    """:func:`run_rules`, and one for malformed lines if the scan kept them."""
+    rules = run_rules(domains)
+    if CORRUPT in runs.columns:
+        rules["malformed_record"] = F.col(CORRUPT).isNotNull()
+    return rules
+
+
+def split_rows(
+    runs: DataFrame, domains: list[str] | None = None, **more: Column
+) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected with ``reasons``) by the rules that need only the row itself, and by ``more``
+    conditions that are true on a violating row. Works on streams as well."""
+    return _split(runs, row_rules(runs, domains) | more, runs.columns)
+
+
 def _marked(runs: DataFrame) -> DataFrame:
     """Runs with ``copies``, set on every copy of a repeated run_id.
 
@@ -104,14 +129,8 @@ def quarantine(
     All copies of a repeated run_id are rejected: none can be told to be the right one. Reasons are
     put together for rejected rows only; the test all rows pass through is plain generated code.
     """
-    rules = run_rules(domains)
-    if CORRUPT in runs.columns:
-        rules["malformed_record"] = F.col(CORRUPT).isNotNull()
-    rules["duplicate_run_id"] = F.col("copies").isNotNull()
-    marked, broken = _marked(runs), _any(rules)
-    reasons = F.array_compact(F.array(*[F.when(rule, name) for name, rule in rules.items()]))
-    rejected = marked.where(broken).select(*runs.columns, reasons.alias("reasons"))
-    return marked.where(~broken).select(*runs.columns), rejected
+    rules = row_rules(runs, domains) | {"duplicate_run_id": F.col("copies").isNotNull()}
+    return _split(_marked(runs), rules, runs.columns)
 
 
 def _text(value: Column, kind: T.DataType) -> Column:

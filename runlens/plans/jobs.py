@@ -96,12 +96,22 @@ def stream_job(
     source_fmt: str = "json",
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
-) -> int:
-    """Run files that arrived since the last call -> metrics table, each run once; returns the number
-    of input rows. ``progress_path`` holds what was done and must stay with the table."""
+    quarantine_path: str | None = None,
+) -> None:
+    """Run files that arrived since the last call -> metrics table, each run once. ``progress_path``
+    holds what was done and must stay with the table.
+
+    A row without key or valid time fails the job. With ``quarantine_path``, rows that break any row
+    expectation are appended there with their reasons instead.
+    """
     options = {"header": "true", "escape": '"'} if source_fmt == "csv" else {}
     arrived = streams.read_run_stream(spark, source, source_fmt, files_per_trigger, **options)
+    queries = []
+    if quarantine_path is not None:
+        arrived, rejected = streams.split_stream(arrived)
+        progress = f"{progress_path}/rejected"
+        queries.append(streams.append_to_table(rejected, quarantine_path, progress, fmt))
     rows = streams.stream_metrics(arrived, delay)
-    query = streams.append_to_table(rows, table_path, progress_path, fmt)
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    queries.append(streams.append_to_table(rows, table_path, f"{progress_path}/metrics", fmt))
+    for query in queries:
+        query.awaitTermination()

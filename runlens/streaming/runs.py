@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runlens.functions.numeric import micros, round_exact
+from runlens.operators import checks
 from runlens.operators.measure import with_metrics
 from runlens.schemas import RUNS
 
@@ -30,6 +31,24 @@ def with_event_time(runs: DataFrame) -> DataFrame:
     return runs.withColumn(EVENT_TIME, text.try_cast("timestamp"))
 
 
+def split_stream(
+    runs: DataFrame, domains: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(valid runs, rejected runs with their reasons), row by row."""
+    no_time = F.col("run_timestamp").isNotNull() & F.col(EVENT_TIME).isNull()
+    parts = checks.split_rows(with_event_time(runs), domains, bad_timestamp=no_time)
+    return tuple(part.drop(EVENT_TIME) for part in parts)
+
+
+def _identified(runs: DataFrame, delay: str) -> DataFrame:
+    """Runs with event time and watermark. A row without key or time can be neither told from its
+    copies nor placed in time, so it fails the query."""
+    known = F.col("run_id").isNotNull() & F.col(EVENT_TIME).isNotNull()
+    refuse = F.raise_error(F.lit("run without run_id or valid run_timestamp; split the stream first"))
+    checked = with_event_time(runs).where(F.when(known, True).otherwise(refuse.cast("boolean")))
+    return checked.withWatermark(EVENT_TIME, delay)
+
+
 def stream_metrics(
     runs: DataFrame, delay: str, spread_by: Column | None = None, spread: int = 16
 ) -> DataFrame:
@@ -41,7 +60,7 @@ def stream_metrics(
     names something that differs between its copies, such as the file they came in: copies are then
     first thinned out in up to ``spread`` tasks per key, at the price of a second state store.
     """
-    fresh = with_event_time(runs).withWatermark(EVENT_TIME, delay)
+    fresh = _identified(runs, delay)
     if spread_by is not None:
         fresh = fresh.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
         fresh = fresh.dropDuplicatesWithinWatermark(["run_id", "__salt"]).drop("__salt")
@@ -53,7 +72,7 @@ def domain_daily(runs: DataFrame, delay: str) -> DataFrame:
     """Runs and failure rate sum per UTC day and domain. The sum is in whole 1e-6 units, so it does
     not depend on arrival order. Append it to a table for closed days only, or upsert it to see open
     days as well."""
-    timed = with_metrics(with_event_time(runs).withWatermark(EVENT_TIME, delay))
+    timed = with_metrics(_identified(runs, delay))
     grouped = timed.groupBy(F.window(EVENT_TIME, "1 day"), "domain").agg(
         F.count("*").alias("runs"), F.sum(micros(F.col("failure_rate"))).alias("rate_micros")
     )

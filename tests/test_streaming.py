@@ -80,14 +80,28 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
 
 def test_stream_job_goes_on_where_it_stopped(spark, tmp_path):
     source, paths = tmp_path / "in", [str(tmp_path / n) for n in ("in", "table", "progress")]
-    for day, read in ((1, 2), (2, 2)):
+    for day in (1, 2):
         rows = [run(run_id=f"r{day}", run_timestamp=f"2026-01-0{day}T00:00:00", error_message='say "x"')] * 2
         writers.write_csv(runs_frame(spark, rows).coalesce(1), str(source / f"day{day}"))
-        assert jobs.stream_job(spark, paths[0] + "/*", *paths[1:], "7 days", "csv") == read
+        jobs.stream_job(spark, paths[0] + "/*", *paths[1:], "7 days", "csv")
     out = spark.read.parquet(paths[1])
     assert sorted((r.run_id, r.error_message) for r in out.collect()) == [("r1", 'say "x"'), ("r2", 'say "x"')]
 
 
+def test_rows_without_key_or_time_fail_or_are_set_aside(spark, tmp_path):
+    source, p = str(tmp_path / "in"), lambda name: str(tmp_path / name)
+    rows = [run(run_id="a"), run(run_id="b", run_timestamp="soon"), run(run_id=None), run(run_id=None),
+            run(run_id="c", status="odd")]
+    runs_frame(spark, rows).write.json(source)
+    with pytest.raises(Exception, match="split the stream first"):
+        jobs.stream_job(spark, source, p("t1"), p("p1"), "7 days")
+    jobs.stream_job(spark, source, p("t2"), p("p2"), "7 days", quarantine_path=p("rejected"))
+    assert [r.run_id for r in spark.read.parquet(p("t2")).collect()] == ["a"]
+    rejected = spark.read.parquet(p("rejected")).collect()
+    assert sorted((r.run_id or "", r.reasons) for r in rejected) == [
+        ("", ["null_run_id"]), ("", ["null_run_id"]), ("b", ["bad_timestamp"]), ("c", ["unknown_status"])]
+
+
 def test_event_time_is_utc_and_tolerates_bad_text(spark):
     df = runs_frame(spark, [run(run_timestamp="2026-01-01T12:30:00"), run(run_timestamp="soon")])
     seconds = [r.s for r in streams.with_event_time(df).selectExpr("unix_seconds(event_time) AS s").collect()]
