@@ -72,6 +72,14 @@ def test_ordered_projections(spark):
     assert [r.run_timestamp for r in trend.collect()] == sorted(times)
 
 
+def test_dashboard_extract_types_text_rows(spark):
+    f = final(spark)
+    text = f.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in f.columns])
+    typed, direct = reports.dashboard_extract(text), reports.dashboard_extract(f)
+    assert typed.dtypes == direct.dtypes and typed.collect() == direct.collect()
+    assert typed.where("label_confidence IS NULL").count() == 1
+
+
 def test_filters(spark):
     f = final(spark)
     assert reports.filtered_runs(f).count() == 8
