@@ -1,24 +1,22 @@
 """Intermediate tables in the folder all executors share.
 
 A written table cuts the lineage durably (a lost executor costs nothing that was written), keeps
-column pruning, and gives the optimizer real sizes for its choice of join.
+column pruning, and gives the optimizer real sizes for its choice of join. Whoever writes such a
+table is done with it at some time: a :class:`Scope` removes its folders then.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Only a local master may run without it."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a folder below the warehouse,
+    which a cluster shares as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="runlens-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -31,3 +29,40 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system its path names, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scope:
+    """Staged tables that end together: ``with Scope(spark) as scope: part = scope.stage(df, "part")``.
+
+    Nothing read from a scope may be evaluated after its end; write or stage the result before.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def folder(self, name: str) -> str:
+        self.paths.append(new_folder(self.spark, name))
+        return self.paths[-1]
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.folder(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        for path in self.paths:
+            remove_folder(self.spark, path)
+        self.paths.clear()
+
+    def __enter__(self) -> "Scope":
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()

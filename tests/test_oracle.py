@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, oracle
+from runlens.plans.oracle import oracle_sql
+from runlens.plans.queries import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
