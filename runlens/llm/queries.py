@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import quality_classifier, quality_rules
+from runlens.llm import near_dedup, quality_classifier, quality_rules
 from runlens.sources import staging
 
 
@@ -11,6 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_shingles").cast("long"), "component_id", "kept")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     counted = staging.stage(quality_rules.with_counts(docs).drop("text"), "rule-counts")
@@ -29,6 +34,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
 }
