@@ -1,9 +1,10 @@
 """The registered queries of this subpackage: each operator over its whole table."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import near_dedup, quality_classifier, quality_rules
+from runlens.llm import line_dedup, near_dedup, packing, quality_classifier, quality_rules
 from runlens.sources import staging
 
 
@@ -11,6 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scope = staging.Scope(spark)  # the result reads the spans until the session ends
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, scope).select(
+        "doc_id", "text", "n_lines", "n_removed_lines", F.size("removed").alias("n_removed_chunks"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.col("n_shingles").cast("long"), "component_id", "kept")
@@ -25,6 +33,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def packed(docs: DataFrame, scope: staging.Scope) -> DataFrame:
+    """The pieces of ``docs`` with their places and the checksum of their ids."""
+    pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), scope)
+    return pieces.select("doc_id", "piece", "start", F.col("length").cast("long"),
+                         F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), staging.Scope(spark))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.learn(docs, table(spark, sf_dir, "labels"))
@@ -34,7 +53,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op8_quality_classifier": op8_quality_classifier,
 }
