@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.llm import line_dedup, near_dedup, packing, quality_classifier, quality_rules
+from runlens.llm import (
+    line_dedup, near_dedup, packing, quality_classifier, quality_rules, sharding, topk, url_filter,
+)
 from runlens.sources import staging
 
 
@@ -44,6 +46,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), staging.Scope(spark))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table holds outcomes of pages, so each page's outcome is measured on its own html."""
+    pages = table(spark, sf_dir, "pages")
+    outcomes = pages.select("url", url_filter.junk_page(F.col("html")).alias("bad"))
+    return url_filter.judge(pages.select("page_id", "url"), outcomes).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.learn(docs, table(spark, sf_dir, "labels"))
@@ -52,10 +62,29 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 100 = 0"), 10, staging.Scope(spark))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checksum is taken where the texts are read, so that only numbers are written and moved."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scope = staging.Scope(spark)
+    keyed = sharding.with_keys(docs).withColumn(
+        "text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).drop("text")
+    placed = sharding.assign(scope.stage(keyed, "keyed"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_url_filter": op7_url_filter,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_exact_topk": op9_exact_topk,
+    "op10_sharding": op10_sharding,
 }
