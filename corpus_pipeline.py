@@ -3,7 +3,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm import quality_classifier, quality_rules
+from runlens.llm import line_dedup, near_dedup, quality_classifier, quality_rules, queries
 from runlens.sources import staging
 
 
@@ -17,7 +17,28 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_classifier.filter_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-STAGES = [("quality_rules", rules), ("quality_classifier", classifier)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the multi-line passages that another document, or an earlier place, holds."""
+    return line_dedup.filter_documents(docs, staging.Scope(spark))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near-duplicates."""
+    return near_dedup.filter_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of the documents, packed into sequences."""
+    return queries.packed(docs, staging.Scope(spark))
+
+
+STAGES = [
+    ("quality_rules", rules),
+    ("quality_classifier", classifier),
+    ("line_dedup", lines),
+    ("near_dedup", near_duplicates),
+    ("best_fit_packing", packing),
+]
 
 #: The fitted classifier cannot be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.llm import (
-    line_dedup, near_dedup, packing, quality_classifier, quality_rules, sharding, topk, url_filter,
+    line_dedup, near_dedup, packing, pieces, quality_classifier, quality_rules, sharding, token_counts,
+    topk, url_filter,
 )
 from runlens.sources import staging
 
@@ -35,10 +36,28 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches over all documents, one of them delivered twice: every document is inserted; every
+    seventh is revised to what a second tokenizer version counts; every eleventh is deleted."""
+    counted = staging.stage(token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "token-counts")
+    named = counted.withColumn("tokenizer", F.lit("byte_bpe_50k/1"))
+    again = named.where("doc_id % 7 = 0")
+    revised = token_counts.revisions(again, again.withColumn("tokenizer", F.lit("byte_bpe_50k/2")).withColumn(
+        "n_tokens", F.col("n_tokens") + 1))  # version 2 ends every document with a mark
+    rollup = token_counts.Rollup(spark, staging.new_folder(spark, "token-rollup"))
+    rollup.commit("load", token_counts.inserts(named))
+    rollup.commit("revise", revised)
+    rollup.commit("load", token_counts.inserts(named))
+    rollup.commit("delete", token_counts.deletes(named.where("doc_id % 11 = 0 and doc_id % 7 <> 0")))
+    rollup.compact()
+    return rollup.totals()
+
+
 def packed(docs: DataFrame, scope: staging.Scope) -> DataFrame:
     """The pieces of ``docs`` with their places and the checksum of their ids."""
-    pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), scope)
-    return pieces.select("doc_id", "piece", "start", F.col("length").cast("long"),
+    found = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), scope)
+    return found.select("doc_id", "piece", "start", F.col("length").cast("long"),
                          F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
@@ -46,6 +65,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), staging.Scope(spark))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No table holds outcomes of pages, so each page's outcome is measured on its own html."""
     pages = table(spark, sf_dir, "pages")
@@ -82,7 +109,9 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_token_counts": op4_token_counts,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_url_filter": op7_url_filter,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_exact_topk": op9_exact_topk,
