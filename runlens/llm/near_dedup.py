@@ -7,14 +7,18 @@
    buckets borrow a register along fixed pseudo-random probes, so small sets have full sketches.
 3. ``BANDS`` bands of ``BAND_WIDTH`` compressed registers are bucket keys. At the threshold 0.75 a
    pair shares none of them with probability (1 - 0.75^5)^56 = 3e-7; above it with less.
-4. Within a bucket all members are compared with its first and last member only. Where members of a
-   bucket are still in different components after that, the pairs between these components follow.
-   So groups of near copies cost a multiple of their size, and no pair of bucket mates in different
-   components is left out. There is no cap.
-5. Candidate pairs must have fitting set sizes and a Jaccard estimate, corrected for accidental
-   collisions of registers, of no less than six standard deviations below the threshold: first from
-   one bit per register inside the join, then from whole registers.
-6. The remaining pairs are decided on their full sets, computed again from the whole texts.
+4. Each member of a bucket is paired with the bucket's first member. Pairs whose set sizes fit and
+   whose Jaccard estimate, from one bit per register and corrected for accidental agreement, is
+   within six standard deviations of the threshold are near; members of a bucket that this leaves
+   in different families of near pairs are then paired with each other. So bucket mates that may be
+   linked share a family, while groups of near copies cost a multiple of their size only.
+5. Near pairs whose estimate from whole registers, corrected for collisions, is not below the
+   threshold by six standard deviations are decided on their full sets, computed again from the
+   whole texts. The links give components.
+6. A family that still holds several components is compared completely: its sets are dealt into
+   blocks, each two blocks that can hold a link meet in one task, exact intersections come from
+   matrix products, and a spanning forest of the links found is returned. Blocks of one component
+   are not compared with each other. There is no cap.
 
 Edge cases. Null, empty or blank text: no shingles, a component of its own, kept. Null doc_id: takes
 part; the smallest of its component is taken over the ids that are not null; a component without
@@ -38,6 +42,8 @@ MANTISSA = 10
 SIGNATURE_BITS = 256
 PROBES = 64
 DEVIATIONS = 6
+BLOCK = 512  # sets in a block of a family that is compared completely
+COLUMNS = 4096
 
 _SKETCH = ("n_shingles long, hi long, lo long, registers binary, "
            + ", ".join(f"s{i} long" for i in range(SIGNATURE_BITS // 64)))
@@ -176,6 +182,47 @@ def _links(batches):
         yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
+def _block_links(rows: pa.Table) -> pa.Table:
+    """The sets of two blocks -> a spanning forest of the links between different components."""
+    nodes, roots = rows.column("node").to_numpy(), rows.column("root").to_numpy()
+    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("members")]
+    sizes = np.array([len(s) for s in sets])
+    values, place, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = seen > 1  # what one set alone holds adds to no intersection
+    column = np.cumsum(common) - 1
+    held = common[place]
+    row_of, column_of = np.repeat(np.arange(len(sets)), sizes)[held], column[place][held]
+    by_column = np.argsort(column_of, kind="stable")
+    row_of, column_of = row_of[by_column], column_of[by_column]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(common.sum()), COLUMNS):
+        a, b = np.searchsorted(column_of, [low, low + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row_of[a:b], column_of[a:b] - low] = 1
+        both += part @ part.T  # whole numbers below 2^24, so exact
+    union = sizes[:, None] + sizes[None, :] - both
+    linked = (100.0 * both >= THRESHOLD * union) & (roots[:, None] < roots[None, :])
+    parent = np.arange(len(sets))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for group in np.unique(roots, return_inverse=True)[1:]:
+        first = {}
+        for x, g in enumerate(group.tolist()):
+            parent[x] = first.setdefault(g, x)
+    forest = []
+    for x, y in np.argwhere(linked).tolist():
+        i, j = find(x), find(y)
+        if i != j:
+            parent[max(i, j)] = min(i, j)
+            forest.append((x, y))
+    pairs = np.array(forest, np.int64).reshape(-1, 2)
+    return pa.table({"a": nodes[pairs[:, 0]], "b": nodes[pairs[:, 1]]})
+
+
 def _hamming(x: str, y: str):
     return sum(F.bit_count(F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}")))
                for i in range(SIGNATURE_BITS // 64))
@@ -210,52 +257,94 @@ class _Classes:
     def bands(self) -> DataFrame:
         return self.table.select("node", "registers").mapInArrow(_band_keys, "key long, node long")
 
-    def first_pairs(self) -> DataFrame:
-        """Every member of a bucket with the bucket's first and last member."""
+    def buckets(self) -> DataFrame:
+        """(key, node, low): the members of buckets that more than one class fell into."""
         ends = self.bands().groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        shared = self.scope.stage(ends.where("low <> high"), "buckets")
-        mates = self.bands().join(shared, "key").select(
-            F.col("node").alias("b"), F.explode(F.array("low", "high")).alias("a")).where("a <> b")
-        return mates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    def rest_pairs(self, roots: DataFrame, done: DataFrame) -> DataFrame:
-        """Bucket mates in different components, but for the pairs already decided."""
-        labelled = self.bands().join(self.scope.stage(
-            self.small.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")),
-            "labelled"), "node")
-        mixed = labelled.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h")).where("l <> h")
-        mates = self.scope.stage(labelled.join(mixed.select("key"), "key"), "mates")
+        shared = self.scope.stage(ends.where("low <> high").select("key", "low"), "shared")
+        return self.scope.stage(self.bands().join(shared.hint("merge"), "key"), "buckets")
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that pass sizes and the one-bit estimate, written."""
+        x, y = self.small.hint("merge").alias("x"), self.small.hint("merge").alias("y")
+        found = pairs.join(x, F.col("a") == F.col("x.node")).join(
+            y, (F.col("b") == F.col("y.node")) & _may_link("x", "y"))
+        return self.scope.stage(found.select("a", "b"), "near")
+
+    def families(self, buckets: DataFrame, near: DataFrame) -> DataFrame:
+        """(node, root) of the families, grown until no two bucket mates that are near are apart."""
+        families = connected_components(near, self.scope)
+        placed = _rooted(buckets.select("key", "node").join(self.small, "node"), families)
+        mixed = placed.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h")).where("l <> h")
+        mates = self.scope.stage(placed.join(mixed.select("key"), "key"), "mates")
         x, y = mates.alias("x"), mates.alias("y")
-        on = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (
+        apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (
             F.col("x.root") != F.col("y.root")) & _may_link("x", "y")
-        pairs = x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-        return pairs.join(done, ["a", "b"], "left_anti")
+        more = self.scope.stage(
+            x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "more")
+        if not _has_rows(more):
+            return families
+        return connected_components(near.union(more), self.scope)
+
+    def contested(self, families: DataFrame, roots: DataFrame) -> DataFrame:
+        """(a, b): links within families of several components, enough to join what is linked."""
+        member = _rooted(families.withColumnRenamed("root", "family"), roots)
+        split = member.groupBy("family").agg(F.min("root").alias("l"), F.max("root").alias("h")).where("l <> h")
+        member = self.scope.stage(member.join(split.select("family"), "family"), "contested")
+        if not _has_rows(member):
+            return self.scope.stage(families.sparkSession.createDataFrame([], "a long, b long"), "links")
+        sizes = member.groupBy("family", "root").agg(F.count("*").alias("size"))
+        own = F.col("size") >= BLOCK  # a large component has blocks of its own, small ones share blocks
+        many = sizes.groupBy("family").agg(F.ceil(F.sum(F.when(~own, F.col("size")).otherwise(0)) / BLOCK).alias("small"))
+        number = F.when(own, F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK))).otherwise(
+            F.pmod(F.xxhash64("root"), F.greatest("small", F.lit(1))))
+        block = F.struct(F.when(own, F.col("root")).alias("of"), number.alias("number"))
+        placed = self.scope.stage(
+            member.join(sizes, ["family", "root"]).join(many, "family").select(
+                "family", "node", "root", block.alias("block")), "placed")
+        blocks = placed.groupBy("family").agg(F.collect_set("block").alias("blocks"))
+        met = placed.join(blocks, "family").select(
+            "family", "node", "root", "block", F.explode("blocks").alias("other"))
+        apart = F.col("block.of").isNull() | F.col("other.of").isNull() | (F.col("block.of") != F.col("other.of"))
+        meets = met.where(apart).select(
+            "family", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "node", "root")
+        sets = self.full_sets(placed.select("node"))
+        rows = meets.join(sets.hint("merge"), "node").select("family", "one", "two", "node", "root", "members")
+        found = rows.groupBy("family", "one", "two").applyInArrow(_block_links, "a long, b long")
+        return self.scope.stage(found, "links")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs that pass the estimates, written."""
-        x, y = self.table.alias("x"), self.table.alias("y")
-        sized = pairs.join(x, F.col("a") == F.col("x.node")).join(
-            y, (F.col("b") == F.col("y.node")) & _may_link("x", "y"))
-        both = sized.select("a", "b", F.col("x.registers").alias("ra"), F.col("y.registers").alias("rb"))
+        table = self.table.select("node", "registers").hint("merge")
+        x, y = table.alias("x"), table.alias("y")
+        both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
+        both = both.select("a", "b", F.col("x.registers").alias("ra"), F.col("y.registers").alias("rb"))
         return self.scope.stage(both.mapInArrow(_likely, "a long, b long"), "likely")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are links on their full sets, written. Texts are read again, but only of one
-        document of each class in question."""
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    def full_sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, members): full sets, written. Texts are read again, of one document of each class."""
         wanted = self.scope.stage(
             self.table.select("node", "hi", "lo", F.col("doc_id").alias("id"), F.col("xh").alias("h"))
-            .join(nodes, "node"), "wanted")
-        texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("xh") == F.col("h")))
-        sets = self.scope.stage(
+            .join(nodes.distinct(), "node"), "wanted")
+        texts = self.docs.join(
+            wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("xh") == F.col("h")))
+        return self.scope.stage(
             texts.select("node", "hi", "lo", "text").mapInArrow(_full_sets, "node long, members binary")
             .dropDuplicates(["node"]), "sets")
-        x = sets.select(F.col("node").alias("a"), F.col("members").alias("sa"))
-        y = sets.select(F.col("node").alias("b"), F.col("members").alias("sb"))
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are links on their full sets, written."""
+        sets = self.full_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
+        x = sets.select(F.col("node").alias("a"), F.col("members").alias("sa")).hint("merge")
+        y = sets.select(F.col("node").alias("b"), F.col("members").alias("sb")).hint("merge")
         both = pairs.join(x, "a").join(y, "b").select("a", "b", "sa", "sb")
         return self.scope.stage(both.mapInArrow(_links, "a long, b long"), "links")
 
 
+def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``nodes`` with the ``root`` of their component: their own id if they have no link."""
+    return nodes.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def _has_rows(df: DataFrame) -> bool:
     return len(df.take(1)) > 0
 
@@ -266,16 +355,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     are removed."""
     with Scope(docs.sparkSession) as scope:
         classes = _Classes(docs, scope)
-        likely = classes.likely(classes.first_pairs())
-        links = classes.links(likely)
+        buckets = classes.buckets()
+        near = classes.near(buckets.where("node <> low").select(
+            F.col("low").alias("a"), F.col("node").alias("b")).distinct())
+        links = classes.links(classes.likely(near))
         roots = connected_components(links, scope)
-        rest = classes.likely(classes.rest_pairs(roots, likely))
-        if _has_rows(rest):
-            links = links.union(classes.links(rest))
-            roots = connected_components(links, scope)
+        more = classes.contested(classes.families(buckets, near), roots)
+        if _has_rows(more):
+            roots = connected_components(links.union(more), scope)
         rooted = scope.stage(
-            classes.table.select("node", "hi", "lo", "n_shingles", "doc_id").join(roots, "node", "left")
-            .withColumn("root", F.coalesce("root", "node")), "rooted")
+            _rooted(classes.table.select("node", "hi", "lo", "n_shingles", "doc_id"), roots), "rooted")
         named = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         by_class = rooted.join(named, "root").select("hi", "lo", "n_shingles", "root", "component_id")
         found = classes.members.select("doc_id", "xh", "n_shingles", "hi", "lo").join(
