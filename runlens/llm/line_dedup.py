@@ -125,10 +125,10 @@ def removed_spans(docs: DataFrame, scope: Scope) -> DataFrame:
     repeated = chunks.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high")).where(
         "low <> high").select("key", "low")
     again = scope.stage(
-        chunks.join(repeated, "key").select(*_IDENTITY, "first", "n", "key", (place == F.col("low")).alias("stays"))
+        chunks.join(repeated.hint("merge"), "key").select(*_IDENTITY, "first", "n", "key", (place == F.col("low")).alias("stays"))
         .distinct(), "repeated")
     spans = again.groupBy(*_IDENTITY).agg(F.collect_list(F.struct("first", "n", "key")).alias("spans"))
-    found = texts.alias("t").join(spans.alias("s"), _same("t", "s")).select("text", F.explode("spans").alias("s"))
+    found = texts.alias("t").join(spans.hint("merge").alias("s"), _same("t", "s")).select("text", F.explode("spans").alias("s"))
     pieces = found.select("s.key", F.array_join(
         F.slice(F.split("text", "\n"), F.col("s.first") + 1, F.col("s.n")), "\n").alias("piece"))
     unequal = scope.stage(
@@ -143,7 +143,7 @@ def dedup_lines(docs: DataFrame, scope: Scope) -> DataFrame:
     before and ``n_removed_lines``. It reads tables of ``scope``."""
     spans = scope.stage(removed_spans(docs, scope), "spans")
     rows = _identified(docs.drop("removed", "n_lines", "n_removed_lines"))
-    joined = rows.alias("t").join(spans.alias("s"), _same("t", "s"), "left").select(
+    joined = rows.alias("t").join(spans.hint("merge").alias("s"), _same("t", "s"), "left").select(
         *[F.col(f"t.`{c}`") for c in rows.columns if c not in _IDENTITY], F.col("s.spans").alias("removed"))
     lines = F.size(F.split("text", "\n"))
     none = F.col("removed").isNull()

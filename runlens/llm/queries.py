@@ -56,9 +56,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed(docs: DataFrame, scope: staging.Scope) -> DataFrame:
     """The pieces of ``docs`` with their places and the checksum of their ids."""
-    found = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), scope)
-    return found.select("doc_id", "piece", "start", F.col("length").cast("long"),
-                         F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    pieces_ = scope.stage(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")), "pieces")
+    found = packing.pack(pieces_.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))  # ids stay in place
+    return found.select("doc_id", "piece", "start", F.col("length").cast("long"), "ids_crc32",
+                        "sequence_id", "offset")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
