@@ -74,35 +74,46 @@ def _repeated_words(word: Column) -> Column:
     return let(grams, covered).cast("long")
 
 
+def counts(text: Column) -> Column:
+    """The counts of a whole text as one struct, whose parts are computed once."""
+    body = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+
+    def of(s: Column) -> Column:
+        word, line = s["w"], s["l"]
+        return F.struct(
+            F.size(word).cast("long").alias("n_words"),
+            F.length(F.array_join(word, "")).cast("long").alias("word_chars"),
+            count_of(body, r"[^#*$%&|<>]+").alias("n_symbols"),
+            (F.size(line) - F.size(F.array_distinct(line))).cast("long").alias("n_dup_lines"),
+            _repeated_words(word).alias("n_repeat_words"),
+            F.size(line).cast("long").alias("n_lines"),
+            count_of(body, r"[^A-Z]+").alias("n_capitals"),
+        )
+
+    return let(F.struct(words(text).alias("w"), lines.alias("l")), of)
+
+
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the counts of every whole text."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    split = docs.drop(*COUNTS, *_EXTRA).withColumns({"__w": words(F.col(text)), "__l": F.filter(
-        F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))})
-    return split.withColumns({
-        "n_words": F.size("__w").cast("long"),
-        "word_chars": F.length(F.array_join("__w", "")).cast("long"),
-        "n_symbols": count_of(body, r"[^#*$%&|<>]+"),
-        "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long"),
-        "n_repeat_words": _repeated_words(F.col("__w")),
-        "n_lines": F.size("__l").cast("long"),
-        "n_capitals": count_of(body, r"[^A-Z]+"),
-    }).drop("__w", "__l")
-
-
-def rule_values() -> dict[str, Column]:
+    """``docs`` with the counts of every whole text. Write them before filtering by them: a filter
+    pushed below the projection would compute them again for every mention."""
+    counted = docs.drop(*COUNTS, *_EXTRA).withColumn("__counts", counts(F.col(text)))
+    return counted.select("*", "__counts.*").drop("__counts")
+
+
+def rule_values(count=F.col) -> dict[str, Column]:
     """The value of every rule, from the counts."""
     return {
-        "symbols": share(F.col("n_symbols"), F.col("n_words")),
-        "repeats": share(F.col("n_repeat_words"), F.col("n_words")),
-        "dup_lines": share(F.col("n_dup_lines"), F.col("n_lines")),
-        "capitals": share(F.col("n_capitals"), F.col("word_chars")),
+        "symbols": share(count("n_symbols"), count("n_words")),
+        "repeats": share(count("n_repeat_words"), count("n_words")),
+        "dup_lines": share(count("n_dup_lines"), count("n_lines")),
+        "capitals": share(count("n_capitals"), count("word_chars")),
     }
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
+def base_failed(count=F.col) -> Column:
+    return (count("n_words") < MIN_WORDS) | (
+        100 * count("n_repeat_words") > MAX_REPEATED_PERCENT * count("n_words")
     )
 
 
@@ -194,28 +205,33 @@ def fit(counted: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFra
     return staging.stage(select_cutoffs(cutoff_tests(counted, labels, stratum)), "cutoffs")
 
 
+def _with_cutoffs(docs: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
+    """The written cutoff table is broadcast while the session's size limit allows."""
+    return docs.join(cutoffs.withColumnRenamed("stratum", "__stratum"),
+                     F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
+
+
+def _rejected_by(count=F.col) -> Column:
+    return F.array_compact(F.array(*[
+        F.when(value > F.col(f"cutoff_{rule}"), F.lit(rule)) for rule, value in rule_values(count).items()
+    ]))
+
+
 def judge(counted: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
     """``counted`` with ``base_failed``, ``rejected_by`` (names of the rules whose cutoff is passed)
-    and ``kept``. The written cutoff table is broadcast while the session's size limit allows."""
-    added = ("base_failed", "rejected_by", "kept")
-    left = counted.drop(*added)
-    joined = left.join(cutoffs.withColumnRenamed("stratum", "__stratum"),
-                       F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
-    passed = [
-        F.when(value > F.col(f"cutoff_{rule}"), F.lit(rule)) for rule, value in rule_values().items()
-    ]
-    return joined.withColumns({
-        "base_failed": base_failed(), "rejected_by": F.array_compact(F.array(*passed)),
-    }).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop(
-        "__stratum", *[f"cutoff_{r}" for r in RULES])
+    and ``kept``."""
+    joined = _with_cutoffs(counted.drop("base_failed", "rejected_by", "kept"), cutoffs, stratum)
+    return joined.withColumns({"base_failed": base_failed(), "rejected_by": _rejected_by()}).withColumn(
+        "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)
+    ).drop("__stratum", *[f"cutoff_{r}" for r in RULES])
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with their own columns. Counts are written once for the labelled
-    documents' sake and the texts are read a second time, rather than written."""
+    """The documents that are kept, with their own columns. Counts of labelled documents are written
+    for the fit; the texts are then read again and judged by one expression."""
     labelled = docs.join(labels.where("quality is not null").select("doc_id").distinct(), "doc_id",
-                         "left_semi")
-    cutoffs = fit(with_counts(labelled.select("doc_id", "lang", "text")), labels)
-    marked = docs.select(*docs.columns, F.struct(*docs.columns).alias("__row"))
-    kept = judge(with_counts(marked), cutoffs).where("kept")
-    return kept.select("__row.*")
+                         "left_semi").select("doc_id", "lang", "text")
+    counted = staging.stage(with_counts(labelled).drop("text"), "rule-counts")
+    kept = let(counts(F.col("text")),
+               lambda c: ~base_failed(c.getField) & (F.size(_rejected_by(c.getField)) == 0))
+    return _with_cutoffs(docs, fit(counted, labels), "lang").where(kept).select(*docs.columns)
