@@ -159,9 +159,11 @@ def dedup_lines(docs: DataFrame, scope: Scope) -> DataFrame:
 def filter_documents(docs: DataFrame, scope: Scope) -> DataFrame:
     """The documents with their cut texts and, if there is such a column, their new ``n_chars``. A
     document that lost lines and has no word left goes: all it held stays elsewhere."""
-    cut = dedup_lines(docs, scope)
+    own = F.struct(*docs.columns).alias("__row")
+    cut = dedup_lines(docs.select("doc_id", "text", own), scope)
     left = cut.where(F.col("removed").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(
-            F.length("text").cast(dict(docs.dtypes)["n_chars"])))
-    return left.select(*docs.columns)
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("removed").isNull(), F.col("__row.n_chars")).otherwise(
+        F.length("text"))} if "n_chars" in docs.columns else {"text": F.col("text")}
+    kinds = dict(docs.dtypes)
+    return left.select(*[
+        new[c].cast(kinds[c]).alias(c) if c in new else F.col(f"__row.`{c}`") for c in docs.columns])

@@ -207,13 +207,13 @@ def fit(counted: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFra
 
 def _with_cutoffs(docs: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
     """The written cutoff table is broadcast while the session's size limit allows."""
-    return docs.join(cutoffs.withColumnRenamed("stratum", "__stratum"),
-                     F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
+    named = cutoffs.toDF(*[f"__{c}" for c in cutoffs.columns])
+    return docs.join(named, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
 
 
 def _rejected_by(count=F.col) -> Column:
     return F.array_compact(F.array(*[
-        F.when(value > F.col(f"cutoff_{rule}"), F.lit(rule)) for rule, value in rule_values(count).items()
+        F.when(value > F.col(f"__cutoff_{rule}"), F.lit(rule)) for rule, value in rule_values(count).items()
     ]))
 
 
@@ -223,7 +223,7 @@ def judge(counted: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Data
     joined = _with_cutoffs(counted.drop("base_failed", "rejected_by", "kept"), cutoffs, stratum)
     return joined.withColumns({"base_failed": base_failed(), "rejected_by": _rejected_by()}).withColumn(
         "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)
-    ).drop("__stratum", *[f"cutoff_{r}" for r in RULES])
+    ).drop("__stratum", *[f"__cutoff_{r}" for r in RULES])
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

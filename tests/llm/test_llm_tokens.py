@@ -1,0 +1,190 @@
+"""Packing, token ids, SentencePiece and token rollups."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from runlens.llm import byte_bpe, packing, pieces, token_counts
+from runlens.sources.staging import Scope
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY = Tokenizer.from_file(BPE)
+PROCESSOR = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+TEXT = st.text(alphabet=st.one_of(st.sampled_from("abcdeth ▁ \n\t'.,!*1234ABé日😀\u00a0=-_/"), st.characters(
+    exclude_categories=["Cs"])), max_size=80)
+
+
+def ids_of(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TEXT, max_size=4))
+def test_byte_bpe_equals_the_library(texts):
+    assert [x.tolist() for x in byte_bpe.encoder(BPE)(pa.array(texts, pa.string()))] == [ids_of(t) for t in texts]
+
+
+def test_byte_bpe_store_may_be_emptied_within_a_text(monkeypatch, edge_rows):
+    monkeypatch.setattr(byte_bpe, "CACHE_WORDS", 50)
+    words = byte_bpe._Words(BPE)
+    for row in edge_rows:
+        assert np.frombuffer(words.encode(row[1] or ""), np.uint32).tolist() == ids_of(row[1])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TEXT, max_size=4))
+def test_pieces_equal_the_library(texts):
+    model = pieces.model(PIECES)
+    ids = [x.tolist() for x in model.encode(texts)]
+    assert ids == PROCESSOR.encode(texts)
+    assert [model.decode(np.array(x, np.int32)) for x in ids] == [PROCESSOR.decode(x) for x in ids]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 31_999), st.integers(0, 260)), max_size=12))
+def test_pieces_decode_any_ids(ids):
+    assert pieces.model(PIECES).decode(np.array(ids, np.int32)) == PROCESSOR.decode(ids)
+
+
+def test_pieces_of_long_words_and_a_small_store(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 20)
+    monkeypatch.setattr(pieces, "GROUP_CHARACTERS", 200)
+    chance = random.Random(4)
+    texts = ["ab" * 4000, "a" * 5000, " " * 3000, "".join(chance.choice("etaoinshr") for _ in range(4000))]
+    texts += [" ".join(f"w{chance.randint(0, 99)}" for _ in range(40)) for _ in range(30)]
+    assert [x.tolist() for x in pieces.PieceModel(PIECES).encode(texts)] == PROCESSOR.encode(texts)
+
+
+def test_round_trip_on_edge_cases(edge_docs, edge_rows, no_docs):
+    got = pieces.round_trip(edge_docs, PIECES).collect()
+    want = [(r[0], PROCESSOR.encode(r[1] or "")) for r in edge_rows]
+    want = Counter((d, tuple(i), PROCESSOR.decode(i)) for d, i in want)
+    assert Counter((r.doc_id, tuple(r.ids), r.decoded) for r in got) == want
+    assert pieces.round_trip(no_docs, PIECES).count() == 0
+
+
+def fill(counts, capacity):
+    placements, total = packing.plan_sequences(counts, capacity)
+    sequences, ranks = {}, Counter()
+    starts = {}
+    for p in sorted(placements, key=lambda p: (p.length, p.rank)):
+        starts.setdefault(p.length, []).append(p)
+    for length, own in starts.items():
+        for p, after in zip(own, [*own[1:], None]):
+            end = after.rank if after else counts[length]
+            for r in range(p.rank, end):
+                k = r - p.rank
+                sequences.setdefault(p.first + k // p.per_bin, []).append((p.offset + k % p.per_bin * length, length))
+                ranks[length] += 1
+    assert ranks == Counter({k: v for k, v in counts.items() if v})
+    assert set(sequences) == set(range(total))
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= capacity
+        assert sum(3 * length > capacity for _, length in own) <= 2
+    return total
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(0, 40), max_size=12))
+def test_plans_are_gapless_and_near_the_bound(counts):
+    total = fill(counts, 30)
+    halves = sum(v for k, v in counts.items() if k > 15)  # no two of them share a sequence
+    large = sum(v for k, v in counts.items() if 10 < k <= 15)
+    bound = max(-(-sum(k * v for k, v in counts.items()) // 30), halves + max(0, -(-(large - halves) // 2)))
+    assert bound <= total <= 1.34 * bound + 1
+
+
+def test_large_items_pair_greedily():
+    assert fill({18: 3, 12: 3}, 30) == 3
+    assert fill({15: 5}, 30) == 3
+    assert fill({30: 4, 1: 30}, 30) == 5
+    assert fill({11: 6, 8: 6}, 30) == 4  # two of 11 and one of 8 each, then the others of 8
+
+
+def test_documents_are_packed_whole(spark, edge_docs, edge_rows, no_docs):
+    with Scope(spark) as scope:
+        got = packing.pack_documents(edge_docs, BPE, scope).toPandas()
+        assert packing.pack_documents(no_docs, BPE, scope).count() == 0
+    want = Counter()
+    for row in edge_rows:
+        ids = np.array([*ids_of(row[1]), 0], np.uint32)
+        first = len(ids) % 2048 or 2048
+        for k, (a, b) in enumerate(zip([0, *range(first, len(ids), 2048)], range(first, len(ids) + 1, 2048))):
+            want[(row[0], k, a, b - a, zlib.crc32(ids[a:b].tobytes()))] += 1
+    own = got.doc_id.astype(object).where(got.doc_id.notna(), None)
+    assert Counter((None if d is None else int(d), p, s, n, zlib.crc32(i)) for d, p, s, n, i in zip(
+        own, got.piece, got.start, got.length, got.ids)) == want
+    for _, part in got.sort_values("offset").groupby("sequence_id"):
+        assert list(part.offset) == [0, *np.cumsum(part.length)[:-1]] and part.length.sum() <= 2048
+    assert got.sequence_id.nunique() <= 1.1 * got.length.sum() / 2048 + 1
+
+
+GROUPED = "source string, lang string, tokenizer string, n_tokens long"
+
+
+def totals(rollup):
+    return {tuple(r)[:3]: (r.n_docs, r.n_tokens) for r in rollup.totals().collect()}
+
+
+def test_rollup_commits_once_and_compacts(spark, tmp_path):
+    rollup = token_counts.Rollup(spark, str(tmp_path / "rollup"))
+    assert totals(rollup) == {}
+    first = spark.createDataFrame([("a", "en", "v1", 5), ("a", "en", "v1", 7), (None, None, "v1", 1)], GROUPED)
+    assert rollup.commit("day/1", token_counts.inserts(first))
+    assert not rollup.commit("day/1", token_counts.inserts(first))
+    want = {("a", "en", "v1"): (2, 12), (None, None, "v1"): (1, 1)}
+    assert totals(rollup) == want
+    rollup.compact()
+    assert totals(rollup) == want and not rollup.commit("day/1", token_counts.inserts(first))
+    old = spark.createDataFrame([("a", "en", "v1", 7)], GROUPED)
+    new = spark.createDataFrame([("a", "en", "v2", 9)], GROUPED)
+    assert rollup.commit("day/2", token_counts.revisions(old, new))
+    gone = spark.createDataFrame([(None, None, "v1", 1)], GROUPED)
+    assert rollup.commit("day/3", token_counts.deletes(gone))
+    assert rollup.commit("empty", token_counts.inserts(first.limit(0)))
+    want = {("a", "en", "v1"): (1, 5), ("a", "en", "v2"): (1, 9)}
+    assert totals(rollup) == want
+    rollup.compact()
+    rollup.compact()
+    assert totals(rollup) == want and not rollup.commit("day/2", token_counts.revisions(old, new))
+
+
+def test_rollup_survives_an_interrupted_write_and_compaction(spark, tmp_path, monkeypatch):
+    rollup = token_counts.Rollup(spark, str(tmp_path / "rollup"))
+    rows = spark.createDataFrame([("a", "en", "v1", 5)], GROUPED)
+    bad = rows.withColumn("n_tokens", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        rollup.commit("x", token_counts.inserts(bad))
+    assert totals(rollup) == {} and rollup.commit("x", token_counts.inserts(rows))
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:  # the base is in place, the batches it replaces are not removed yet
+        m.setattr(token_counts, "remove_folder", stop)
+        with pytest.raises(RuntimeError):
+            rollup.compact()
+    assert totals(rollup) == {("a", "en", "v1"): (1, 5)}
+    rollup.compact()
+    assert totals(rollup) == {("a", "en", "v1"): (1, 5)} and not rollup.commit("x", token_counts.inserts(rows))
+
+
+def test_token_counts_of_edge_cases(edge_docs, edge_rows, no_docs):
+    got = token_counts.count_tokens(edge_docs, BPE).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((r[0], len(ids_of(r[1]))) for r in edge_rows)
+    assert token_counts.count_tokens(no_docs, BPE).count() == 0
