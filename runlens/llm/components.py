@@ -4,7 +4,7 @@ Every round is two grouped minima and joins; nothing but counts reaches the driv
 a third of all links is one partial minimum per task and a join whose hot side can be split.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from runlens.sources.staging import Scope
@@ -30,13 +30,15 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 def connected_components(links: DataFrame, scope: Scope) -> DataFrame:
     """(node, root): the smallest node of its component for every node with a link, ``links`` being
     pairs (a, b) of long ids in any order, repeated or not."""
-    links = scope.stage(links.where("a <> b").distinct(), "links")
+    links = links.where("a <> b").distinct()
     before = None
     while True:
-        links = scope.stage(_star(_star(links, True), False), "links")
-        sign = F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))
-        now = links.agg(F.count("*").alias("n"), sign.alias("s")).first()
-        if now == before or now.n == 0:
+        seen = Observation()
+        sign = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+        star = _star(_star(links, True), False)
+        links = scope.stage(star.observe(seen, F.count("*").alias("n"), sign.alias("s")), "links")
+        now = seen.get
+        if now == before or now["n"] == 0:
             break
         before = now
     roots = links.select("b").distinct()
