@@ -5,9 +5,10 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from runlens.operators import alerts, checks, reports
+from runlens.operators import alerts, checks, contract, labels, reports
 from runlens.plans import jobs
-from runlens.sources.readers import read_table
+from runlens.sources.readers import load_decisions, read_table
+from runlens.streaming.runs import compact_domain_daily
 
 REPORTS = {
     report.__name__: report
@@ -16,7 +17,7 @@ REPORTS = {
         reports.domain_decision, reports.domain_decision_pivot, reports.status_confusion,
         reports.mean_freshness, reports.health_table, reports.health_runs, reports.freshness_trend,
         reports.queue_runs, reports.queue_compact, reports.queue_display, reports.health_display,
-        reports.kpi_display, checks.label_quality, checks.recompute_diff, alerts.alert_rows,
+        reports.kpi_display, reports.filtered_runs, checks.label_quality, checks.recompute_diff, alerts.alert_rows,
     )
 }
 
@@ -34,13 +35,27 @@ def _parser() -> argparse.ArgumentParser:
     measure = add("measure", "runs", "table", "extract")
     measure.add_argument("--format", default="parquet")
     measure.add_argument("--quarantine", help="folder for rejected runs; default is to fail")
+    measure.add_argument("--domains", nargs="+", help="the domains that runs may have; default is any")
     label = add("label", "extract", "decisions", "meta")
     label.add_argument("--version", default="v1")
+    label.add_argument("--recorded", help="decisions to answer with, as JSON; default is the policy")
+    label.add_argument("--violations", help="folder for offending keys, should the check fail")
     label.add_argument("--generated-at", required=True)
     final = add("final", "metrics", "decisions", "table", "csv")
     final.add_argument("--format", default="parquet")
     final.add_argument("--json-array", action="store_true")
     final.add_argument("--quarantine", help="folder for violations; default is to fail")
+    final.add_argument("--violations", help="folder for offending keys, should the check fail")
+    coverage = add("coverage", "metrics", "decisions", "out")
+    coverage.add_argument("--format", default="parquet")
+    load = add("load", "source", "table", "progress")
+    load.add_argument("--source-format", default="json", choices=["json", "csv", "parquet"])
+    load.add_argument("--files-per-trigger", type=int)
+    load.add_argument("--quarantine", help="folder for rejected rows; default is to fail")
+    load.add_argument("--domains", nargs="+", help="the domains that runs may have; default is any")
+    add("daily", "table", "out", "progress")
+    compact = add("compact-daily", "out")
+    compact.add_argument("states", nargs="+", help="folders written by daily or compact-daily")
     add("dashboard", "final_csv", "out")
     stream = add("stream", "source", "table", "progress")
     stream.add_argument("--delay", default="7 days", help="how late a row or its copy may arrive")
@@ -51,6 +66,9 @@ def _parser() -> argparse.ArgumentParser:
     report.add_argument("name", choices=REPORTS)
     report.add_argument("out", help="folder for the report's JSON rows")
     report.add_argument("--format", default="parquet")
+    report.add_argument("--domains", nargs="+", help="filtered_runs: domains to show")
+    report.add_argument("--labels", nargs="+", help="filtered_runs: labels to show")
+    report.add_argument("--drift", action="store_true", default=None, help="filtered_runs: drifted runs only")
     return parser
 
 
@@ -58,25 +76,45 @@ def main(argv: list[str] | None = None) -> None:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"runlens-{a.job}").getOrCreate()
     if a.job == "measure":
-        rows = jobs.measure_job(spark, a.runs, a.table, a.extract, a.format, a.quarantine)
+        rows = jobs.measure_job(spark, a.runs, a.table, a.extract, a.format, a.quarantine, a.domains)
     elif a.job == "label":
         rows = jobs.label_job(
-            spark, a.extract, a.decisions, a.meta, "policy", a.version, a.generated_at
+            spark, a.extract, a.decisions, a.meta, "recorded" if a.recorded else "policy", a.version,
+            a.generated_at,
+            labels.recorded_labels(load_decisions(spark, a.recorded)) if a.recorded else labels.policy_labels,
+            a.violations,
         )
     elif a.job == "final":
         rows = jobs.final_job(
-            spark, a.metrics, a.decisions, a.table, a.csv, a.format, a.json_array, a.quarantine
+            spark, a.metrics, a.decisions, a.table, a.csv, a.format, a.json_array, a.quarantine, a.violations
         )
     elif a.job == "dashboard":
         rows = jobs.dashboard_job(spark, a.final_csv, a.out)
     elif a.job == "stream":
-        jobs.stream_job(
+        late = jobs.stream_job(
             spark, a.source, a.table, a.progress, a.delay, a.source_format,
             files_per_trigger=a.files_per_trigger, quarantine_path=a.quarantine,
         )
+        print(f"{a.job}: {late} rows came too late")
+        return
+    elif a.job == "load":
+        jobs.load_job(
+            spark, a.source, a.table, a.progress, a.source_format, a.files_per_trigger, a.quarantine, a.domains
+        )
+        return
+    elif a.job == "daily":
+        jobs.daily_job(spark, a.table, a.out, a.progress)
+        return
+    elif a.job == "compact-daily":
+        compact_domain_daily(spark, a.out, *a.states)
+        return
+    elif a.job == "coverage":
+        found = contract.coverage_report(read_table(spark, a.metrics, a.format), load_decisions(spark, a.decisions))
+        found.write.mode("overwrite").json(a.out)
         return
     else:
-        report = REPORTS[a.name](read_table(spark, a.table, a.format))
+        chosen = (a.domains, a.labels, a.drift) if a.name == "filtered_runs" else ()
+        report = REPORTS[a.name](read_table(spark, a.table, a.format), *chosen)
         report.write.mode("overwrite").option("ignoreNullFields", False).json(a.out)
         return
     print(f"{a.job}: {rows} rows")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens.functions.numeric import decimal_text
-from runlens.operators.contract import duplicate_runs
+from runlens.operators.contract import ContractError, duplicate_runs
 from runlens.operators.measure import decision_extract, with_metrics
 from runlens.schemas import (
     ATTENTION, CONFIDENCE, DECISION, DRIFT_KINDS, METRIC_COLUMNS, METRIC_DECIMALS, RUNS, STATUSES,
@@ -124,13 +124,24 @@ def quarantine(
     runs: DataFrame, domains: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(valid runs, rejected runs with ``reasons``, the array of rules they violate). Together they
-    are exactly the input.
+    are exactly the input, which is written once, so both are of the same rows.
 
     All copies of a repeated run_id are rejected: none can be told to be the right one. Reasons are
     put together for rejected rows only; the test all rows pass through is plain generated code.
     """
     rules = row_rules(runs, domains) | {"duplicate_run_id": F.col("copies").isNotNull()}
-    return _split(_marked(runs), rules, runs.columns)
+    marked = stage(_marked(stage(runs, "quarantine-input")), "marked-runs")
+    return _split(marked, rules, runs.columns)
+
+
+def check_readable(runs: DataFrame, domains: list[str] | None = None) -> None:
+    """Raise :class:`ContractError` if a line was malformed, a required column is null or, given
+    ``domains``, a run has another one. One pass; the message counts every kind."""
+    rules = {n: c for n, c in row_rules(runs, domains).items()
+             if n.startswith("null_") or n in ("malformed_record", "unknown_domain")}
+    found = {r.rule: r.violations for r in _counted(runs, rules).collect() if r.violations}
+    if found:
+        raise ContractError("unreadable runs: " + ", ".join(f"{n}={k}" for n, k in found.items()))
 
 
 def _text(value: Column, kind: T.DataType) -> Column:
@@ -147,27 +158,29 @@ def _same(left: Column, right: Column, kind: T.DataType, tolerance: float) -> Co
 
 
 def _differences(df: DataFrame, fields: list[tuple[str, Column, Column, T.DataType]],
-                 tolerance: float, rows: Column | None = None) -> DataFrame:
-    """(run_id, field, left_value, right_value) per differing field. ``rows``, where not null, is a
-    ready entry that stands for the whole row. Entries are built for differing rows only."""
-    single = F.lit(True) if rows is None else rows.isNull()
-    differs = {
-        name: single & ~_same(left, right, kind, tolerance) for name, left, right, kind in fields
-    }
+                 tolerance: float) -> DataFrame:
+    """(run_id, field, left_value, right_value) per differing field. Entries are built for differing
+    rows only."""
+    differs = {name: ~_same(left, right, kind, tolerance) for name, left, right, kind in fields}
+
+    def texts(left: Column, right: Column, kind: T.DataType) -> list[Column]:
+        short = [_text(left, kind), _text(right, kind)]
+        hidden = short[0].eqNullSafe(short[1])
+        return [F.when(hidden, v.cast("string")).otherwise(t).alias(f"{side}_value")
+                for v, t, side in zip((left, right), short, ("left", "right"))]
+
     entries = [
         F.when(
             differs[name],
             F.struct(
                 F.lit(name).alias("field"),
-                _text(left, kind).alias("left_value"),
-                _text(right, kind).alias("right_value"),
+                *texts(left, right, kind),
             ),
         )
         for name, left, right, kind in fields
     ]
-    found = df.where(_any(differs) | ~single)
-    whole = [] if rows is None else [rows]
-    return found.select("run_id", F.inline(F.array_compact(F.array(*whole, *entries))))
+    found = df.where(_any(differs))
+    return found.select("run_id", F.inline(F.array_compact(F.array(*entries))))
 
 
 def reconcile(
@@ -176,38 +189,28 @@ def reconcile(
     """Differences of two tables by run_id: (run_id, field, left_value, right_value).
 
     A key whose row count differs from one on either side gives a single ``rows`` entry with the
-    counts. Both sides are grouped together in one pass instead of joined, so repeated keys cannot
-    multiply. Doubles equal within ``tolerance`` are the same; values print at metric precision.
+    counts. Rows per key are counted first, so repeated keys cannot multiply into pairs: only keys
+    with one row on either side are joined. Doubles equal within ``tolerance`` are the same; values
+    print at metric precision, or in full where that would hide the difference.
     """
-
-    def side(df: DataFrame, n: int) -> DataFrame:
-        values = F.struct(*columns)
-        empty = F.lit(None).cast(left.select(values.alias("v")).schema["v"].dataType)
-        return df.select(
-            "run_id",
-            F.lit(1 - n).alias("l"),
-            F.lit(n).alias("r"),
-            (values if n == 0 else empty).alias("lv"),
-            (values if n == 1 else empty).alias("rv"),
-        )
-
-    both = side(left, 0).unionAll(side(right, 1)).groupBy("run_id").agg(
-        F.sum("l").alias("l"), F.sum("r").alias("r"),
-        F.max("lv").alias("lv"), F.max("rv").alias("rv"),
-    )
-    single = (F.col("l") == 1) & (F.col("r") == 1)
-    rows = F.when(
-        ~single,
-        F.struct(
-            F.lit("rows").alias("field"),
-            F.col("l").cast("string").alias("left_value"),
-            F.col("r").cast("string").alias("right_value"),
-        ),
-    )
+    ours = left.select("run_id", F.lit(1).alias("l"), F.lit(0).alias("r"))
+    theirs = right.select("run_id", F.lit(0).alias("l"), F.lit(1).alias("r"))
+    keys = ours.unionAll(theirs).groupBy("run_id").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    uneven = keys.where("l <> 1 OR r <> 1")
+    rows = uneven.select("run_id", F.lit("rows").alias("field"), F.col("l").cast("string").alias("left_value"),
+                         F.col("r").cast("string").alias("right_value"))
+    repeated = uneven.where("l > 1 OR r > 1").select(F.col("run_id").alias("again"))
+
+    def single(df: DataFrame, name: str) -> DataFrame:
+        named = df.select(F.col("run_id").alias(f"{name}_id"), F.struct(*columns).alias(name))
+        return named.join(repeated, F.col(f"{name}_id").eqNullSafe(F.col("again")), "left_anti")
+
+    both = single(left, "lv").join(
+        single(right, "rv"), F.col("lv_id").eqNullSafe(F.col("rv_id"))).withColumnRenamed("lv_id", "run_id")
     fields = [
         (c, F.col("lv")[c], F.col("rv")[c], left.schema[c].dataType) for c in columns
     ]
-    return _differences(both, fields, tolerance, rows)
+    return rows.unionByName(_differences(both, fields, tolerance))
 
 
 def recompute_diff(metrics: DataFrame, tolerance: float = 1e-9) -> DataFrame:

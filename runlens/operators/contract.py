@@ -5,6 +5,8 @@ map-side combine, so neither a repeated id nor a null id can grow beyond one row
 only counters reach the driver.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,12 +72,13 @@ def coverage_violations(metrics: DataFrame, decisions: DataFrame) -> DataFrame:
     return offending.select("run_id", F.explode(F.array_compact(found)).alias("violation"))
 
 
-def check_contract(metrics: DataFrame, decisions: DataFrame, examples: int = 10) -> int:
+def check_contract(metrics: DataFrame, decisions: DataFrame, violations: str | None = None) -> int:
     """Raise :class:`ContractError` unless every run has exactly one allowed decision.
 
     This is an action; run it over written tables, so that what was checked is what gets joined.
-    Coverage is judged before labels. The message carries exact counts and a few example keys.
-    Returns the number of runs.
+    Coverage is judged before labels. The message carries exact counts and names a folder that holds
+    every offending key with its violation: ``violations``, or a new one below the warehouse's
+    ``_violations``. Returns the number of runs.
     """
     row = coverage_report(metrics, decisions).first()
     counts = {
@@ -85,13 +88,11 @@ def check_contract(metrics: DataFrame, decisions: DataFrame, examples: int = 10)
         "source_duplicate": row.source_duplicate_ids,
     }
     if any(counts.values()):
-        shown = _examples(metrics, decisions, F.col("violation") != "bad_label", examples)
-        raise ContractError(f"decision coverage mismatch ({_listed(counts)}; such as {shown})")
+        folder = _written_violations(metrics, decisions, violations)
+        raise ContractError(f"runs and labels are not one to one: {_listed(counts)}; all keys in {folder}")
     if row.bad_labels:
-        shown = _examples(metrics, decisions, F.col("violation") == "bad_label", examples)
-        raise ContractError(
-            f"decisions outside allowed labels ({row.bad_labels} rows; such as {shown})"
-        )
+        folder = _written_violations(metrics, decisions, violations)
+        raise ContractError(f"{row.bad_labels} rows carry a label that is not allowed; all keys in {folder}")
     return row.source_runs
 
 
@@ -99,9 +100,13 @@ def _listed(counts: dict[str, int]) -> str:
     return ", ".join(f"{name}={n}" for name, n in counts.items())
 
 
-def _examples(metrics: DataFrame, decisions: DataFrame, kind, n: int) -> str:
-    rows = coverage_violations(metrics, decisions).where(kind).orderBy("violation", "run_id").take(n)
-    return "; ".join(f"{r.violation} {r.run_id}" for r in rows)
+def _written_violations(metrics: DataFrame, decisions: DataFrame, path: str | None) -> str:
+    spark = metrics.sparkSession
+    if path is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        path = f"{warehouse}/_violations/{uuid.uuid4().hex}"
+    coverage_violations(metrics, decisions).write.mode("overwrite").parquet(path)
+    return path
 
 
 def join_final(metrics: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -114,9 +119,9 @@ def join_final(metrics: DataFrame, decisions: DataFrame) -> DataFrame:
     return metrics.join(labels, "run_id")
 
 
-def build_final(metrics: DataFrame, decisions: DataFrame) -> DataFrame:
+def build_final(metrics: DataFrame, decisions: DataFrame, violations: str | None = None) -> DataFrame:
     """Check, then join: fails closed before anything can be written."""
-    check_contract(metrics, decisions)
+    check_contract(metrics, decisions, violations)
     return join_final(metrics, decisions)
 
 

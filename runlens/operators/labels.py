@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runlens.operators.contract import ContractError
 from runlens.schemas import CONFIDENCE, DECISION, DECISIONS, EXTRACT_COLUMNS, LABELS
 
 ANSWER = "run_id string, decision string, confidence double"
@@ -64,9 +65,19 @@ def with_policy(metrics: DataFrame, undisclosed: Column | None = None) -> DataFr
     return _decide(metrics, undisclosed)
 
 
-def recorded_labels(decisions: DataFrame) -> DataFrame:
-    """Labels recorded earlier, under the decisions schema."""
-    return decisions.select(*[F.col(f.name).cast(f.dataType) for f in DECISIONS])
+def recorded_labels(decisions: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A labeller for :func:`runlens.plans.jobs.label_job` that answers with labels recorded earlier.
+    The job's check of vocabulary, coverage and confidence holds for them as for any other."""
+    recorded = decisions.select(*[F.col(f.name).cast(f.dataType) for f in DECISIONS])
+    return lambda extract: recorded
+
+
+def check_confidence(decisions: DataFrame) -> None:
+    """Raise if a confidence lies outside [0, 1]; null is allowed. One pass, one number."""
+    outside = F.count_if(~F.col("confidence").between(0.0, 1.0) | F.isnan("confidence"))
+    wrong = decisions.agg(outside.alias("n")).first().n
+    if wrong:
+        raise ContractError(f"{wrong} rows have a confidence outside 0 to 1")
 
 
 def request_payload(extract: DataFrame) -> DataFrame:
@@ -88,12 +99,16 @@ def scored_labels(
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             answers = scorer(batch)
-            if sorted(answers["run_id"]) != sorted(batch["run_id"]):
+            asked, answered = (t["run_id"].value_counts(dropna=False) for t in (batch, answers))
+            if not asked.sort_index().equals(answered.sort_index()):
                 raise ValueError("scorer did not answer exactly the runs it was given")
             unknown = answers.loc[~answers["decision"].isin(allowed)]
             if len(unknown):
-                first = unknown.iloc[0]
-                raise ValueError(f"unexpected answer for {first.run_id}: {first.decision!r}")
+                given = sorted(map(repr, unknown["decision"].unique()))
+                raise ValueError(f"scorer used labels that are not allowed: {', '.join(given)}")
+            confidence = answers["confidence"].dropna()
+            if not confidence.between(0.0, 1.0).all():
+                raise ValueError("scorer gave a confidence outside 0 to 1")
             yield answers[["run_id", "decision", "confidence"]]
 
     return extract.select(*columns).mapInPandas(answer, ANSWER)

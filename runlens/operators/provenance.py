@@ -9,21 +9,22 @@ from pyspark.sql import functions as F
 from runlens.functions.text import canonical_text
 from runlens.schemas import LABEL_MEANINGS
 
-_HEX_DIGITS = 15  # 60 bits of the row digest: fits a bigint in any engine
+_HEX_DIGITS = 15  # of the row digest per part: 60 bits fit a bigint in any engine
+_PARTS = range(1, 65, _HEX_DIGITS)  # first digits of the parts, which hold all 256 bits together
 
 
 def input_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(row_count, digest_sum, fingerprint) of a table, whatever its order and partitioning.
 
-    Row digests are added, not xor-ed, so a repeated row changes the result. One global aggregate
-    with map-side partial sums.
+    Row digests are added, not xor-ed, so a repeated row changes the result; their parts are added one
+    by one, joined by ``-``. One global aggregate with map-side partial sums.
     """
-    digest = F.sha2(canonical_text(df, columns or df.columns), 256)
-    number = F.conv(F.substring(digest, 1, _HEX_DIGITS), 16, 10).cast("decimal(38,0)")
-    totals = df.agg(
-        F.count("*").alias("row_count"),
-        F.coalesce(F.sum(number), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest_sum"),
-    )
+    digested = df.select(F.sha2(canonical_text(df, columns or df.columns), 256).alias("d"))
+    sums = []
+    for first in _PARTS:
+        number = F.conv(F.substring("d", first, _HEX_DIGITS), 16, 10).cast("decimal(20,0)")
+        sums.append(F.coalesce(F.sum(number), F.lit(0).cast("decimal(30,0)")).cast("string"))
+    totals = digested.agg(F.count("*").alias("row_count"), F.concat_ws("-", *sums).alias("digest_sum"))
     joined = F.concat_ws(":", F.col("row_count").cast("string"), "digest_sum")
     return totals.select("*", F.sha2(joined, 256).alias("fingerprint"))
 

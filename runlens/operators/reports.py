@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.functions.numeric import fixed_text, half_up, mean_of_metric
+from runlens.functions.numeric import fixed_text, half_up, micros
 from runlens.schemas import (
     ATTENTION, CONFIDENCE, DASHBOARD_COLUMNS, DECISION, HEALTH_COLUMNS, LABELS, QUEUE,
     QUEUE_COLUMNS, STATUSES,
@@ -97,18 +97,35 @@ def mean_freshness(final: DataFrame) -> DataFrame:
 
 
 def health_table(final: DataFrame) -> DataFrame:
-    """One row per upstream pipeline; its domain is that of its first run by run_id."""
-    n = F.count("*")
+    """One row per upstream pipeline; its domain is that of its first run by run_id. Both means are over
+    all runs; a null adds nothing."""
+    numbers = final.groupBy("pipeline_name", "domain").agg(
+        F.count("*").alias("n"),
+        F.count_if(_label_is("HEALTHY")).alias("healthy"),
+        F.count_if(_label_in(ATTENTION)).alias("attention"),
+        F.count_if(_label_is("BLOCK")).alias("blocked"),
+        F.sum("freshness_delay_minutes").alias("delay"),
+        F.sum(micros(F.col("failure_rate"))).alias("rate"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("n", "healthy", "attention", "blocked", "delay", "rate")]
+    pipelines = numbers.groupBy("pipeline_name").agg(
+        F.count("*").alias("domains"), F.min("domain").alias("only"), *sums)
+    # text per run is looked at for pipelines with several domains only
+    several = pipelines.where("domains > 1").select(F.col("pipeline_name").alias("of"))
+    first = final.join(several, F.col("pipeline_name").eqNullSafe(F.col("of")), "left_semi").groupBy(
+        F.col("pipeline_name").alias("of")).agg(F.min_by("domain", "run_id").alias("first"))
+    n = F.col("n")
     return (
-        final.groupBy("pipeline_name")
-        .agg(
-            F.min_by("domain", "run_id").alias("domain"),
+        pipelines.join(first, F.col("pipeline_name").eqNullSafe(F.col("of")), "left")
+        .select(
+            "pipeline_name",
+            F.when(F.col("domains") > 1, F.col("first")).otherwise(F.col("only")).alias("domain"),
             n.alias("total_runs"),
-            (F.floor(F.count_if(_label_is("HEALTHY")) / n * 1000 + 0.5) / 10).alias("healthy_pct"),
-            F.count_if(_label_in(ATTENTION)).alias("attention_runs"),
-            F.count_if(_label_is("BLOCK")).alias("blocked_runs"),
-            half_up(F.sum("freshness_delay_minutes") / n, 2).alias("avg_freshness_delay"),
-            half_up(mean_of_metric(F.col("failure_rate")), 2).alias("avg_failure_rate"),
+            (F.floor(F.col("healthy") / n * 1000 + 0.5) / 10).alias("healthy_pct"),
+            F.col("attention").alias("attention_runs"),
+            F.col("blocked").alias("blocked_runs"),
+            half_up(F.col("delay") / n, 2).alias("avg_freshness_delay"),
+            half_up(F.col("rate") / F.lit(1e6) / n, 2).alias("avg_failure_rate"),
         )
         .orderBy("pipeline_name")
     )

@@ -7,30 +7,18 @@ from runlens.functions.text import midnight_iso, run_key
 
 _SUMS = ["lines", "expected_rows", "actual_rows", "failed_rows", "line_numbers"]
 
-# the last three columns of a run, from the summed lines
-_RULES = {
-    "schema_drift": """CASE WHEN lines % 11 = 0 THEN 'type_changed' WHEN lines % 7 = 0 THEN 'column_added'
-        WHEN lines % 13 = 0 THEN 'column_removed' ELSE 'none' END""",
-    "status": """CASE WHEN failed_rows * 5 >= expected_rows THEN 'failed'
-        WHEN actual_rows * 10 < expected_rows * 9 OR failed_rows * 200 > expected_rows THEN 'degraded'
-        ELSE 'healthy' END""",
-    "error_message": """CASE WHEN failed_rows * 5 >= expected_rows THEN 'upstream rows rejected'
-        WHEN failed_rows * 200 > expected_rows AND lines % 2 = 0
-        THEN 'row count variance above warn threshold' END""",
-}
-
-
 def line_facts(lineitem: DataFrame) -> DataFrame:
     """Order lines summed per (supplier key, month) before any join.
 
     Only counts, sums and a minimum of fixed-width columns, so the map side already collapses a
-    supplier that owns a large share of all lines, and the join sees one row per key and month.
+    supplier that owns a large share of all lines, and the join sees one row per key and month. A
+    fractional quantity counts as the nearest whole one, halves away from zero.
     """
     lines = lineitem.selectExpr(
         "l_suppkey",
         "CAST(l_shipdate AS date) AS shipped",
         "TRUNC(CAST(l_shipdate AS date), 'month') AS month",
-        "CAST(l_quantity AS bigint) AS quantity",
+        "CAST(ROUND(l_quantity) AS bigint) AS quantity",
         "CAST(l_linenumber AS bigint) AS number",
         "l_returnflag = 'R' AND l_linestatus = 'F' AS lost",
         "l_returnflag = 'R' AND l_linestatus = 'O' AND l_linenumber >= 4 AS rejected",
@@ -46,9 +34,11 @@ def line_facts(lineitem: DataFrame) -> DataFrame:
 
 
 def run_rollup(
-    lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame
+    lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame, rules: dict[str, str]
 ) -> DataFrame:
-    """Runs under the 13-column contract.
+    """Runs under the 13-column contract. ``rules`` gives the SQL of its last three columns
+    (schema_drift, status, error_message) over the summed lines. Lines that no region can be found for
+    are no part of any run; :func:`unmatched_lines` counts them.
 
     No join is hinted: nation and region are fixed small tables, and supplier is broadcast only while
     its scanned size is under the session's threshold. They are joined one by one because the size of
@@ -77,5 +67,24 @@ def run_rollup(
         F.expr("line_numbers * 30 AS duration_seconds"),
         F.expr("lines * 120 AS expected_duration_seconds"),
         F.expr("CAST((DAY(first_day) - 1) * 20 AS bigint) AS freshness_delay_minutes"),
-        *[F.expr(f"{rule} AS {name}") for name, rule in _RULES.items()],
+        *[F.expr(f"{rule} AS {name}") for name, rule in rules.items()],
+    )
+
+
+def unmatched_lines(
+    lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame
+) -> DataFrame:
+    """(reason, lines, quantity): what :func:`run_rollup` leaves out, by the first key that leads
+    nowhere. Together with the runs these are all lines."""
+    placed = (
+        line_facts(lineitem)
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    )
+    reason = (
+        F.when(F.col("l_suppkey").isNull(), "no supplier").when(F.col("s_suppkey").isNull(), "unknown supplier")
+        .when(F.col("n_nationkey").isNull(), "unknown nation").when(F.col("r_regionkey").isNull(), "unknown region")
     )
+    return placed.where(reason.isNotNull()).groupBy(reason.alias("reason")).agg(
+        F.sum("lines").alias("lines"), F.sum("expected_rows").alias("quantity"))

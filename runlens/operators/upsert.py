@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runlens.sources.staging import stage
+
 
 def latest_runs(versions: DataFrame, version: str = "version") -> DataFrame:
     """One row per run_id: the one with the greatest version.
@@ -17,8 +19,11 @@ def latest_runs(versions: DataFrame, version: str = "version") -> DataFrame:
 
 
 def merge_runs(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """``existing`` with ``incoming`` rows added, replacing rows of the same run_id."""
-    versions = existing.withColumn("version", F.lit(0)).unionByName(
-        incoming.withColumn("version", F.lit(1))
-    )
-    return latest_runs(versions).drop("version")
+    """``existing`` (unique keys) with ``incoming`` rows added, replacing rows of the same run_id.
+
+    The batch is first reduced to one row per key and written, so that its real size decides: while
+    it is small its keys are broadcast and the stored rows are neither moved nor sorted.
+    """
+    batch = stage(latest_runs(incoming.withColumn("version", F.lit(0))).drop("version"), "merge-batch")
+    stay = existing.join(batch.select("run_id"), "run_id", "left_anti")
+    return stay.select(*existing.columns).unionByName(batch)

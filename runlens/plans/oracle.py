@@ -4,7 +4,6 @@ Written independently of the Spark expressions: printf for exact rounding, joins
 where Spark groups a union, plain windows where Spark splits large groups.
 """
 
-from runlens.operators.provenance import question_hash
 from runlens.plans.queries import GENERATED_AT, KNOWN_DOMAINS, LABELLER, VERSION
 from runlens.schemas import (
     DASHBOARD_COLUMNS, DRIFT_KINDS, EXTRACT, HEALTH_COLUMNS, LABELS, METRICS, QUEUE_COLUMNS,
@@ -15,6 +14,10 @@ RUN_COLS = ", ".join(RUNS.fieldNames())
 METRIC_COLS = ", ".join(METRICS.fieldNames())
 
 
+#: Fixed value: sha256 of the question of version v1, taken down when it was settled.
+QUESTION_HASH = "3c805450b3ec93faa4dcb30f0f590e6cc3a23bd4cfacf22c85aadfffef8c5fa9"
+
+
 def _texts(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -29,7 +32,7 @@ def _ratio(numerator: str, denominator: str) -> str:
 _RUNS = """
 li as (
   select s_name, r_name, date_trunc('month', l_shipdate) as m, l_shipdate,
-         cast(l_quantity as bigint) as q, l_returnflag, l_linestatus, l_linenumber
+         cast(round(l_quantity) as bigint) as q, l_returnflag, l_linestatus, l_linenumber
   from lineitem join supplier on l_suppkey = s_suppkey
     join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
 a as (
@@ -224,15 +227,20 @@ def _canonical() -> str:
     fields = []
     for f in EXTRACT.fields:
         text = f"printf('%.6f', {f.name} + 0.0)" if f.name in _DOUBLES else f"{f.name}::varchar"
-        fields.append(f"coalesce({text}, chr(30))")
-    return " || chr(31) || ".join(fields)
+        fields.append(f"coalesce('V' || length({text}) || ':' || {text}, 'N')")
+    return " || ".join(fields)
+
+
+def _digest_sums() -> str:
+    parts = [f"cast(coalesce(sum(('0x' || substr(d, {first}, 15))::bigint), 0) as varchar)"
+             for first in (1, 16, 31, 46, 61)]
+    return " || '-' || ".join(parts)
 
 
 _FINGERPRINT = f"""
 fp as (
-  select count(*) as row_count,
-    cast(coalesce(sum(('0x' || substr(sha256({_canonical()}), 1, 15))::bigint), 0) as varchar) as digest_sum
-  from metrics)"""
+  select count(*) as row_count, {_digest_sums()} as digest_sum
+  from (select sha256({_canonical()}) as d from metrics))"""
 
 _DAILY_HEALTH = """
   select run_timestamp[1:10] as day, domain, count(*) as runs,
@@ -322,6 +330,17 @@ def oracle_sql() -> dict[str, str]:
         "runs_csv": runs + all_runs,
         "metrics_full": metrics + all_metrics,
         "metrics_table": metrics + all_metrics,
+        "stream_merge": metrics + all_metrics,
+        "request_payload": metrics + f"select {_EXTRACT} from metrics",
+        "recorded_labels": decisions + all_decisions,
+        "malformed_rows": runs + """
+            select run_id, 'null_expected_rows,malformed_record' as reasons from runs where expected_rows % 127 = 0""",
+        "rollup_unmatched": """
+            select case when l_quantity = 7 or l_suppkey is null then 'no supplier' else 'unknown supplier' end as reason,
+              count(*) as lines, cast(sum(round(l_quantity)) as bigint) as quantity
+            from lineitem
+            where l_quantity in (7, 11) or l_suppkey is null or l_suppkey not in (select s_suppkey from supplier)
+            group by 1""",
         "catalog_table": metrics + all_metrics,
         "stream_metrics": metrics + all_metrics,
         "metric_record": metrics + f"select {', '.join(RECORD_COLUMNS)} from metrics",
@@ -340,7 +359,7 @@ def oracle_sql() -> dict[str, str]:
             select row_count, digest_sum, sha256(row_count || ':' || digest_sum) as fingerprint from fp""",
         "label_job_meta": _with(_RUNS, _metrics("metrics", "runs"), _FINGERPRINT) + f"""
             select '{LABELLER}' as labeller, '{VERSION}' as version,
-              '{question_hash(VERSION)}' as question_hash,
+              '{QUESTION_HASH}' as question_hash,
               sha256(row_count || ':' || digest_sum) as input_hash, row_count as count,
               '{GENERATED_AT}' as generated_at from fp""",
         "final_analytics": final + all_final,

@@ -7,16 +7,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.operators import alerts, checks, contract, labels, measure, provenance, reports, upsert
-from runlens.plans import inputs
-from runlens.schemas import DASHBOARD_COLUMNS, LABELS
+from runlens.operators import alerts, checks, contract, labels, measure, provenance, reports, rollup, upsert
+from runlens.plans import inputs, jobs
+from runlens.schemas import DASHBOARD_COLUMNS, EXTRACT, LABELS, METRICS
 from runlens.sources import layout, readers, staging, writers
 from runlens.streaming import runs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LABELLER, VERSION, GENERATED_AT = "policy", "v1", "2026-01-01T00:00:00Z"
-STREAM_DELAY = "3650 days"  # run files arrive in no order, so no row may count as late
+STREAM_DELAY = "7 days"  # a watermark holds from the batch after the one that moved it
 KNOWN_DOMAINS = ["africa", "america", "asia", "middle east"]
 
 
@@ -36,6 +36,54 @@ def final_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.build_final(metrics, decisions)
 
 
+def recorded_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions recorded as JSON, answered again for the extract and checked against it."""
+    extract = staging.stage(measure.decision_extract(inputs.metrics(spark, sf_dir)), "extract")
+    recorded = decisions_json(spark, sf_dir)
+    answers = staging.stage(labels.recorded_labels(recorded)(extract), "answers")
+    contract.check_contract(extract, answers)
+    labels.check_confidence(answers)
+    return answers
+
+
+def request_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads of a scorer that takes text, parsed back into columns."""
+    extract = measure.decision_extract(inputs.metrics(spark, sf_dir))
+    payloads = labels.request_payload(extract)
+    return payloads.select("run_id", F.from_json("payload", EXTRACT).alias("p")).select(
+        "run_id", *[f"p.{c}" for c in EXTRACT.fieldNames() if c != "run_id"])
+
+
+def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run table written as CSV, with a count that is no number in some lines: what the row rules
+    reject when it is scanned."""
+    runs = inputs.runs(spark, sf_dir)
+    count = F.when(inputs.every(127), F.lit("abc")).otherwise(F.col("expected_rows").cast("string"))
+    path = staging.new_folder(spark, "malformed-csv")
+    writers.write_csv(runs.withColumn("expected_rows", count), path)
+    scanned = readers.load_runs(spark, path, keep_malformed=True)
+    rejected = checks.split_rows(scanned)[1]
+    return rejected.select("run_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+def rollup_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the roll-up leaves out when some lines name no supplier or an unknown one."""
+    lines, *others = [inputs.table(spark, sf_dir, name) for name in inputs.RAW]
+    return rollup.unmatched_lines(inputs.broken_lines(lines), *others)
+
+
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run files merged into a table as they arrive: the newest runs first, then all older ones, then
+    some of them once more."""
+    runs = inputs.staged_runs(spark, sf_dir)
+    source, table = staging.new_folder(spark, "run-files"), staging.new_folder(spark, "loaded")
+    progress = staging.new_folder(spark, "progress")
+    for part in (F.col("run_timestamp") >= "1999", F.col("run_timestamp") < "1999", inputs.every(101)):
+        runs.where(part).write.mode("append").json(source)
+        jobs.load_job(spark, source, table, progress)
+    return layout.read_partitioned(spark, table).select(*METRICS.fieldNames())
+
+
 def _broken_contract(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Runs, and decisions for them that break the contract in every way."""
     runs = inputs.staged_runs(spark, sf_dir)
@@ -174,8 +222,11 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_domain_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily health per domain, kept up to date from run files."""
-    stream = streams.read_run_stream(spark, _run_files(spark, sf_dir))
+    """Daily health per domain, kept up to date from the table of streamed runs, which holds each once."""
+    once = streams.stream_metrics(streams.read_run_stream(spark, _run_files(spark, sf_dir)), STREAM_DELAY)
+    runs = staging.new_folder(spark, "stream-runs")
+    streams.append_to_table(once, runs, staging.new_folder(spark, "progress")).awaitTermination()
+    stream = streams.read_run_stream(spark, runs, "parquet")
     out = staging.new_folder(spark, "stream-daily")
     rows = streams.domain_daily(stream, STREAM_DELAY)
     streams.upsert_to_table(rows, out, staging.new_folder(spark, "progress")).awaitTermination()
@@ -211,12 +262,15 @@ def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metrics table written to the catalog, bucketed by run_id, and scanned by name."""
-    current = spark.catalog.currentDatabase()
-    readers.use_namespace(spark, "runlens", staging.new_folder(spark, "database"))
+    """The metrics table written to the catalog, bucketed by run_id, and scanned by name. Each call has
+    a database of its own, and as many buckets as the session has shuffle partitions."""
+    current, folder = spark.catalog.currentDatabase(), staging.new_folder(spark, "database")
+    database = "runlens_" + folder.rpartition("-")[2]
+    readers.use_namespace(spark, database, folder)
     try:
-        writers.save_table(inputs.metrics(spark, sf_dir), "run_metrics", buckets=8)
-        return spark.table("runlens.run_metrics")
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writers.save_table(inputs.metrics(spark, sf_dir), "run_metrics", buckets=buckets)
+        return spark.table(f"{database}.run_metrics")
     finally:
         spark.catalog.setCurrentDatabase(current)
 
@@ -248,6 +302,8 @@ QUERIES: dict[str, Query] = {
         _of(inputs.metrics, measure.decision_extract), provenance.input_fingerprint
     ),
     "label_job_meta": label_job_meta,
+    "recorded_labels": recorded_labels,
+    "request_payload": request_payload,
     # contract and join
     "final_analytics": final_analytics,
     "clean_final": clean_final,
@@ -283,6 +339,8 @@ QUERIES: dict[str, Query] = {
     "label_quality": _of(inputs.final, checks.label_quality),
     "quarantine_rows": quarantine_rows,
     "valid_rows": valid_rows,
+    "malformed_rows": malformed_rows,
+    "rollup_unmatched": rollup_unmatched,
     "recompute_diff": recompute_diff,
     "extract_diff": extract_diff,
     "reconcile_diff": reconcile_diff,
@@ -297,5 +355,6 @@ QUERIES: dict[str, Query] = {
     "partition_upsert": partition_upsert,
     # streams
     "stream_metrics": stream_metrics,
+    "stream_merge": stream_merge,
     "stream_domain_daily": stream_domain_daily,
 }

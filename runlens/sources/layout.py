@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from runlens.functions.text import run_date
 from runlens.operators.contract import ContractError
-from runlens.operators.upsert import merge_runs
+from runlens.operators.upsert import latest_runs, merge_runs
+from runlens.sources import writers
 from runlens.sources.staging import stage
 
 PARTITIONS = ["domain", "run_date"]
@@ -52,6 +53,29 @@ def _check_not_moved(existing: DataFrame, batch: DataFrame) -> None:
         raise ContractError(f"batch moves stored runs to another partition, such as {example.run_id}")
 
 
+def within(existing: DataFrame, batch: DataFrame, most: int = 1000) -> DataFrame:
+    """``existing`` cut down to the batch's run dates and, if they are no more than ``most``, domains,
+    by filters on partition columns, so that other folders are not read."""
+    r = batch.agg(F.min("run_date").alias("low"), F.max("run_date").alias("high")).first()
+    named = batch.select("domain").distinct().limit(most + 1).collect()
+    rows = existing.where(F.col("run_date").between(F.lit(r.low), F.lit(r.high)))
+    return rows if len(named) > most else rows.where(F.col("domain").isin([d.domain for d in named]))
+
+
+def load_partitioned(spark: SparkSession, path: str, incoming: DataFrame) -> None:
+    """Merge a batch into the table at ``path``, which the first batch creates."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        upsert_partitioned(spark, path, incoming)
+        return
+    batch = stage(latest_runs(with_run_date(incoming).withColumn("version", F.lit(0))).drop("version"), "batch")
+    if batch.where(" OR ".join(f"{c} IS NULL" for c in PARTITIONS)).take(1):
+        raise ContractError("batch has runs without a domain or a valid run date")
+    if batch.take(1):
+        with writers.Outputs(spark) as outputs:
+            write_partitioned(batch.drop("run_date"), outputs.at(path))
+
+
 def upsert_partitioned(
     spark: SparkSession, path: str, incoming: DataFrame, keys_fix_partition: bool = False
 ) -> None:
@@ -65,11 +89,13 @@ def upsert_partitioned(
     """
     existing = spark.read.parquet(path)
     batch = stage(with_run_date(incoming), "batch")
+    if not batch.take(1):
+        return
     if batch.where(" OR ".join(f"{c} IS NULL" for c in PARTITIONS)).take(1):
         raise ContractError("batch has runs without a domain or a valid run date")
     if not keys_fix_partition:
         _check_not_moved(existing, batch)
     touched = batch.select(*PARTITIONS).distinct()
-    affected = existing.join(touched, PARTITIONS, "left_semi").select(*batch.columns)
+    affected = within(existing, batch).join(touched, PARTITIONS, "left_semi").select(*batch.columns)
     merged = stage(merge_runs(affected, batch).drop("run_date"), "merged")
     _write(merged, path, "overwrite", partitionOverwriteMode="dynamic")

@@ -2,13 +2,17 @@
 
 A written table cuts the lineage durably (a lost executor costs nothing that was written), keeps
 column pruning, and gives the optimizer real sizes for its choice of join. Whoever writes such a
-table is done with it at some time: a :class:`Scope` removes its folders then.
+table is done with it at some time: :func:`released` and :class:`Scope` remove the folders then.
 """
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open: list[str] = []  # folders handed out and not removed yet, oldest first
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where it is unset, a folder below the warehouse,
@@ -21,7 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """An unused path below the shared folder."""
-    return f"{shared_folder(spark)}/runlens/{name}-{uuid.uuid4().hex}"
+    _open.append(f"{shared_folder(spark)}/runlens/{name}-{uuid.uuid4().hex}")
+    return _open[-1]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -37,6 +42,19 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, every folder that was staged within it. Evaluate or write what reads them
+    inside: ``with released(spark): query(spark, sf_dir).write...``"""
+    before = len(_open)
+    try:
+        yield
+    finally:
+        for path in _open[before:]:
+            remove_folder(spark, path)
+        del _open[before:]
+
+
 class Scope:
     """Staged tables that end together: ``with Scope(spark) as scope: part = scope.stage(df, "part")``.
 
@@ -59,6 +77,8 @@ class Scope:
     def close(self) -> None:
         for path in self.paths:
             remove_folder(self.spark, path)
+            if path in _open:
+                _open.remove(path)
         self.paths.clear()
 
     def __enter__(self) -> "Scope":

@@ -3,13 +3,68 @@
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.text import python_text
 from runlens.operators.measure import decision_extract
 from runlens.operators.reports import dashboard_extract
 from runlens.schemas import DECISIONS
+from runlens.sources.staging import remove_folder
+
+
+class Outputs:
+    """Outputs of a job that appear together, once all are written and checked.
+
+    ``at(path)`` names a folder beside ``path`` to write to. A successful end renames each into place,
+    keeping what was there until the last rename is done; a failure at any time leaves, or puts
+    back, what was there. Only between two renames of the file system is a path missing.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.pending = spark, {}
+
+    def at(self, path: str) -> str:
+        path = path.rstrip("/")
+        folder, _, name = path.rpartition("/")
+        self.pending[path] = f"{folder or '.'}/_new-{uuid.uuid4().hex}-{name}"
+        return self.pending[path]
+
+    def __enter__(self) -> "Outputs":
+        return self
+
+    def __exit__(self, kind, *error: object) -> None:
+        try:
+            if kind is None:
+                self._publish()
+        finally:
+            for beside in self.pending.values():
+                remove_folder(self.spark, beside)
+
+    def _publish(self) -> None:
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        moved: list[tuple[str, str]] = []  # (from, to), to be undone backwards
+
+        def move(source: str, target: str) -> None:
+            fs = Path(target).getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if not fs.rename(Path(source), Path(target)):
+                raise OSError(f"cannot rename {source} to {target}")
+            moved.append((source, target))
+
+        old = []
+        try:
+            for path, beside in self.pending.items():
+                fs = Path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+                if fs.exists(Path(path)):
+                    old.append(beside.replace("/_new-", "/_old-"))
+                    move(path, old[-1])
+                move(beside, path)
+        except Exception:
+            for source, target in reversed(list(moved)):
+                move(target, source)
+            raise
+        for path in old:
+            remove_folder(self.spark, path)
 
 
 def _counted(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:

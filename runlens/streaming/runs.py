@@ -10,6 +10,8 @@ from runlens.functions.numeric import micros, round_exact
 from runlens.operators import checks
 from runlens.operators.measure import with_metrics
 from runlens.schemas import RUNS
+from runlens.sources import layout
+from runlens.sources.staging import released, stage
 
 EVENT_TIME = "event_time"
 
@@ -69,7 +71,8 @@ def stream_metrics(
 
 
 def domain_daily(runs: DataFrame, delay: str) -> DataFrame:
-    """Runs and failure rate sum per UTC day and domain. The sum is in whole 1e-6 units, so it does
+    """Runs and failure rate sum per UTC day and domain. Every row counts, so feed it rows without
+    repeated runs, such as the table written by :func:`stream_metrics`. The sum is in whole 1e-6 units, so it does
     not depend on arrival order. Append it to a table for closed days only, or upsert it to see open
     days as well."""
     timed = with_metrics(_identified(runs, delay))
@@ -93,6 +96,36 @@ def append_to_table(
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the operators of a finished query dropped because the watermark had passed them."""
+    return sum(state["numRowsDroppedByWatermark"] for p in query.recentProgress for state in p["stateOperators"])
+
+
+def merge_to_table(
+    runs: DataFrame, path: str, checkpoint: str, quarantine_path: str | None = None,
+    domains: list[str] | None = None,
+) -> StreamingQuery:
+    """Merge every batch of arrived runs, by key, into the partitioned metrics table at ``path``. There
+    is no watermark and no state between batches. The merge of a batch that is run again changes
+    nothing, and its rejected rows overwrite their own folder."""
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        with released(batch.sparkSession):
+            arrived = stage(batch, "arrived")
+            valid, rejected = split_stream(arrived, domains)
+            if quarantine_path is not None:
+                rejected.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+            else:
+                valid = arrived
+                checks.check_readable(arrived, domains)
+            layout.load_partitioned(batch.sparkSession, path, with_metrics(valid.select(*RUNS.fieldNames())))
+
+    return (
+        runs.writeStream.foreachBatch(merge).trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint).start()
+    )
+
+
 def upsert_to_table(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write the changed groups of every batch to their own folder below ``path``. A batch that is
     retried overwrites its own folder only."""
