@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runlens.llm.batches import bounded
 from runlens.llm.shingles import mix
 from runlens.sources.staging import Scope
 
@@ -65,7 +66,7 @@ def chunk_bounds(hashes: np.ndarray) -> list[int]:
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Identity and text -> the chunks that could be removed."""
-    for batch in batches:
+    for batch in bounded(batches):
         owner, number, first, size, keys = [], [], [], [], []
         for row, text in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):
             lines = (text or b"").split(b"\n")

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runlens.llm.batches import MOST_BYTES, bounded
 from runlens.llm.components import connected_components
 from runlens.llm.shingles import mix, shingle_sets
 from runlens.sources.staging import Scope, stage
@@ -112,7 +113,7 @@ def _least_estimate(samples: int) -> float:
 
 def _sketches(batches):
     """(doc_id, xh, text) -> sketch columns."""
-    for batch in batches:
+    for batch in bounded(batches):
         values, offsets = shingle_sets(batch.column("text"))
         registers = sketch(values, offsets)
         signature = np.packbits(registers[:, :SIGNATURE_BITS] & 1, axis=1).view(np.int64)
@@ -136,7 +137,7 @@ def _stack(column: pa.Array) -> np.ndarray:
 
 def _band_keys(batches):
     """(node, registers) -> (band key, node), one row per band."""
-    for batch in batches:
+    for batch in bounded(batches, "registers", MOST_BYTES // 4):
         parts = _stack(batch.column("registers")).reshape(-1, BANDS, BAND_WIDTH).astype(np.uint64)
         with np.errstate(over="ignore"):
             keys = np.broadcast_to(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), parts.shape[:2])
@@ -157,7 +158,7 @@ def _likely(batches):
 
 def _full_sets(batches):
     """(node, hi, lo, text) -> (node, set) where the text has the node's set."""
-    for batch in batches:
+    for batch in bounded(batches):
         values, offsets = shingle_sets(batch.column("text"))
         rows = []
         for i, (hi, lo) in enumerate(zip(batch.column("hi").to_pylist(), batch.column("lo").to_pylist())):

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from runlens.llm.batches import bounded
 from runlens.llm.byte_bpe import encoder
 from runlens.sources.staging import Scope
 
@@ -48,7 +49,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
         encode = encoder(tokenizer)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in bounded(batches):
             owner, piece, start, ids = [], [], [], []
             for row, tokens in enumerate(encode(batch.column("text"))):
                 tokens = np.append(tokens, np.uint32(END))

@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from sentencepiece import sentencepiece_model_pb2
 
+from runlens.llm.batches import bounded
+
 CACHE_WORDS = 300_000
 GROUP_CHARACTERS = 1_000_000  # texts whose new words are encoded together
 BLANK = "▁"
@@ -236,12 +238,10 @@ def round_trip(docs, path: str):
     """(doc_id, ids, decoded): every text's ids and the text these ids decode to."""
 
     def both(batches):
-        for batch in batches:
-            for part in range(0, batch.num_rows, 1000):  # bounds the arrays in flight
-                rows = batch.slice(part, 1000)
-                ids = encode_column(rows.column("text"), path)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), ids, decode_column(ids, path)], names=["doc_id", "ids", "decoded"])
+        for batch in bounded(batches):
+            ids = encode_column(batch.column("text"), path)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), ids, decode_column(ids, path)], names=["doc_id", "ids", "decoded"])
 
     key = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(both, f"doc_id {key}, ids array<int>, decoded string")
