@@ -36,17 +36,15 @@ def _join_carry(rows: DataFrame, carry: DataFrame, group: str) -> DataFrame:
 def number_within(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
     """Add ``name``: the zero-based position of each row in its group under ``order``."""
     rows = _sliced(df, group, order)
-    local = Window.partitionBy(_SLICE, group).orderBy(_POS)
     earlier = Window.partitionBy(group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # a group's rows follow each other within a slice, so positions count them without a window
     carry = (
         rows.groupBy(_SLICE, group)
-        .agg(F.count("*").alias("n"))
-        .withColumn(_CARRY, F.sum("n").over(earlier))
-        .where(F.col(_CARRY).isNotNull())
+        .agg(F.count("*").alias("n"), F.min(_POS).alias("first"))
+        .withColumn(_CARRY, F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first"))
     )
-    numbered = _join_carry(rows.withColumn(name, F.row_number().over(local)), carry, group)
-    total = F.col(name).cast("bigint") - 1 + F.coalesce(F.col(_CARRY), F.lit(0))
-    return numbered.withColumn(name, total).drop(_SLICE, _POS, _CARRY)
+    numbered = _join_carry(rows, carry, group)
+    return numbered.withColumn(name, F.col(_POS) + F.col(_CARRY)).drop(_SLICE, _POS, _CARRY)
 
 
 def previous_within(

@@ -2,6 +2,7 @@
 
 from runlens.schemas import DECISIONS, RUNS
 
+# Fixed golden values: eight recorded runs and, below, the labels recorded for them.
 # run_id, pipeline, domain, time, expected, actual, failed, seconds, planned, delay, drift, status, error
 SAMPLE = [
     ("auto_claims_dedupe_transform_20260918_0", "auto_claims_dedupe_transform", "auto_claims",

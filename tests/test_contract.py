@@ -34,29 +34,31 @@ def test_clean_contract_joins_one_to_one(spark):
 
 
 @pytest.mark.parametrize("ids, rows, message, found", [
-    (["a", "b"], [("a", "HEALTHY")], "coverage mismatch", [("b", "missing")]),
-    (["a"], [("a", "HEALTHY"), ("b", "WATCH")], "coverage mismatch", [("b", "extra")]),
-    (["a", "b"], [("a", "HEALTHY")] * 2, "coverage mismatch",
+    (["a", "b"], [("a", "HEALTHY")], "not one to one", [("b", "missing")]),
+    (["a"], [("a", "HEALTHY"), ("b", "WATCH")], "not one to one", [("b", "extra")]),
+    (["a", "b"], [("a", "HEALTHY")] * 2, "not one to one",
      [("a", "duplicate"), ("b", "missing")]),
-    (["a"], [("a", "MAYBE")], "allowed labels", [("a", "bad_label")]),
-    (["a"], [("a", None)], "allowed labels", [("a", "bad_label")]),
-    (["a"], [("a", "healthy")], "allowed labels", [("a", "bad_label")]),
-    (["a"], [("a", "HEALTHY"), (None, "WATCH")], "coverage mismatch", [("", "extra")]),
-    ([None], [(None, "WATCH")], "coverage mismatch", [("", "extra"), ("", "missing")]),
-    (["a", "a"], [("a", "HEALTHY")], "coverage mismatch", [("a", "source_duplicate")]),
-    (["a", "b"], [("a", "MAYBE")], "coverage mismatch", [("a", "bad_label"), ("b", "missing")]),
-    (["a"], [], "coverage mismatch", [("a", "missing")]),
+    (["a"], [("a", "MAYBE")], "label that is not allowed", [("a", "bad_label")]),
+    (["a"], [("a", None)], "label that is not allowed", [("a", "bad_label")]),
+    (["a"], [("a", "healthy")], "label that is not allowed", [("a", "bad_label")]),
+    (["a"], [("a", "HEALTHY"), (None, "WATCH")], "not one to one", [("", "extra")]),
+    ([None], [(None, "WATCH")], "not one to one", [("", "extra"), ("", "missing")]),
+    (["a", "a"], [("a", "HEALTHY")], "not one to one", [("a", "source_duplicate")]),
+    (["a", "b"], [("a", "MAYBE")], "not one to one", [("a", "bad_label"), ("b", "missing")]),
+    (["a"], [], "not one to one", [("a", "missing")]),
 ])
 def test_broken_contract_is_refused(spark, ids, rows, message, found):
-    with pytest.raises(ContractError, match=message):
+    with pytest.raises(ContractError, match=message) as error:
         build_final(metrics(spark, *ids), labels(spark, *rows))
     assert violations(spark, ids, rows) == found
+    listed = spark.read.parquet(str(error.value).rpartition(" ")[2]).collect()  # every key, no cap
+    assert sorted((r.run_id or "", r.violation) for r in listed) == found
 
 
 def test_duplicate_with_full_coverage_is_refused(spark):
     ids = [f"r{i}" for i in range(40)]
     rows = [(i, "HEALTHY") for i in ids] + [("r0", "HEALTHY")]
-    with pytest.raises(ContractError, match="coverage mismatch"):
+    with pytest.raises(ContractError, match="not one to one"):
         check_contract(metrics(spark, *ids), labels(spark, *rows))
     assert violations(spark, ids, rows) == [("r0", "duplicate")]
 

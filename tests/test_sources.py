@@ -57,7 +57,7 @@ def test_json_arrays_and_lines(spark, tmp_path):
 def test_malformed_decision_trips_the_guard(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"run_id":"a","decision":"HEALTHY","confidence":null}\n{"run_id":"b",\n')
     metrics = with_metrics(runs_frame(spark, [run(run_id="a"), run(run_id="b")]))
-    with pytest.raises(contract.ContractError, match="coverage mismatch"):
+    with pytest.raises(contract.ContractError, match="not one to one"):
         contract.check_contract(metrics, readers.load_decisions(spark, str(tmp_path / "d.json")))
 
 
@@ -207,8 +207,10 @@ def test_partitions_are_pruned_and_upserted(spark, tmp_path):
 
 
 @pytest.mark.parametrize("change, message", [
-    (lambda out: out.assign(decision="MAYBE"), "unexpected answer"),
+    (lambda out: out.assign(decision="MAYBE"), "labels that are not allowed: 'MAYBE'"),
     (lambda out: out.iloc[1:], "exactly the runs"),
+    (lambda out: out.assign(confidence=7.5), "confidence outside 0 to 1"),
+    (lambda out: out.assign(run_id=[None, *out.run_id[1:]]), "exactly the runs"),
 ])
 def test_scorer_answers_are_checked(spark, change, message):
     def scorer(batch):
@@ -239,6 +241,29 @@ def test_fingerprint_ignores_layout_and_sees_changes(spark, partitions):
     assert provenance.input_fingerprint(extract.unionAll(extract)).first() != base
 
 
+@pytest.mark.parametrize("left, right", [
+    ([("a\x1fb", "c")], [("a", "b\x1fc")]), ([("a", None)], [("a", "N")]), ([("1:a", "")], [("", "1:a")]),
+    ([("x", "x"), ("y", "y")], [("x", "y"), ("y", "x")]),
+])
+def test_fingerprints_of_different_rows_differ(spark, left, right):
+    of = [provenance.input_fingerprint(spark.createDataFrame(rows, "p string, q string")).first() for rows in (left, right)]
+    assert of[0].fingerprint != of[1].fingerprint and of[0].digest_sum.count("-") == 4
+
+
+def test_fingerprint_refuses_doubles_it_would_cut(spark):
+    exact = spark.createDataFrame([(0.123456, "a"), (None, "b")], "v double, k string")
+    assert provenance.input_fingerprint(exact).first().row_count == 2
+    with pytest.raises(Exception, match="more than 6 decimals"):
+        provenance.input_fingerprint(spark.createDataFrame([(0.1234561,)], "v double")).collect()
+
+
+def test_python_text_refuses_what_it_cannot_print(spark):
+    from runlens.functions.text import python_text
+
+    with pytest.raises(Exception, match="too large"):
+        python_text(spark.createDataFrame([(1e16,)], "v double")).collect()
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert staging.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert staging.stage(inputs.runs(spark, "/root/testdata/sf0.001"), "t").inputFiles()[0].split(":")[-1].lstrip("/") \
