@@ -46,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     final.add_argument("--json-array", action="store_true")
     final.add_argument("--quarantine", help="folder for violations; default is to fail")
     final.add_argument("--violations", help="folder for offending keys, should the check fail")
+    final.add_argument("--buckets", type=int, default=0, help="stage both sides in so many buckets first")
     coverage = add("coverage", "metrics", "decisions", "out")
     coverage.add_argument("--format", default="parquet")
     load = add("load", "source", "table", "progress")
@@ -86,7 +87,8 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif a.job == "final":
         rows = jobs.final_job(
-            spark, a.metrics, a.decisions, a.table, a.csv, a.format, a.json_array, a.quarantine, a.violations
+            spark, a.metrics, a.decisions, a.table, a.csv, a.format, a.json_array, a.quarantine, a.violations,
+            a.buckets,
         )
     elif a.job == "dashboard":
         rows = jobs.dashboard_job(spark, a.final_csv, a.out)

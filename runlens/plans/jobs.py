@@ -13,7 +13,7 @@ from runlens.operators import checks, contract, labels, provenance
 from runlens.operators.measure import with_metrics
 from runlens.schemas import RUNS
 from runlens.sources import readers, writers
-from runlens.sources.staging import released, stage
+from runlens.sources.staging import released, stage, stage_bucketed
 from runlens.streaming import runs as streams
 
 
@@ -81,8 +81,11 @@ def final_job(
     json_array: bool = False,
     quarantine_path: str | None = None,
     violations_path: str | None = None,
+    buckets: int = 0,
 ) -> int:
-    """Metrics and decisions -> final table and its CSV, derived from the written table.
+    """Metrics and decisions -> final table and its CSV, derived from the written table. With
+    ``buckets``, both sides are first written in that many buckets by run_id, so that what was checked
+    is what is joined, and is joined without a shuffle.
 
     Refuses anything but one allowed label per run, and names the folder of all offending keys. With
     ``quarantine_path``, the violations are written there instead, and the runs that keep the
@@ -91,6 +94,9 @@ def final_job(
     with released(spark), writers.Outputs(spark) as outputs:
         metrics = readers.read_table(spark, metrics_path, fmt)
         decisions = readers.load_decisions(spark, decisions_path, json_array)
+        if buckets:
+            metrics = stage_bucketed(metrics, "metrics", "run_id", buckets)
+            decisions = stage_bucketed(decisions, "decisions", "run_id", buckets)
         if quarantine_path is None:
             final = contract.build_final(metrics, decisions, violations_path)
         else:

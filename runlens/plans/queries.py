@@ -29,10 +29,13 @@ def _columns(source: Query, *names: str) -> Query:
 
 
 def final_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written measurement and judgment tables, checked and joined."""
-    metrics = staging.stage(inputs.metrics(spark, sf_dir), "metrics")
+    """The written measurement and judgment tables, checked and joined. Both are bucketed by run_id, so
+    the join moves no row."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    metrics = staging.stage_bucketed(inputs.metrics(spark, sf_dir), "metrics", "run_id", buckets)
     extract = measure.decision_extract(metrics)
-    decisions = staging.stage(labels.policy_labels(extract, inputs.undisclosed()), "decisions")
+    answers = labels.policy_labels(extract, inputs.undisclosed())
+    decisions = staging.stage_bucketed(answers, "decisions", "run_id", buckets)
     return contract.build_final(metrics, decisions)
 
 

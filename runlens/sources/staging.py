@@ -12,6 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _open: list[str] = []  # folders handed out and not removed yet, oldest first
+_tables: dict[str, str] = {}  # of these, the catalog names of bucketed ones
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,8 +37,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like :func:`stage`, in ``buckets`` buckets by ``key``: joins of two such tables, and groupings by
+    the key, need no shuffle. Choose as many as shuffle partitions would be needed for the whole table."""
+    path = new_folder(df.sparkSession, name)
+    _tables[path] = f"staged_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path)
+    writer.saveAsTable(_tables[path])
+    return df.sparkSession.table(_tables[path])
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder through the file system its path names, if it is there."""
+    """Remove a folder, and the table it may be, through the file system its path names, if it is there."""
+    if path in _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(path)}")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
