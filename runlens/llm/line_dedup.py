@@ -3,15 +3,15 @@
 1. The lines of a text are hashed. A chunk ends after a line where a rolling hash over the last
    ``ROLL`` line hashes hits 0 modulo ``MEAN_LINES``, so the boundaries depend on nearby lines only: a
    passage moved to another place or text is cut alike, but for its ends. A chunk has ``MIN_LINES``
-   to ``MAX_LINES`` lines.
+   to ``MAX_LINES`` lines. A line of ``LONG_WORDS`` words or more is a passage by itself: it is cut
+   off on both sides.
 2. Chunks are grouped over the whole table by a 128-bit hash; only a hash, a place and sizes move.
    Copies of a hot chunk collapse to one partial row per task.
 3. Where a hash occurs twice, the bytes of all its chunks are compared, by grouping on the text. A
    hash that stands for different texts removes nothing.
 4. The first occurrence stays: smallest doc_id, then text hash, then place. All others are cut out.
 
-Only chunks with two lines that hold a word, at least, are ever removed; so texts of one line are
-left alone.
+Only chunks with two lines that hold a word, at least, and long lines are ever removed.
 
 A document is known by doc_id, the hash and the byte length of its text, so that nothing depends on
 how Spark splits the input. Edge cases: rows that repeat doc_id and text count as one document and are
@@ -37,25 +37,37 @@ ROLL = 2
 MEAN_LINES = 3
 MIN_LINES = 2
 MAX_LINES = 64
+LONG_WORDS = 50
 _IDENTITY = ["__id", "__h", "__bytes"]
 _CHUNKS = "__id string, __h long, __bytes int, number int, first int, n int, key binary"
 
 
-def chunk_bounds(hashes: np.ndarray) -> list[int]:
-    """Ends (exclusive) of the chunks of a text with these line hashes."""
+def is_long(line: bytes) -> bool:
+    return len(line) >= 2 * LONG_WORDS - 1 and len(line.split()) >= LONG_WORDS
+
+
+def removable(lines: list[bytes]) -> bool:
+    """Whether a chunk of these lines may go if it occurs elsewhere."""
+    return sum(1 for line in lines if line.strip()) >= MIN_LINES or is_long(lines[0])
+
+
+def chunk_bounds(hashes: np.ndarray, long: list[int] = ()) -> list[int]:
+    """Ends (exclusive) of the chunks of a text with these line hashes; ``long`` numbers its long lines."""
     lines = len(hashes)
     with np.errstate(over="ignore"):
         rolled = mix(hashes)
         for k in range(1, ROLL):
             rolled[k:] = mix(rolled[k:] ^ (hashes[:-k] * np.uint64(2 * k + 1)))
     ends, start = [], 0
-    for at in np.flatnonzero(rolled % np.uint64(MEAN_LINES) == 0) + 1:
+    forced = {at for line in long for at in (line, line + 1)}
+    cuts = set((np.flatnonzero(rolled % np.uint64(MEAN_LINES) == 0) + 1).tolist())
+    for at in sorted(cuts | forced):
         while at - start > MAX_LINES:
             start += MAX_LINES
             ends.append(start)
-        if at - start >= MIN_LINES:
-            ends.append(int(at))
-            start = int(at)
+        if at - start >= (1 if at in forced else MIN_LINES):
+            ends.append(at)
+            start = at
     while lines - start > MAX_LINES:
         start += MAX_LINES
         ends.append(start)
@@ -70,12 +82,11 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, number, first, size, keys = [], [], [], [], []
         for row, text in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):
             lines = (text or b"").split(b"\n")
-            if len(lines) < MIN_LINES:
-                continue
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
             start = 0
-            for k, end in enumerate(chunk_bounds(hashes)):
-                if sum(1 for line in lines[start:end] if line.strip(b" \t\n\r\x0b\x0c")) >= MIN_LINES:
+            long = [k for k, line in enumerate(lines) if is_long(line)]
+            for k, end in enumerate(chunk_bounds(hashes, long)):
+                if removable(lines[start:end]):
                     owner.append(row)
                     number.append(k)
                     first.append(start)

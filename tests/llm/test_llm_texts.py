@@ -22,9 +22,10 @@ def lines_by_hand(rows):
         lines = (text or "").split("\n")
         hashes = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in lines], np.uint64)
         start = 0
-        for number, end in enumerate(line_dedup.chunk_bounds(hashes)):
+        long = [i for i, x in enumerate(lines) if len(x.encode().split()) >= 50]
+        for number, end in enumerate(line_dedup.chunk_bounds(hashes, long)):
             part = lines[start:end]
-            if sum(bool(x.strip(" \t\n\r\x0b\x0c")) for x in part) >= 2:
+            if sum(bool(x.strip(" \t\n\r\x0b\x0c")) for x in part) >= 2 or start in long:
                 place = (doc_id is None, doc_id or 0, number)
                 chunks.setdefault("\n".join(part), []).append((place, (doc_id, text), start, end))
             start = end
@@ -221,6 +222,18 @@ def test_pipeline_run_equals_its_stages_by_hand(spark, sf_dir):
     assert (pieces.groupby("sequence_id").length.sum() <= 2048).all()
 
 
+def test_long_lines_are_passages_wherever_they_stand(spark):
+    line = " ".join(f"p{i}" for i in range(50))
+    short = " ".join(f"q{i}" for i in range(49))
+    rows = [(1, f"a b\n{line}\nc d"), (2, line), (3, f"x\ny z\n{line}"), (4, f"one\n{short}"), (5, f"{short}\ntwo")]
+    with Scope(spark) as scope:
+        cut = {r.doc_id: r.text for r in line_dedup.dedup_lines(
+            spark.createDataFrame(rows, "doc_id long, text string"), scope).collect()}
+        assert cut == {1: rows[0][1], 2: "", 3: "x\ny z", 4: rows[3][1], 5: rows[4][1]}
+        kept = line_dedup.filter_documents(spark.createDataFrame(rows, "doc_id long, text string"), scope)
+        assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5]
+
+
 def test_random_texts_keep_their_first_passage(spark):
     chance = random.Random(9)
     passage = [" ".join(f"p{chance.randint(0, 999)}" for _ in range(8)) for _ in range(40)]
