@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from runlens.operators import alerts, checks, contract, labels, reports
 from runlens.plans import jobs
 from runlens.sources.readers import load_decisions, read_table
+from runlens.sources.staging import released
 from runlens.streaming.runs import compact_domain_daily
 
 REPORTS = {
@@ -116,8 +117,9 @@ def main(argv: list[str] | None = None) -> None:
         return
     else:
         chosen = (a.domains, a.labels, a.drift) if a.name == "filtered_runs" else ()
-        report = REPORTS[a.name](read_table(spark, a.table, a.format), *chosen)
-        report.write.mode("overwrite").option("ignoreNullFields", False).json(a.out)
+        with released(spark):
+            report = REPORTS[a.name](read_table(spark, a.table, a.format), *chosen)
+            report.write.mode("overwrite").option("ignoreNullFields", False).json(a.out)
         return
     print(f"{a.job}: {rows} rows")
 

@@ -16,7 +16,8 @@ def _severity(label: Column) -> Column:
 
 def alert_rows(final: DataFrame) -> DataFrame:
     """Runs that became BLOCK, or got a worse label than the run before of the same upstream
-    pipeline. A first run alerts only if it is BLOCK."""
+    pipeline. A first run alerts only if it is BLOCK. Writes an ordered copy when called; see
+    :func:`runlens.sources.staging.released`."""
     columns = ["run_id", "pipeline_name", "domain", "run_timestamp", DECISION]
     history = previous_within(
         final.select(*columns), "pipeline_name", ["run_timestamp", "run_id"], F.col(DECISION), PREVIOUS
@@ -28,7 +29,8 @@ def alert_rows(final: DataFrame) -> DataFrame:
 
 
 def run_ordinal(runs: DataFrame) -> DataFrame:
-    """Zero-based position of each run within its upstream pipeline, and the key built from it."""
+    """Zero-based position of each run within its upstream pipeline, and the key built from it. Writes an
+    ordered copy when called."""
     columns = ["run_id", "pipeline_name", "run_timestamp"]
     numbered = number_within(
         runs.select(*columns), "pipeline_name", ["run_timestamp", "run_id"], "run_ordinal"

@@ -124,7 +124,7 @@ def quarantine(
     runs: DataFrame, domains: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(valid runs, rejected runs with ``reasons``, the array of rules they violate). Together they
-    are exactly the input, which is written once, so both are of the same rows.
+    are exactly the input, which is written once, when this is called, so both are of the same rows.
 
     All copies of a repeated run_id are rejected: none can be told to be the right one. Reasons are
     put together for rejected rows only; the test all rows pass through is plain generated code.

@@ -129,7 +129,7 @@ def quarantine_final(metrics: DataFrame, decisions: DataFrame) -> tuple[DataFram
     """Opt-in alternative to failing: the final rows of the runs that keep the contract, and the
     violations of all others.
 
-    The offending keys are written out first. Few keys then make a broadcast that spares both sides
+    The offending keys are written out first, when this is called. Few keys then make a broadcast that spares both sides
     a shuffle, and many keys a join whose hot partitions the engine can split.
     """
     violations = stage(coverage_violations(metrics, decisions), "violations")
