@@ -43,7 +43,8 @@ MANTISSA = 10
 SIGNATURE_BITS = 256
 PROBES = 64
 DEVIATIONS = 6
-BLOCK = 512  # sets in a block of a family that is compared completely
+#: Sets, and shingles of them, in a block of a family that is compared completely.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 COLUMNS = 4096
 
 _SKETCH = ("n_shingles long, hi long, lo long, registers binary, "
@@ -293,10 +294,12 @@ class _Classes:
         member = self.scope.stage(member.join(split.select("family"), "family"), "contested")
         if not _has_rows(member):
             return self.scope.stage(families.sparkSession.createDataFrame([], "a long, b long"), "links")
-        sizes = member.groupBy("family", "root").agg(F.count("*").alias("size"))
-        own = F.col("size") >= BLOCK  # a large component has blocks of its own, small ones share blocks
-        many = sizes.groupBy("family").agg(F.ceil(F.sum(F.when(~own, F.col("size")).otherwise(0)) / BLOCK).alias("small"))
-        number = F.when(own, F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK))).otherwise(
+        weighed = member.join(self.small.select("node", "n_shingles"), "node")
+        need = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+        sizes = weighed.groupBy("family", "root").agg(need.alias("need"))
+        own = F.col("need") >= 1  # a large component has blocks of its own, small ones share blocks
+        many = sizes.groupBy("family").agg(F.ceil(F.sum(F.when(~own, F.col("need")).otherwise(0.0))).alias("small"))
+        number = F.when(own, F.pmod(F.xxhash64("node"), F.ceil("need"))).otherwise(
             F.pmod(F.xxhash64("root"), F.greatest("small", F.lit(1))))
         block = F.struct(F.when(own, F.col("root")).alias("of"), number.alias("number"))
         placed = self.scope.stage(

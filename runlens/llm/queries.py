@@ -38,7 +38,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches over all documents, one of them delivered twice: every document is inserted; every
-    seventh is revised to what a second tokenizer version counts; every eleventh is deleted."""
+    seventh is revised to what a second tokenizer version counts; every eleventh is deleted. So the
+    remainders choose what happens to a document; none is left out."""
     counted = staging.stage(token_counts.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "token-counts")
     named = counted.withColumn("tokenizer", F.lit("byte_bpe_50k/1"))
