@@ -134,8 +134,9 @@ def removed_spans(docs: DataFrame, scope: Scope) -> DataFrame:
     chunks = scope.stage(texts.mapInArrow(_chunks, _CHUNKS), "chunks")
     number = F.col("__id").cast(dict(docs.dtypes)["doc_id"])  # doc_id order, not text order
     place = F.struct(F.col("__id").isNull().alias("last"), number.alias("doc"), "__h", "__bytes", "number")
-    repeated = chunks.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high")).where(
-        "low <> high").select("key", "low")
+    ends = chunks.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    # written, so that a hot key's rows can be split in the join
+    repeated = scope.stage(ends.where("low <> high").select("key", "low"), "repeated-keys")
     again = scope.stage(
         chunks.join(repeated.hint("merge"), "key").select(*_IDENTITY, "first", "n", "key", (place == F.col("low")).alias("stays"))
         .distinct(), "repeated")
