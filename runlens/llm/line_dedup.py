@@ -5,13 +5,18 @@
    passage moved to another place or text is cut alike, but for its ends. A chunk has ``MIN_LINES``
    to ``MAX_LINES`` lines. A line of ``LONG_WORDS`` words or more is a passage by itself: it is cut
    off on both sides.
-2. Chunks are grouped over the whole table by a 128-bit hash; only a hash, a place and sizes move.
-   Copies of a hot chunk collapse to one partial row per task.
-3. Where a hash occurs twice, the bytes of all its chunks are compared, by grouping on the text. A
-   hash that stands for different texts removes nothing.
-4. The first occurrence stays: smallest doc_id, then text hash, then place. All others are cut out.
+2. The shortest runs of ``LONG_WORDS`` words from every line and up to every line are hashed as well,
+   in one pass over prefix sums. Those inside a passage of so many words cover it, so it is found
+   whatever stands around it.
+3. Chunks and runs are grouped over the whole table by a 128-bit hash; only a hash, a place and sizes
+   move. Copies of a hot chunk collapse to one partial row per task.
+4. The first occurrence stays: smallest doc_id, then text hash, then place. What occurs again points
+   to it; neighbours that point to neighbours are joined, so that a line moves about once.
+5. The bytes of what is to go and of what it points to are compared, by grouping on the text. A hash
+   that stands for different texts removes nothing.
 
-Only chunks with two lines that hold a word, at least, and long lines are ever removed.
+Only chunks with two lines that hold a word, at least, and runs of ``LONG_WORDS`` words are ever removed.
+An occurrence that overlaps the first one of its text loses the lines after that only.
 
 A document is known by doc_id, the hash and the byte length of its text, so that nothing depends on
 how Spark splits the input. Edge cases: rows that repeat doc_id and text count as one document and are
@@ -26,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.llm.batches import bounded
@@ -39,7 +44,10 @@ MIN_LINES = 2
 MAX_LINES = 64
 LONG_WORDS = 50
 _IDENTITY = ["__id", "__h", "__bytes"]
-_CHUNKS = "__id string, __h long, __bytes int, number int, first int, n int, key binary"
+_CHUNKS = "__id string, __h long, __bytes int, first int, n int, key binary"
+_OF = ["of_id", "of_h", "of_bytes"]  # the document of a first occurrence
+_PIECES = "of_id string, of_h long, of_bytes int, at int, n int, piece binary"
+_BASE = 0x9E3779B97F4A7C17  # odd, so that it has an inverse modulo 2^64
 
 
 def is_long(line: bytes) -> bool:
@@ -76,28 +84,86 @@ def chunk_bounds(hashes: np.ndarray, long: list[int] = ()) -> list[int]:
     return ends
 
 
+def runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First lines and ends (exclusive) of the shortest runs that hold ``LONG_WORDS`` words from a line on
+    or up to a line, of a text whose lines have so many ``words``."""
+    lines = len(words)
+    total = np.concatenate([[0], np.cumsum(words)])
+    if total[-1] < LONG_WORDS:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.searchsorted(total, total[:-1] + LONG_WORDS)
+    starts = np.searchsorted(total, total[1:] - LONG_WORDS, side="right") - 1
+    from_line, to_line = np.flatnonzero(ends <= lines), np.flatnonzero(starts >= 0)
+    spans = np.unique(np.concatenate([
+        from_line * (lines + 1) + ends[from_line], starts[to_line] * (lines + 1) + to_line + 1]))
+    return spans // (lines + 1), spans % (lines + 1)
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of ``_BASE`` and of its inverse, modulo 2^64."""
+    with np.errstate(over="ignore"):
+        return tuple(
+            np.cumprod(np.concatenate([[np.uint64(1)], np.full(count - 1, base, np.uint64)]), dtype=np.uint64)
+            for base in (_BASE, pow(_BASE, -1, 2**64)))
+
+
+def run_keys(digests: list[bytes], first: np.ndarray, end: np.ndarray, powers: tuple) -> list[bytes]:
+    """128-bit hashes of the runs of lines with these 128-bit digests, each in constant time."""
+    halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+    up, down = (p[:, None] for p in powers)
+    with np.errstate(over="ignore"):
+        sums = np.zeros((len(halves) + 1, 2), np.uint64)
+        np.cumsum(halves * up[: len(halves)], axis=0, out=sums[1:])
+        keys = (sums[end] - sums[first]) * down[first]
+        data = mix(keys ^ mix((end - first).astype(np.uint64))[:, None]).tobytes()
+    return [data[k : k + 16] for k in range(0, len(data), 16)]
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Identity and text -> the chunks that could be removed."""
+    """Identity and text -> the chunks and runs that could be removed."""
+    powers = _powers(1024)
     for batch in bounded(batches):
-        owner, number, first, size, keys = [], [], [], [], []
+        owner, first, size, keys = [], [], [], []
         for row, text in enumerate(batch.column("text").cast(pa.large_binary()).to_pylist()):
             lines = (text or b"").split(b"\n")
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
+            words = np.fromiter((len(line.split()) for line in lines), np.int64, len(lines))
             start = 0
-            long = [k for k, line in enumerate(lines) if is_long(line)]
-            for k, end in enumerate(chunk_bounds(hashes, long)):
+            for end in chunk_bounds(hashes, np.flatnonzero(words >= LONG_WORDS).tolist()):
                 if removable(lines[start:end]):
                     owner.append(row)
-                    number.append(k)
                     first.append(start)
                     size.append(end - start)
                     keys.append(xxhash.xxh3_128_digest(b"\n".join(lines[start:end])))
                 start = end
+            begin, end = runs(words)
+            if len(begin):
+                if len(lines) > len(powers[0]):
+                    powers = _powers(2 * len(lines))
+                owner.extend([row] * len(begin))
+                first.extend(begin.tolist())
+                size.extend((end - begin).tolist())
+                keys.extend(run_keys([xxhash.xxh3_128_digest(line) for line in lines], begin, end, powers))
         rows = pa.array(owner, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c).take(rows) for c in _IDENTITY], pa.array(number, pa.int32()),
+            [*[batch.column(c).take(rows) for c in _IDENTITY],
              pa.array(first, pa.int32()), pa.array(size, pa.int32()), pa.array(keys, pa.binary())],
-            names=[*_IDENTITY, "number", "first", "n", "key"])
+            names=[*_IDENTITY, "first", "n", "key"])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts and the line ranges asked of them -> for each its first occurrence and its bytes."""
+    for batch in bounded(batches):
+        texts, asked = batch.column("text").cast(pa.large_binary()), batch.column("asked")
+        flat, found, at = asked.flatten(), [], 0
+        first, size = flat.field("first").to_pylist(), flat.field("n").to_pylist()
+        for text, count in zip(texts, asked.value_lengths().to_pylist()):
+            lines = text.as_py().split(b"\n")
+            found += [b"\n".join(lines[a : a + n]) for a, n in zip(first[at : at + count], size[at : at + count])]
+            at += count
+        yield pa.RecordBatch.from_arrays(
+            [*[flat.field(c) for c in (*_OF, "at", "n")], pa.array(found, pa.binary())],
+            names=[*_OF, "at", "n", "piece"])
 
 
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -128,27 +194,55 @@ def _same(a: str, b: str):
             & (F.col(f"{a}.__h") == F.col(f"{b}.__h")) & (F.col(f"{a}.__bytes") == F.col(f"{b}.__bytes")))
 
 
+def _joined(spans: DataFrame, *by: str) -> DataFrame:
+    """Line ranges (first, n) with those of equal ``by`` that touch or overlap joined."""
+    order = Window.partitionBy(*by).orderBy("first", "n")
+    before = F.max(F.col("first") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.coalesce(F.col("first") > before, F.lit(True)).cast("int")
+    part = F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = spans.withColumn("starts", starts).withColumn("part", part)
+    return numbered.groupBy(*by, "part").agg(
+        F.min("first").alias("first"), (F.max(F.col("first") + F.col("n")) - F.min("first")).alias("n")).drop("part")
+
+
+def _again(chunks: DataFrame, repeated: DataFrame, place: Column) -> DataFrame:
+    """What is not the first occurrence of its key, without the lines that it shares with that, the first
+    occurrence's document, and ``shift``, the lines between both."""
+    found = chunks.join(repeated.hint("merge"), "key").where(place != F.col("low")).select(
+        *_IDENTITY, "first", "n", F.col("low.doc").cast("string").alias("of_id"), F.col("low.__h").alias("of_h"),
+        F.col("low.__bytes").alias("of_bytes"), (F.col("low.first") - F.col("first")).alias("shift"))
+    own = (F.col("of_id").eqNullSafe(F.col("__id")) & (F.col("of_h") == F.col("__h"))
+           & (F.col("of_bytes") == F.col("__bytes")))
+    shared = F.when(own, F.greatest(F.col("shift") + F.col("n"), F.lit(0))).otherwise(0)
+    return found.withColumn("shared", shared).withColumns({
+        "first": F.col("first") + F.col("shared"), "n": F.col("n") - F.col("shared")}).drop("shared")
+
+
 def removed_spans(docs: DataFrame, scope: Scope) -> DataFrame:
     """Per document that loses lines: its identity and ``spans``, the line ranges that go."""
     texts = _identified(docs).select(*_IDENTITY, "text")
     chunks = scope.stage(texts.mapInArrow(_chunks, _CHUNKS), "chunks")
     number = F.col("__id").cast(dict(docs.dtypes)["doc_id"])  # doc_id order, not text order
-    place = F.struct(F.col("__id").isNull().alias("last"), number.alias("doc"), "__h", "__bytes", "number")
+    place = F.struct(F.col("__id").isNull().alias("last"), number.alias("doc"), "__h", "__bytes", "first")
     ends = chunks.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
     # written, so that a hot key's rows can be split in the join
     repeated = scope.stage(ends.where("low <> high").select("key", "low"), "repeated-keys")
     again = scope.stage(
-        chunks.join(repeated.hint("merge"), "key").select(*_IDENTITY, "first", "n", "key", (place == F.col("low")).alias("stays"))
-        .distinct(), "repeated")
-    spans = again.groupBy(*_IDENTITY).agg(F.collect_list(F.struct("first", "n", "key")).alias("spans"))
-    found = texts.alias("t").join(spans.hint("merge").alias("s"), _same("t", "s")).select("text", F.explode("spans").alias("s"))
-    pieces = found.select("s.key", F.array_join(
-        F.slice(F.split("text", "\n"), F.col("s.first") + 1, F.col("s.n")), "\n").alias("piece"))
+        _joined(_again(chunks, repeated, place), *_IDENTITY, *_OF, "shift").withColumn(
+            "at", F.col("first") + F.col("shift")).drop("shift"), "repeated")
+    target = ["first", "n", *_OF, "at"]
+    lows = again.select(*_OF, "at", "n").distinct().select(
+        *[F.col(o).alias(c) for o, c in zip(_OF, _IDENTITY)], F.col("at").alias("first"), "n", *_OF, "at")
+    asked = again.select(*_IDENTITY, *target).union(lows).groupBy(*_IDENTITY).agg(
+        F.collect_list(F.struct(*target)).alias("asked"))
+    pieces = texts.alias("t").join(asked.hint("merge").alias("s"), _same("t", "s")).select(
+        "text", "asked").mapInArrow(_pieces, _PIECES)
+    of = F.struct(*_OF, "at", "n").alias("of")  # null ids are equal within it
     unequal = scope.stage(
-        pieces.groupBy("key", "piece").agg(F.count("*").alias("c")).groupBy("key").agg(F.count("*").alias("c"))
-        .where("c > 1").select("key"), "unequal")
-    gone = again.where("not stays").join(unequal, "key", "left_anti")
-    return gone.groupBy(*_IDENTITY).agg(F.collect_list(F.struct("first", "n")).alias("spans"))
+        pieces.select(of, "piece").groupBy("of", "piece").agg(F.count("*").alias("c"))
+        .groupBy("of").agg(F.count("*").alias("c")).where("c > 1").select("of"), "unequal")
+    gone = again.withColumn("of", of).join(unequal, "of", "left_anti")
+    return _joined(gone, *_IDENTITY).groupBy(*_IDENTITY).agg(F.collect_list(F.struct("first", "n")).alias("spans"))
 
 
 def dedup_lines(docs: DataFrame, scope: Scope) -> DataFrame:

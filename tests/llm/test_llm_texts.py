@@ -49,6 +49,61 @@ def test_lines_equal_chunks_cut_by_hand(spark, edge_docs, edge_rows):
     assert Counter(r[1] for r in rows) != Counter(t for _, t in want.elements())  # something was cut
 
 
+def planted_passages(seed):
+    """Texts of unique lines that share passages of 2 to 8 lines and 50 words or more; some lines are blank."""
+    chance = random.Random(seed)
+    word = iter(range(10**9))
+
+    def line(low, high):
+        return " ".join(f"w{next(word)}" for _ in range(chance.randint(low, high)))
+
+    passages = []
+    for size in range(2, 9):
+        for _ in range(4):
+            lines = [line(1, 60) for _ in range(size)]
+            lines[-1] += " " + line(50, 50) if chance.random() < 0.3 else ""
+            lines[0] = line(max(50 - sum(len(x.split()) for x in lines[1:]), 1) + 3, 60)
+            if size > 3 and chance.random() < 0.5:
+                lines[2] = ""
+                lines[0] += " " + line(60, 60)
+            passages.append(lines)
+    rows = []
+    for k in range(50):
+        text = [line(1, 20) for _ in range(chance.randint(0, 3))]
+        for passage in chance.sample(passages, chance.randint(1, 3)):
+            text += passage + [line(1, 20) for _ in range(chance.randint(1, 3))]
+        if k % 10 == 3:  # the same again further down
+            text += passage
+        rows.append((None if k == 7 else 100 - k, "\n".join(text)))
+    return rows
+
+
+def passages_by_hand(rows):
+    """Texts without the lines of every run of lines, of 50 words or more, that stands at an earlier place."""
+    texts = [text.split("\n") for _, text in rows]
+    order = sorted(range(len(rows)), key=lambda r: (rows[r][0] is None, rows[r][0]))
+    seen, gone = {}, set()
+    for length in range(1, 1 + max(map(len, texts))):
+        for at in order:
+            for i in range(len(texts[at]) - length + 1):
+                run = tuple(texts[at][i : i + length])
+                if sum(len(x.split()) for x in run) >= 50 and seen.setdefault(run, (at, i)) != (at, i):
+                    gone |= {(at, i + k) for k in range(length)}
+    return [(rows[r][0], "\n".join(x for i, x in enumerate(texts[r]) if (r, i) not in gone)) for r in range(len(rows))]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_of_fifty_words_go_whatever_stands_around_them(spark, seed):
+    rows = planted_passages(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    with Scope(spark) as scope:
+        cut = line_dedup.dedup_lines(docs, scope).select("doc_id", "text", "n_lines", "n_removed_lines").collect()
+    want = passages_by_hand(rows)
+    assert Counter((r.doc_id, r.text) for r in cut) == Counter(want) and want != rows
+    for r in cut:
+        assert r.n_lines - r.n_removed_lines == (len(r.text.split("\n")) if r.n_removed_lines < r.n_lines else 0)
+
+
 def test_bounds_resist_shifts():
     chance = np.random.default_rng(2)
     passage = chance.integers(0, 2**63, 200, dtype=np.uint64)
