@@ -7,7 +7,8 @@
    off on both sides.
 2. The shortest runs of ``LONG_WORDS`` words from every line and up to every line are hashed as well,
    in one pass over prefix sums. Those inside a passage of so many words cover it, so it is found
-   whatever stands around it.
+   whatever stands around it. A text of fewer words, of ``MIN_LINES`` lines with words or more, is a
+   run as a whole, so that a copy of it goes as a whole.
 3. Chunks and runs are grouped over the whole table by a 128-bit hash; only a hash, a place and sizes
    move. Copies of a hot chunk collapse to one partial row per task.
 4. The first occurrence stays: smallest doc_id, then text hash, then place. What occurs again points
@@ -137,6 +138,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys.append(xxhash.xxh3_128_digest(b"\n".join(lines[start:end])))
                 start = end
             begin, end = runs(words)
+            if not len(begin) and np.count_nonzero(words) >= MIN_LINES:
+                begin, end = np.array([0]), np.array([len(lines)])
             if len(begin):
                 if len(lines) > len(powers[0]):
                     powers = _powers(2 * len(lines))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from runlens.llm import line_dedup, quality_classifier, quality_rules
+from runlens.llm import line_dedup, near_dedup, quality_classifier, quality_rules
 from runlens.sources.staging import Scope
 
 
@@ -104,6 +104,23 @@ def test_passages_of_fifty_words_go_whatever_stands_around_them(spark, seed):
         assert r.n_lines - r.n_removed_lines == (len(r.text.split("\n")) if r.n_removed_lines < r.n_lines else 0)
 
 
+def test_exact_copies_leave_no_document(spark):
+    chance = random.Random(5)
+    originals, copies = [], []
+    for k in range(60):
+        lines = [" ".join(f"w{k}x{i}x{n}" for n in range(chance.randint(1, 6))) for i in range(3 + k % 10)]
+        if k % 4 == 1:
+            lines.insert(2, "")
+        if k % 4 == 2:  # a short line between long ones
+            lines[0] = lines[2] = " ".join(f"l{k}x{n}" for n in range(70))
+        originals.append((k, "\n".join(lines)))
+        copies += [(1000 + 10 * k + c, originals[-1][1]) for c in range(1 + k % 3)]
+    docs = spark.createDataFrame(originals + copies, "doc_id long, text string").repartition(4)
+    with Scope(spark) as scope:
+        left = near_dedup.filter_documents(scope.stage(line_dedup.filter_documents(docs, scope), "cut")).collect()
+    assert sorted(r.doc_id for r in left) == [k for k, _ in originals]
+
+
 def test_bounds_resist_shifts():
     chance = np.random.default_rng(2)
     passage = chance.integers(0, 2**63, 200, dtype=np.uint64)
