@@ -7,12 +7,14 @@
    buckets borrow a register along fixed pseudo-random probes, so small sets have full sketches.
 3. ``BANDS`` bands of ``BAND_WIDTH`` compressed registers are bucket keys. At the threshold 0.75 a
    pair shares none of them with probability (1 - 0.75^5)^56 = 3e-7; above it with less.
-4. Each member of a bucket is paired with the bucket's first member. Pairs whose set sizes fit and
-   whose Jaccard estimate, from one bit per register and corrected for accidental agreement, is
-   within six standard deviations of the threshold are near; members of a bucket that this leaves
+4. Each member of a bucket is paired with the bucket's first member. Of pairs whose set sizes fit, those
+   with a set of at most ``FEW`` shingles are near if they are links on their full sets, which such
+   sets carry along; the others if their Jaccard estimate, from one bit per register and corrected for
+   accidental agreement, is within six standard deviations of the threshold. The deviation is that of
+   registers of which some are borrowed, thus equal to others. Members of a bucket that this leaves
    in different families of near pairs are then paired with each other. So bucket mates that may be
    linked share a family, while groups of near copies cost a multiple of their size only.
-5. Near pairs whose estimate from whole registers, corrected for collisions, is not below the
+5. Near pairs of larger sets whose estimate from whole registers, corrected for collisions, is not below the
    threshold by six standard deviations are decided on their full sets, computed again from the
    whole texts. The links give components.
 6. A family that still holds several components is compared completely: its sets are dealt into
@@ -43,11 +45,14 @@ MANTISSA = 10
 SIGNATURE_BITS = 256
 PROBES = 64
 DEVIATIONS = 6
+#: Pairs with a set of so many shingles are never estimated; LISTED is the largest set that may link to it.
+FEW = 256
+LISTED = 100 * FEW // THRESHOLD
 #: Sets, and shingles of them, in a block of a family that is compared completely.
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 COLUMNS = 4096
 
-_SKETCH = ("n_shingles long, hi long, lo long, registers binary, "
+_SKETCH = ("n_shingles long, hi long, lo long, registers binary, few array<long>, "
            + ", ".join(f"s{i} long" for i in range(SIGNATURE_BITS // 64)))
 
 
@@ -107,9 +112,25 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(((a == b).mean(axis=1) - chance) / (1 - chance), 0.0)
 
 
-def _least_estimate(samples: int) -> float:
+def _spread(n: np.ndarray) -> np.ndarray:
+    """Sum of the squared shares that the values of a set of ``n`` have in its registers: 1 / REGISTERS if
+    none is borrowed. A value found in ``own`` buckets lends about (REGISTERS - own) / own registers."""
+    own = REGISTERS * -np.expm1(-n / REGISTERS)
+    lent = (REGISTERS - own) / own
+    return own * (lent + (1 + lent) ** 2) / REGISTERS**2
+
+
+def _least_estimate(n: np.ndarray) -> np.ndarray:
     share = THRESHOLD / 100
-    return share - DEVIATIONS * (share * (1 - share) / samples) ** 0.5
+    return share - DEVIATIONS * (share * (1 - share) * _spread(n)) ** 0.5
+
+
+def _listed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The sets of up to LISTED shingles; null for larger ones."""
+    small = sizes <= LISTED
+    offsets = np.concatenate([[0], np.cumsum(np.where(small, sizes, 0))]).astype(np.int32)
+    held = values[np.repeat(small, sizes)].view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(held), mask=pa.array(~small))
 
 
 def _sketches(batches):
@@ -124,6 +145,7 @@ def _sketches(batches):
             batch.column("doc_id"), batch.column("xh"), pa.array(np.diff(offsets)),
             pa.array(halves[:, 0]), pa.array(halves[:, 1]),
             pa.array([r.tobytes() for r in registers], pa.binary()),
+            _listed(values, np.diff(offsets)),
             *[pa.array(signature[:, i]) for i in range(signature.shape[1])],
         ]
         yield pa.RecordBatch.from_arrays(columns, names=_SKETCH_NAMES)
@@ -151,9 +173,9 @@ def _band_keys(batches):
 
 def _likely(batches):
     """Pairs with registers -> pairs whose estimate may belong to a link."""
-    least = _least_estimate(REGISTERS)
     for batch in batches:
-        near = estimate(_stack(batch.column("ra")), _stack(batch.column("rb"))) >= least
+        n = batch.column("n").to_numpy()
+        near = (n <= FEW) | (estimate(_stack(batch.column("ra")), _stack(batch.column("rb"))) >= _least_estimate(n))
         yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
@@ -231,11 +253,18 @@ def _hamming(x: str, y: str):
 
 
 def _may_link(x: str, y: str):
-    """Sizes fit, and the one-bit estimate 1 - 2 h / bits (half of all unrelated bits agree) is near."""
+    """Sizes fit, and small sets are linked, or the one-bit estimate 1 - 2 h / bits (half of all unrelated
+    bits agree) is near."""
     n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-    mean = SIGNATURE_BITS * (1 - THRESHOLD / 100) / 2
-    most = mean + DEVIATIONS * (mean * (1 - mean / SIGNATURE_BITS)) ** 0.5
-    return (100 * F.least(n, m) >= THRESHOLD * F.greatest(n, m)) & (_hamming(x, y) <= most)
+    both = F.size(F.array_intersect(f"{x}.few", f"{y}.few"))
+    linked = 100 * both >= THRESHOLD * (n + m - both)
+    part = (1 - THRESHOLD / 100) / 2
+    own = REGISTERS * -F.expm1(-F.least(n, m) / REGISTERS)
+    lent = (REGISTERS - own) / own
+    spread = own * (lent + (1 + lent) * (1 + lent)) / REGISTERS**2 + (1 / SIGNATURE_BITS - 1 / REGISTERS)
+    most = SIGNATURE_BITS * (part + DEVIATIONS * F.sqrt(part * (1 - part) * spread))
+    return (100 * F.least(n, m) >= THRESHOLD * F.greatest(n, m)) & F.when(
+        F.least(n, m) <= FEW, linked).otherwise(_hamming(x, y) <= most)
 
 
 class _Classes:
@@ -249,12 +278,12 @@ class _Classes:
         signs = [f"s{i}" for i in range(SIGNATURE_BITS // 64)]
         grouped = self.members.where("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(
             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "xh")).alias("rep"),
-            *[F.first(c).alias(c) for c in ["registers", *signs]])
+            *[F.first(c).alias(c) for c in ["registers", "few", *signs]])
         self.table = scope.stage(
             grouped.select(F.monotonically_increasing_id().alias("node"), "hi", "lo", "n_shingles",
                            F.col("rep.doc_id").alias("doc_id"), F.col("rep.xh").alias("xh"),
-                           "registers", *signs), "classes")
-        self.small = self.table.select("node", "n_shingles", *signs)
+                           "registers", "few", *signs), "classes")
+        self.small = self.table.select("node", "n_shingles", "few", *signs)
 
     def bands(self) -> DataFrame:
         return self.table.select("node", "registers").mapInArrow(_band_keys, "key long, node long")
@@ -266,7 +295,7 @@ class _Classes:
         return self.scope.stage(self.bands().join(shared.hint("merge"), "key"), "buckets")
 
     def near(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that pass sizes and the one-bit estimate, written."""
+        """Pairs that pass sizes and the test for theirs, written."""
         x, y = self.small.hint("merge").alias("x"), self.small.hint("merge").alias("y")
         found = pairs.join(x, F.col("a") == F.col("x.node")).join(
             y, (F.col("b") == F.col("y.node")) & _may_link("x", "y"))
@@ -318,10 +347,11 @@ class _Classes:
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs that pass the estimates, written."""
-        table = self.table.select("node", "registers").hint("merge")
+        table = self.table.select("node", "n_shingles", "registers").hint("merge")
         x, y = table.alias("x"), table.alias("y")
         both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
-        both = both.select("a", "b", F.col("x.registers").alias("ra"), F.col("y.registers").alias("rb"))
+        both = both.select("a", "b", F.least("x.n_shingles", "y.n_shingles").alias("n"),
+                           F.col("x.registers").alias("ra"), F.col("y.registers").alias("rb"))
         return self.scope.stage(both.mapInArrow(_likely, "a long, b long"), "likely")
 
     def full_sets(self, nodes: DataFrame) -> DataFrame:

@@ -86,6 +86,18 @@ def test_families_of_variants_lose_no_link(spark, monkeypatch, block):
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute_force(rows)
 
 
+def test_short_texts_that_differ_in_one_word_lose_no_link(spark):
+    rows = []
+    for size in range(5, 21):
+        for k in range(60):
+            words = [f"s{size}x{k}x{i}" for i in range(size)]
+            other = [[*words, "more"], [*words[:-1], "other"], ["more", *words]][k % 3]
+            rows += [(len(rows) + i, " ".join(w)) for i, w in enumerate((words, other))]
+    want = brute_force(rows)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == want
+    assert sum(doc_id != component for doc_id, _, component in want) > 500
+
+
 def test_one_row_of_each_component_stays(edge_docs, edge_rows):
     left = near_dedup.filter_documents(edge_docs).collect()
     components = {c for _, n, c in brute_force([(r[0], r[1]) for r in edge_rows]) if n}
