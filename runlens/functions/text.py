@@ -1,4 +1,4 @@
-"""Run keys, ISO dates and canonical row text."""
+"""Run keys, ISO timestamps and canonical row text."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,12 @@ def midnight_iso(date: Column) -> Column:
     return F.concat(date.cast("date").cast("string"), F.lit("T00:00:00"))
 
 
+def iso_timestamp(ts: Column) -> Column:
+    """yyyy-MM-ddTHH:mm:ss of a timestamp without zone; fractions of a second are dropped. Casting it to
+    text involves no time zone, unlike ``date_format``."""
+    return F.replace(F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 19), F.lit(" "), F.lit("T"))
+
+
 def run_date(run_timestamp: Column) -> Column:
     """The calendar day of an ISO run timestamp; null where the text is no date."""
     return F.substring(run_timestamp, 1, 10).try_cast("date")

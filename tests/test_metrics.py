@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from runlens.functions import metrics as m
 from runlens.functions.numeric import fixed_text, half_up, mean_of_metric, round_exact
+from runlens.functions.text import iso_timestamp
 from runlens.operators.labels import policy_labels, with_policy
 from runlens.operators.measure import decision_extract, metric_record, with_metrics
 from runlens.schemas import EXTRACT_COLUMNS, METRIC_COLUMNS, RECORD_COLUMNS, RUNS
@@ -128,3 +129,9 @@ def test_metrics_and_policy_run_in_one_generated_stage_without_python(spark, sf_
     narrow = plan(policy_labels(decision_extract(with_metrics(runs))))
     scanned = next(line for line in narrow.splitlines() if "ReadSchema" in line)
     assert "pipeline_name" not in scanned and "error_message" not in scanned
+
+
+def test_iso_text_of_timestamps_with_a_time_of_day(spark):
+    texts = ["2024-02-29 23:59:58.999999", "2018-11-04 00:30:00", "1969-12-31 00:00:01", None]  # the second is in no Sao Paulo clock
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(iso_timestamp(F.col("t").cast("timestamp_ntz")).alias("iso"))
+    assert [r.iso for r in df.collect()] == ["2024-02-29T23:59:58", "2018-11-04T00:30:00", "1969-12-31T00:00:01", None]
