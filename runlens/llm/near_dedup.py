@@ -12,7 +12,8 @@
    sets carry along; the others if their Jaccard estimate, from one bit per register and corrected for
    accidental agreement, is within six standard deviations of the threshold. The deviation is that of
    registers of which some are borrowed, thus equal to others. Members of a bucket that this leaves
-   in different families of near pairs are then paired with each other. So bucket mates that may be
+   in different families of near pairs are then paired with each other, in buckets of more than ``BLOCK``
+   members each two blocks in one task, so that only what is near becomes a row. So bucket mates that may be
    linked share a family, while groups of near copies cost a multiple of their size only.
 5. Near pairs of larger sets whose estimate from whole registers, corrected for collisions, is not below the
    threshold by six standard deviations are decided on their full sets, computed again from the
@@ -206,10 +207,8 @@ def _links(batches):
         yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
-def _block_links(rows: pa.Table) -> pa.Table:
-    """The sets of two blocks -> a spanning forest of the links between different components."""
-    nodes, roots = rows.column("node").to_numpy(), rows.column("root").to_numpy()
-    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("members")]
+def _intersections(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the sets, and of the intersection of each two."""
     sizes = np.array([len(s) for s in sets])
     values, place, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     common = seen > 1  # what one set alone holds adds to no intersection
@@ -224,6 +223,14 @@ def _block_links(rows: pa.Table) -> pa.Table:
         part = np.zeros((len(sets), COLUMNS), np.float32)
         part[row_of[a:b], column_of[a:b] - low] = 1
         both += part @ part.T  # whole numbers below 2^24, so exact
+    return sizes, both
+
+
+def _block_links(rows: pa.Table) -> pa.Table:
+    """The sets of two blocks -> a spanning forest of the links between different components."""
+    nodes, roots = rows.column("node").to_numpy(), rows.column("root").to_numpy()
+    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("members")]
+    sizes, both = _intersections(sets)
     union = sizes[:, None] + sizes[None, :] - both
     linked = (100.0 * both >= THRESHOLD * union) & (roots[:, None] < roots[None, :])
     parent = np.arange(len(sets))
@@ -247,6 +254,28 @@ def _block_links(rows: pa.Table) -> pa.Table:
     return pa.table({"a": nodes[pairs[:, 0]], "b": nodes[pairs[:, 1]]})
 
 
+def _mates(rows: pa.Table) -> pa.Table:
+    """Two blocks of a bucket -> its pairs from different families that may be linked, as ``_may_link`` has it."""
+    nodes, roots, n = (rows.column(c).to_numpy() for c in ("node", "root", "n_shingles"))
+    few = [np.array(s, np.int64).view(np.uint64) for s in rows.column("few").to_pylist() if s is not None]
+    bits = np.stack([rows.column(f"s{i}").to_numpy().view(np.uint64) for i in range(SIGNATURE_BITS // 64)])
+    apart = sum(np.bitwise_count(b[:, None] ^ b[None, :]).astype(np.int64) for b in bits)
+    least, most = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+    part = (1 - THRESHOLD / 100) / 2
+    spread = _spread(n) + (1 / SIGNATURE_BITS - 1 / REGISTERS)
+    cut = SIGNATURE_BITS * (part + DEVIATIONS * (part * (1 - part) * spread) ** 0.5)
+    near = apart <= np.maximum(cut[:, None], cut[None, :])  # that of the smaller set
+    listed = np.flatnonzero(n <= LISTED)
+    if len(listed):
+        linked = np.zeros(near.shape, bool)
+        sizes, both = _intersections(few)
+        linked[np.ix_(listed, listed)] = 100.0 * both >= THRESHOLD * (sizes[:, None] + sizes[None, :] - both)
+        near = np.where(least <= FEW, linked, near)
+    near &= (100 * least >= THRESHOLD * most) & (roots[:, None] != roots[None, :])
+    a, b = np.nonzero(near & (nodes[:, None] < nodes[None, :]))
+    return pa.table({"a": nodes[a], "b": nodes[b]})
+
+
 def _hamming(x: str, y: str):
     return sum(F.bit_count(F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}")))
                for i in range(SIGNATURE_BITS // 64))
@@ -304,14 +333,22 @@ class _Classes:
     def families(self, buckets: DataFrame, near: DataFrame) -> DataFrame:
         """(node, root) of the families, grown until no two bucket mates that are near are apart."""
         families = connected_components(near, self.scope)
-        placed = _rooted(buckets.select("key", "node").join(self.small, "node"), families)
-        mixed = placed.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h")).where("l <> h")
-        mates = self.scope.stage(placed.join(mixed.select("key"), "key"), "mates")
+        placed = self.scope.stage(_rooted(buckets.select("key", "node"), families), "rooted-buckets")
+        mixed = placed.groupBy("key").agg(
+            F.min("root").alias("l"), F.max("root").alias("h"), F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        mixed = self.scope.stage(mixed.where("l <> h").select("key", "blocks"), "mixed")
+        placed = placed.join(mixed.hint("merge"), "key")
+        mates = self.scope.stage(placed.where("blocks = 1").join(self.small.hint("merge"), "node"), "mates")
         x, y = mates.alias("x"), mates.alias("y")
         apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (
             F.col("x.root") != F.col("y.root")) & _may_link("x", "y")
-        more = self.scope.stage(
-            x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "more")
+        few = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        own, others = F.pmod(F.xxhash64("node"), "blocks"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+        met = placed.where("blocks > 1").select(
+            "key", "node", "root", own.alias("own"), F.explode(others).alias("other")).select(
+            "key", "node", "root", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+        many = met.join(self.small.hint("merge"), "node").groupBy("key", "one", "two").applyInArrow(_mates, "a long, b long")
+        more = self.scope.stage(few.union(many).distinct(), "more")
         if not _has_rows(more):
             return families
         return connected_components(near.union(more), self.scope)

@@ -98,6 +98,27 @@ def test_short_texts_that_differ_in_one_word_lose_no_link(spark):
     assert sum(doc_id != component for doc_id, _, component in want) > 500
 
 
+@pytest.mark.parametrize("shared", [30, 600])  # sets that are listed, and sets that are estimated
+def test_hot_buckets_are_compared_in_blocks(spark, monkeypatch, shared):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    passage = " ".join(f"p{i}" for i in range(shared))
+    own = [" ".join(f"o{k}x{i}" for i in range(shared * 2 // 3)) for k in range(30)]
+    rows = [(k, f"{passage} {text}") for k, text in enumerate(own)]
+    rows += [(100 + k, f"{passage} {text} and {k} more") for k, text in enumerate(own[:10])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    original, kept = Scope.stage, {}
+
+    def stage(self, df, name):
+        kept[name] = original(self, df, name)
+        if name == "mates":
+            kept["largest"] = max([0, *[r["count"] for r in kept[name].groupBy("key").count().collect()]])
+        return kept[name]
+
+    monkeypatch.setattr(Scope, "stage", stage)
+    assert found(docs) == brute_force(rows)
+    assert kept["largest"] <= 8  # no larger bucket is joined with itself
+
+
 def test_one_row_of_each_component_stays(edge_docs, edge_rows):
     left = near_dedup.filter_documents(edge_docs).collect()
     components = {c for _, n, c in brute_force([(r[0], r[1]) for r in edge_rows]) if n}
