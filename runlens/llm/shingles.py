@@ -25,8 +25,9 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, word offsets of the texts)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    # lowered before the cast: on a slice that was cast, some versions of pyarrow lower other bytes
+    texts = pc.fill_null(pc.ascii_lower(texts).cast(pa.large_string()), "")
+    parts = pc.ascii_split_whitespace(texts)
     flat, rows = pc.list_flatten(parts), pc.list_parent_indices(parts).to_numpy()
     real = pc.greater(pc.binary_length(flat), 0)
     flat, rows = flat.filter(real), rows[real.to_numpy(zero_copy_only=False)]

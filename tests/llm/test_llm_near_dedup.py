@@ -57,6 +57,26 @@ def test_sets_equal_the_shingles_of_each_text(edge_rows):
     assert len(set(same.values())) == len(same)
 
 
+def test_slices_of_a_batch_have_the_sets_of_their_own_texts(edge_rows):
+    for texts in ([r[1] for r in edge_rows], [r[1] or "" for r in edge_rows]):
+        whole = pa.array(texts, pa.string())
+        for at in range(len(texts)):
+            for part, alone in ((whole.slice(at), pa.array(texts[at:], pa.string())),
+                                (whole.slice(at, 2), pa.array(texts[at : at + 2], pa.string()))):
+                for x, y in zip(shingle_sets(part), shingle_sets(alone)):
+                    assert (x == y).all()
+
+
+def test_partitions_of_many_slices_equal_brute_force(spark):
+    """One partition of more than 8 MB, so that batches are cut into slices."""
+    rows = []
+    for k in range(24):
+        words = [f"Doc{k % 20}Word{i}" for i in range(36_000 - 500 * (k // 20))]
+        rows.append((k, " ".join(words)))
+    assert sum(len(text) for _, text in rows) > 8 << 20
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)) == brute_force(rows)
+
+
 def test_edge_cases_equal_brute_force(edge_docs, edge_rows):
     assert found(edge_docs) == brute_force([(r[0], r[1]) for r in edge_rows])
 
