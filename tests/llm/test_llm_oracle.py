@@ -10,7 +10,7 @@ from runlens.llm.queries import QUERIES
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert QUERIES.items() <= entry.queries().items() and "pipeline" in entry.queries()
 
 
