@@ -4,11 +4,10 @@ added, for whole Arrow columns.
 A blank between two characters that are not white space always begins a token, so such texts can be
 encoded word by word. Most words repeat: each worker keeps the ids of ``CACHE_WORDS`` words. New ones
 are encoded together, and the result is cut before tokens that begin with a blank. Texts with other
-runs of white space, and texts with a special token's name in them, go to the library as they are.
+white space beside a blank, and texts with a special token's name in them, go to the library as they are.
 """
 
 import json
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -20,7 +19,6 @@ from tokenizers import Tokenizer
 CACHE_WORDS = 400_000
 #: Fixed value: how the byte-level pre-tokenizer of the vocabulary file splits text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_LOOSE = re.compile(r"\s |^ | \s| $")
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -35,11 +33,10 @@ class _Words:
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             content = json.load(f)
-        special = [t["content"] for t in content["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.special = [t["content"] for t in content["added_tokens"]]
         byte = _byte_of_character()
         ranks = {bytes(byte[c] for c in token): i for token, i in content["model"]["vocab"].items()
-                 if token not in special}
+                 if token not in self.special}
         self.fast = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.blank = np.zeros(max(ranks.values()) + 1, bool)
         for token, i in ranks.items():
@@ -50,18 +47,21 @@ class _Words:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known.clear()
         ids = np.array(self.fast.encode_ordinary(" " + " ".join(words)), np.uint32)
-        starts = np.flatnonzero(self.blank[ids])
-        for word, part in zip(words, np.split(ids, starts[1:])):
-            self.known[word] = part.tobytes()
+        starts = (np.flatnonzero(self.blank[ids]) * 4).tolist()
+        data = ids.tobytes()
+        for word, a, b in zip(words, starts, [*starts[1:], len(data)]):
+            self.known[word] = data[a:b]
 
     def encode(self, text: str) -> bytes:
         """The ids as 32-bit numbers in a row."""
-        if self.special and self.special.search(text):
+        if any(name in text for name in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-        if not _LOOSE.search(text):
-            first, *words = text.split(" ")
+        first, *words = text.split(" ")
+        if first == first.rstrip() and (first or not words):
             for _ in range(2):  # learning may have emptied the store of earlier words of this text
                 fresh = set(words).difference(self.known)
+                if not all(word and word == word.strip() for word in fresh):
+                    break  # white space beside a blank
                 if fresh:
                     self.learn(list(fresh))
             if not fresh:

@@ -129,9 +129,8 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written, and read back from the files."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scope = staging.Scope(spark)
-    folder = scope.folder("token-files")
-    token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, folder, scope)
+    folder = staging.new_folder(spark, "token-files")
+    token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, folder)
     return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

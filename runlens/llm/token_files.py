@@ -12,11 +12,12 @@ and the table ``manifest`` with the sizes of all partitions and their bases, whi
 sizes: the number of documents, and of ids, before the partition. So the place of any document in the whole
 corpus is a base plus an offset. The manifest is written last; without it a folder holds nothing.
 
-Texts are encoded where they are read and written once, as ids; only ids move. They are exchanged by range of
-doc_id and, within one id, by row, so that a repeated id is split as well. Tasks write as rows come,
-under names of their own attempt, so an attempt that is lost or doubled leaves a file that no manifest
-names, and that is removed in the end. The folder must be one that all executors and the driver share. Local and mounted folders are
-mapped into memory, others (hdfs, s3, gs, as pyarrow knows them) read by ranges.
+Texts are exchanged once, by range of doc_id and, within one id, by row, so that a repeated id is split as
+well; they must be a table that reads alike each time, as written ones do. The tasks that receive them in order
+encode and write as rows come, under names of their own attempt: an attempt that is lost or doubled leaves
+files that no manifest names, and that are removed in the end. The folder must be one that all executors and
+the driver share. Local and mounted folders are mapped into memory, others (hdfs, s3, gs, as pyarrow
+knows them) read by ranges.
 
 Edge cases. Null text counts as empty and holds the end mark alone. Null doc_ids come first. Rows with
 equal ids follow each other, in any order. Very long texts may fill a partition of their own. Empty
@@ -25,6 +26,7 @@ table: a manifest without rows. Other columns are not read.
 
 import uuid
 from collections.abc import Iterator
+from contextlib import ExitStack
 from functools import lru_cache
 
 import numpy as np
@@ -37,10 +39,10 @@ from pyspark.sql import functions as F
 
 from runlens.llm.batches import MOST_BYTES, bounded
 from runlens.llm.byte_bpe import encoder, vocabulary_size
-from runlens.sources.staging import Scope
 
-PART_BYTES = 256 << 20  # of a file; smaller ones as long as there are fewer files than cores
-LEAST_PART_BYTES = 4 << 20
+PART_BYTES = 128 << 20  # of the texts of a file; less where there are few files, down to LEAST_PART_BYTES
+LEAST_PART_BYTES = 2 << 20
+PARTS_PER_CORE = 3
 SPAN_BYTES = 32 << 20  # of ids that one task reads back
 _MANIFEST = ("name string, width int, documents long, ids long, nulls long, first_document long, first_id long")
 
@@ -51,52 +53,32 @@ def _open(folder: str) -> tuple[pafs.FileSystem, str]:
     return system, path.rstrip("/")
 
 
-def encoded(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
-    """(doc_id, row, size, ids): the ids of each text with ``end`` behind them, as little-endian numbers."""
+def _written(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end: int) -> Iterator[pa.RecordBatch]:
+    """Documents in order -> the files of a partition; one row that describes them."""
     width = 2 if max(vocabulary_size(tokenizer) - 1, end) < 2**16 else 4
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, row = encoder(tokenizer), TaskContext.get().partitionId() << 33
-        for batch in bounded(batches):
-            ids = [np.append(tokens, np.uint32(end)).astype(f"<u{width}").tobytes() for tokens in ids_of(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.arange(row, row + len(ids))),
-                 pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.binary()),
-                 pa.array(np.full(len(ids), width), pa.int32())], names=["doc_id", "row", "size", "ids", "width"])
-            row += len(ids)
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(encode, "doc_id long, row long, size long, ids binary, width int")
-
-
-def _written(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
-    """Rows in order -> the files of a partition; one row that describes them."""
+    kind, ids_of = f"<u{width}", encoder(tokenizer)
     system, path = _open(folder)
     name = f"{TaskContext.get().partitionId():08d}-{uuid.uuid4().hex}"
-    documents = size = nulls = width = 0
-    streams = []
-    try:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+    documents = ids = nulls = 0
+    with ExitStack() as stack:
+        streams = []
+        for batch in bounded(batches):
             if not streams:
-                width = batch.column("width")[0].as_py()
-                streams = [system.open_output_stream(f"{path}/{name}.{kind}") for kind in ("ids", "offsets", "keys")]
+                streams = [stack.enter_context(system.open_output_stream(f"{path}/{name}.{part}"))
+                           for part in ("ids", "offsets", "keys")]
                 streams[1].write(np.zeros(1, "<i8").tobytes())
-            ids, sizes = batch.column("ids"), batch.column("size").to_numpy()
-            for one in ids:
-                streams[0].write(one.as_buffer())
-            streams[1].write(((size + np.cumsum(sizes)) // width).astype("<i8").tobytes())
+            ends = []
+            for tokens in ids_of(batch.column("text")):
+                streams[0].write(np.append(tokens, np.uint32(end)).astype(kind).tobytes())
+                ids += len(tokens) + 1
+                ends.append(ids)
+            streams[1].write(np.array(ends, "<i8").tobytes())
             keys = batch.column("doc_id")
             streams[2].write(keys.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
             nulls += keys.null_count
             documents += batch.num_rows
-            size += int(sizes.sum())
-    finally:
-        for stream in streams:
-            stream.close()
     if documents:
-        yield pa.RecordBatch.from_pylist([{"name": name, "width": width, "documents": documents, "ids": size // width,
+        yield pa.RecordBatch.from_pylist([{"name": name, "width": width, "documents": documents, "ids": ids,
                                            "nulls": nulls, "first_document": 0, "first_id": 0}], _SCHEMA)
 
 
@@ -104,16 +86,19 @@ _SCHEMA = pa.schema([("name", pa.string()), ("width", pa.int32()), *[
     (c, pa.int64()) for c in ("documents", "ids", "nulls", "first_document", "first_id")]])
 
 
-def write(docs: DataFrame, tokenizer: str, end: int, folder: str, scope: Scope) -> None:
-    """Write the token files of ``docs`` (doc_id of a whole-number type, text) to the new ``folder``."""
+def write(docs: DataFrame, tokenizer: str, end: int, folder: str) -> None:
+    """Write the token files of ``docs`` (doc_id of a whole-number type, text) to the new ``folder``, with the
+    id ``end`` behind every document."""
     spark = docs.sparkSession
-    rows = scope.stage(encoded(docs, tokenizer, end), "encoded")
-    size = rows.agg(F.sum("size").alias("s")).first().s or 0
-    parts = max(-(-size // PART_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // LEAST_PART_BYTES)), 1)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(1, -(-size // PART_BYTES), min(PARTS_PER_CORE * cores, -(-size // LEAST_PART_BYTES)))
     system, path = _open(folder)
     system.create_dir(path)
-    ordered = rows.repartitionByRange(parts, "doc_id", "row").sortWithinPartitions("doc_id", "row")
-    found = ordered.mapInArrow(lambda batches: _written(batches, folder), _MANIFEST).collect()  # one row per file
+    ordered = texts.repartitionByRange(parts, "doc_id", "row").sortWithinPartitions("doc_id", "row")
+    found = ordered.mapInArrow(
+        lambda batches: _written(batches, folder, tokenizer, end), _MANIFEST).collect()  # one row per file
     found.sort(key=lambda r: r.name)
     documents, ids = (np.cumsum([0, *[r[c] for r in found]]).tolist() for c in ("documents", "ids"))
     based = [(r.name, r.width, r.documents, r.ids, r.nulls, d, i) for r, d, i in zip(found, documents, ids)]
