@@ -134,11 +134,12 @@ def quarantine(
     return _split(marked, rules, runs.columns)
 
 
-def check_readable(runs: DataFrame, domains: list[str] | None = None) -> None:
-    """Raise :class:`ContractError` if a line was malformed, a required column is null or, given
-    ``domains``, a run has another one. One pass; the message counts every kind."""
-    rules = {n: c for n, c in row_rules(runs, domains).items()
-             if n.startswith("null_") or n in ("malformed_record", "unknown_domain")}
+def check_readable(runs: DataFrame, domains: list[str] | None = None, **more: Column) -> None:
+    """Raise :class:`ContractError` if a line was malformed, a required column is null, given
+    ``domains`` a run has another one, or one of ``more`` conditions is true. One pass; the message
+    counts every kind."""
+    rules = more | {n: c for n, c in row_rules(runs, domains).items()
+                    if n.startswith("null_") or n in ("malformed_record", "unknown_domain")}
     found = {r.rule: r.violations for r in _counted(runs, rules).collect() if r.violations}
     if found:
         raise ContractError("unreadable runs: " + ", ".join(f"{n}={k}" for n, k in found.items()))

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.operators import checks, contract, labels, provenance
+from runlens.operators import checks, contract, folds, labels, provenance
 from runlens.operators.measure import with_metrics
 from runlens.schemas import RUNS
 from runlens.sources import readers, writers
@@ -124,17 +124,25 @@ def load_job(
     domains: list[str] | None = None,
 ) -> None:
     """Run files that arrived since the last call -> metrics table by domain and run date, one row per
-    run, the latest delivery winning. Late and backfilled runs are merged like any other: there is no
-    watermark and nothing is dropped. A batch that is replayed gives the same table.
+    run, the latest delivery winning: of one batch the file modified last, and a later batch over earlier
+    ones. Late and backfilled runs are merged like any other: there is no watermark and nothing is dropped. A
+    run that is delivered with another domain or day moves. A batch that is replayed gives the same table.
 
     A row without key, domain or valid time fails the job. With ``quarantine_path``, rows that break
     any row expectation are written there with their reasons instead.
     """
     options = {"header": "true", "escape": '"'} if source_fmt == "csv" else {}
-    arrived = streams.read_run_stream(spark, source, source_fmt, files_per_trigger, **options)
+    arrived = streams.with_arrival(streams.read_run_stream(spark, source, source_fmt, files_per_trigger, **options))
     streams.merge_to_table(arrived, table_path, f"{progress_path}/load", quarantine_path, domains).awaitTermination()
 
 
+def health_job(spark: SparkSession, table_path: str, totals_path: str, out_path: str) -> int:
+    """Loaded metrics table -> daily health, from the totals kept at ``totals_path`` and the merges since the
+    last call. Returns the number of rows."""
+    with released(spark), writers.Outputs(spark) as outputs:
+        return writers.write_table(folds.daily_health(spark, table_path, totals_path), outputs.at(out_path))
+
+
 def daily_job(spark: SparkSession, table_path: str, out_path: str, progress_path: str) -> None:
     """Rows appended to a metrics table without repeated runs, as :func:`stream_job` writes it, since
     the last call -> daily health. :func:`streams.compact_domain_daily` folds its states."""
@@ -162,13 +170,12 @@ def stream_job(
     """
     options = {"header": "true", "escape": '"'} if source_fmt == "csv" else {}
     arrived = streams.read_run_stream(spark, source, source_fmt, files_per_trigger, **options)
-    queries = []
-    if quarantine_path is not None:
-        arrived, rejected = streams.split_stream(arrived)
-        progress = f"{progress_path}/rejected"
-        queries.append(streams.append_to_table(rejected, quarantine_path, progress, fmt))
-    rows = streams.stream_metrics(arrived, delay)
-    queries.append(streams.append_to_table(rows, table_path, f"{progress_path}/metrics", fmt))
-    for query in queries:
-        query.awaitTermination()
-    return sum(map(streams.late_rows, queries))
+    with streams.LateRows(spark) as late:
+        queries = []
+        if quarantine_path is not None:
+            arrived, rejected = streams.split_stream(arrived)
+            progress = f"{progress_path}/rejected"
+            queries.append(streams.append_to_table(rejected, quarantine_path, progress, fmt))
+        rows = streams.stream_metrics(arrived, delay)
+        queries.append(streams.append_to_table(rows, table_path, f"{progress_path}/metrics", fmt))
+        return sum([late.count(query) for query in queries])

@@ -331,6 +331,8 @@ def oracle_sql() -> dict[str, str]:
         "metrics_full": metrics + all_metrics,
         "metrics_table": metrics + all_metrics,
         "stream_merge": metrics + all_metrics,
+        "load_latest": metrics + all_metrics,
+        "daily_after_load": metrics + _DAILY_HEALTH,
         "request_payload": metrics + f"select {_EXTRACT} from metrics",
         "recorded_labels": decisions + all_decisions,
         "malformed_rows": runs + """
@@ -357,6 +359,8 @@ def oracle_sql() -> dict[str, str]:
         "decisions_json": decisions + all_decisions,
         "input_fingerprint": _with(_RUNS, _metrics("metrics", "runs"), _FINGERPRINT) + """
             select row_count, digest_sum, sha256(row_count || ':' || digest_sum) as fingerprint from fp""",
+        "maintained_fingerprint": _with(_RUNS, _metrics("metrics", "runs"), _FINGERPRINT) + """
+            select row_count, digest_sum, sha256(row_count || ':' || digest_sum) as fingerprint from fp""",
         "label_job_meta": _with(_RUNS, _metrics("metrics", "runs"), _FINGERPRINT) + f"""
             select '{LABELLER}' as labeller, '{VERSION}' as version,
               '{QUESTION_HASH}' as question_hash,

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.operators import alerts, checks, contract, labels, measure, provenance, reports, rollup, upsert
+from runlens.operators import alerts, checks, contract, folds, labels, measure, provenance, reports, rollup, upsert
 from runlens.plans import inputs, jobs
 from runlens.schemas import DASHBOARD_COLUMNS, EXTRACT, LABELS, METRICS
 from runlens.sources import layout, readers, staging, writers
@@ -87,6 +87,49 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.read_partitioned(spark, table).select(*METRICS.fieldNames())
 
 
+def _deliver(spark: SparkSession, runs: DataFrame, source: str, table: str, progress: str) -> None:
+    runs.write.mode("append").json(source)
+    jobs.load_job(spark, source, table, progress)
+
+
+def load_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch that holds two deliveries of every run, the first one with greater counts."""
+    runs = inputs.staged_runs(spark, sf_dir)
+    source, table = staging.new_folder(spark, "run-files"), staging.new_folder(spark, "loaded")
+    runs.withColumn("actual_rows", F.col("actual_rows") + 1000).write.json(source)
+    _deliver(spark, runs, source, table, staging.new_folder(spark, "progress"))
+    return layout.read_partitioned(spark, table).select(*METRICS.fieldNames())
+
+
+def _corrected_loads(spark: SparkSession, sf_dir: str, follow: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``follow`` makes of a loaded table after each of two loads: the newer runs first, some with wrong counts
+    and some on a wrong day, then corrections of these and all older runs."""
+    runs = inputs.staged_runs(spark, sf_dir)
+    source, table = staging.new_folder(spark, "run-files"), staging.new_folder(spark, "loaded")
+    progress = staging.new_folder(spark, "progress")
+    newer = F.col("run_timestamp") >= "1995"
+    wrong = runs.where(newer).withColumns({
+        "failed_rows": F.when(inputs.every(7), F.col("failed_rows") + 3).otherwise(F.col("failed_rows")),
+        "run_timestamp": F.when(inputs.every(11), F.lit("1994-02-03T00:00:00")).otherwise(F.col("run_timestamp"))})
+    _deliver(spark, wrong, source, table, progress)
+    follow(table)
+    _deliver(spark, runs.where(~newer | inputs.every(7) | inputs.every(11)), source, table, progress)
+    return follow(table)
+
+
+def daily_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily health kept up to date from the changes of a merged table."""
+    totals = staging.new_folder(spark, "daily-totals")
+    return _corrected_loads(spark, sf_dir, lambda table: folds.daily_health(spark, table, totals))
+
+
+def maintained_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of a merged table, kept up to date from its changes."""
+    totals = staging.new_folder(spark, "digest-totals")
+    return _corrected_loads(
+        spark, sf_dir, lambda table: folds.maintained_fingerprint(spark, table, totals, EXTRACT.fieldNames()))
+
+
 def _broken_contract(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Runs, and decisions for them that break the contract in every way."""
     runs = inputs.staged_runs(spark, sf_dir)
@@ -359,5 +402,8 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_metrics": stream_metrics,
     "stream_merge": stream_merge,
+    "load_latest": load_latest,
+    "daily_after_load": daily_after_load,
+    "maintained_fingerprint": maintained_fingerprint,
     "stream_domain_daily": stream_domain_daily,
 }

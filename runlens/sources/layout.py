@@ -1,101 +1,261 @@
-"""Tables laid out by domain and run date, with pruned reads and partition-wise merges."""
+"""Tables of runs by domain and run date, merged so that a failure at any step loses no stored row.
 
-from pyspark.sql import DataFrame, SparkSession
+    data/version=V/domain=D/run_date=R/    run files, written once and never changed
+    changes/version=V/                     what the merge changed, as signed rows: -1 gone, +1 come
+    states/N/                              where the rows of every partition are
+
+A merge writes the partitions it touches as a new version, its changes, and then the next state, which is
+renamed into place. Readers take the newest state, so they see a merge as a whole or not at all. What a
+failed merge left is named by no state; a merge that is run again changes nothing, since a run that is
+stored already is no change. There is one writer at a time: a second one finds its state's place taken
+and fails. :func:`vacuum` removes what no state names any more.
+
+Merges find stored runs by key. Run files carry bloom filters of run_id, and the keys of a batch of up to
+``PUSHED_KEYS`` are pushed to the scan, so row groups without them are not read; larger batches read the key column.
+"""
+
+import json
+import uuid
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.functions.text import run_date
 from runlens.operators.contract import ContractError
-from runlens.operators.upsert import latest_runs, merge_runs
-from runlens.sources import writers
+from runlens.operators.upsert import latest_runs
 from runlens.sources.staging import stage
 
 PARTITIONS = ["domain", "run_date"]
+#: Batches of so many keys look them up by bloom filter.
+PUSHED_KEYS = 1000
+#: Partitions named in a scan's filter; a scan of more joins them instead.
+LISTED_PARTITIONS = 10_000
+SIGN = "sign"
+_IN = 10  # values of one list that a Parquet scan tests one by one, rather than by their range
+_STATE = "kind string, number long, domain string, run_date date, version string, rows long, schema string"
+_BLOOM = {"parquet.bloom.filter.enabled#run_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
 
 def with_run_date(runs: DataFrame) -> DataFrame:
     return runs.withColumn("run_date", run_date(F.col("run_timestamp")))
 
 
-def _write(runs: DataFrame, path: str, mode: str, **options: str) -> None:
-    # rebalance groups rows of a partition into few files, and splits a partition that is too large
-    laid_out = with_run_date(runs).hint("rebalance", *[F.col(c) for c in PARTITIONS])
-    laid_out.write.mode(mode).options(**options).partitionBy(*PARTITIONS).parquet(path)
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def published(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the states of the table at ``path``, ascending; none if there is no table."""
+    fs, folder = _file_system(spark, f"{path}/states")
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdigit())
+
 
+def state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest state: a row per partition with its version, and one per merge so far."""
+    numbers = published(spark, path)
+    return spark.read.schema(_STATE).parquet(f"{path}/states/{numbers[-1]:012d}") if numbers else None
 
-def write_partitioned(runs: DataFrame, path: str) -> None:
-    """Overwrite the whole table at ``path``."""
-    _write(runs, path, "overwrite")
+
+def _publish(spark: SparkSession, path: str, number: int, rows: DataFrame) -> None:
+    new, place = f"{path}/states/_new-{uuid.uuid4().hex}", f"{path}/states/{number:012d}"
+    rows.coalesce(1).write.parquet(new)
+    fs, target = _file_system(spark, place)
+    if fs.exists(target) or not fs.rename(_file_system(spark, new)[1], target):
+        raise ContractError(f"state {number} of {path} has been taken by another writer")
+
+
+def _partitions(now: DataFrame) -> DataFrame:
+    return now.where("kind = 'partition'").select("version", *PARTITIONS)
+
+
+def _data(spark: SparkSession, path: str, now: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """The rows of the partitions of a state, or of those that ``wanted`` (domain, run_date) names, read by
+    filters on partition columns, so that other folders are not."""
+    schema = T.StructType.fromJson(json.loads(now.where("kind = 'merge'").first().schema))
+    files = T.StructType([*[f for f in schema if f.name not in PARTITIONS], T.StructField("version", T.StringType()),
+                          T.StructField("domain", T.StringType()), T.StructField("run_date", T.DateType())])
+    names = [*schema.names, *[c for c in PARTITIONS if c not in schema.names]]
+    places = _partitions(now)
+    if wanted is not None:
+        places = places.join(wanted, PARTITIONS, "left_semi")
+    rows = spark.read.schema(files).parquet(f"{path}/data")
+    listed = places.limit(LISTED_PARTITIONS + 1).collect()
+    if len(listed) > LISTED_PARTITIONS:
+        return rows.join(places, ["version", *PARTITIONS], "left_semi").select(*names)
+    if not listed:
+        return spark.createDataFrame([], rows.schema).select(*names)
+    place = F.concat_ws("/", "version", "domain", F.col("run_date").cast("string"))
+    here = place.isin([f"{p.version}/{p.domain}/{p.run_date}" for p in listed])
+    days = F.col("run_date").between(F.lit(min(p.run_date for p in listed)), F.lit(max(p.run_date for p in listed)))
+    domains = F.col("domain").isin(sorted({p.domain for p in listed}))
+    return rows.where(domains & days & here).select(*names)
 
 
 def read_partitioned(
     spark: SparkSession, path: str, domain: str | None = None,
     since: str | None = None, before: str | None = None,
 ) -> DataFrame:
-    """Rows of one domain and of run dates in [since, before). The filters name partition columns,
-    so only matching folders are listed and read."""
-    rows = spark.read.parquet(path)
+    """Rows of one domain and of run dates in [since, before). Partitions are chosen from the state, so
+    only their folders are read."""
+    now = state(spark, path)
+    if now is None:
+        raise ContractError(f"no table at {path}")
+    wanted = _partitions(now).select(*PARTITIONS)
     if domain is not None:
-        rows = rows.where(F.col("domain") == domain)
+        wanted = wanted.where(F.col("domain") == domain)
     if since is not None:
-        rows = rows.where(F.col("run_date") >= F.lit(since).cast("date"))
+        wanted = wanted.where(F.col("run_date") >= F.lit(since).cast("date"))
     if before is not None:
-        rows = rows.where(F.col("run_date") < F.lit(before).cast("date"))
-    return rows
+        wanted = wanted.where(F.col("run_date") < F.lit(before).cast("date"))
+    return _data(spark, path, now, wanted)
 
 
-def _check_not_moved(existing: DataFrame, batch: DataFrame) -> None:
-    moved = (
-        existing.select("run_id", *[F.col(c).alias(f"old_{c}") for c in PARTITIONS])
-        .join(batch.select("run_id", *PARTITIONS), "run_id")
-        .where(" OR ".join(f"NOT (old_{c} <=> {c})" for c in PARTITIONS))
-    )
-    for example in moved.take(1):
-        raise ContractError(f"batch moves stored runs to another partition, such as {example.run_id}")
+def _write_version(rows: DataFrame, path: str, version: str) -> None:
+    # rebalance groups rows of a partition into few files, and splits a partition that is too large
+    laid_out = rows.withColumn("version", F.lit(version)).hint("rebalance", *[F.col(c) for c in PARTITIONS])
+    laid_out.write.mode("append").options(**_BLOOM).partitionBy("version", *PARTITIONS).parquet(f"{path}/data")
 
 
-def within(existing: DataFrame, batch: DataFrame, most: int = 1000) -> DataFrame:
-    """``existing`` cut down to the batch's run dates and, if they are no more than ``most``, domains,
-    by filters on partition columns, so that other folders are not read."""
-    r = batch.agg(F.min("run_date").alias("low"), F.max("run_date").alias("high")).first()
-    named = batch.select("domain").distinct().limit(most + 1).collect()
-    rows = existing.where(F.col("run_date").between(F.lit(r.low), F.lit(r.high)))
-    return rows if len(named) > most else rows.where(F.col("domain").isin([d.domain for d in named]))
+def _write_changes(rows: DataFrame, path: str, version: str) -> None:
+    rows.write.parquet(f"{path}/changes/version={version}")
 
 
-def load_partitioned(spark: SparkSession, path: str, incoming: DataFrame) -> None:
-    """Merge a batch into the table at ``path``, which the first batch creates."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        upsert_partitioned(spark, path, incoming)
-        return
-    batch = stage(latest_runs(with_run_date(incoming).withColumn("version", F.lit(0))).drop("version"), "batch")
-    if batch.where(" OR ".join(f"{c} IS NULL" for c in PARTITIONS)).take(1):
+def _in_order(rows: DataFrame, names: list[str]) -> DataFrame:
+    return rows.select(*names, *[c for c in PARTITIONS if c not in names])
+
+
+def _checked(batch: DataFrame) -> DataFrame:
+    """The written batch, empty or not; refused if a run has no place."""
+    unplaced = F.count_if(reduce(or_, (F.col(c).isNull() for c in PARTITIONS)))
+    if batch.agg(unplaced.alias("n")).first().n:
         raise ContractError("batch has runs without a domain or a valid run date")
-    if batch.take(1):
-        with writers.Outputs(spark) as outputs:
-            write_partitioned(batch.drop("run_date"), outputs.at(path))
-
-
-def upsert_partitioned(
-    spark: SparkSession, path: str, incoming: DataFrame, keys_fix_partition: bool = False
-) -> None:
-    """Merge a batch into the table at ``path``, rewriting only the partitions it touches.
-
-    Domain and run date of a stored run are immutable: a batch that moves a run raises, because
-    rewriting touched partitions alone would leave the old row behind. The test scans the key column
-    of the whole table; ``keys_fix_partition`` skips it where a run_id cannot change its partition by
-    construction. The merged rows are written beside the table first, since a path cannot be
-    overwritten while it is read.
-    """
-    existing = spark.read.parquet(path)
-    batch = stage(with_run_date(incoming), "batch")
+    return batch
+
+
+def _next(spark: SparkSession, path: str, names: list[str], kept: DataFrame | None, history: DataFrame | None,
+          rows: DataFrame, changes: DataFrame, schema: T.StructType) -> int:
+    """Write a version of ``rows`` and publish it beside the partitions ``kept``."""
+    number = (published(spark, path) or [0])[-1] + 1
+    version = f"v{number:012d}-{uuid.uuid4().hex}"
+    _write_version(_in_order(rows, names), path, version)
+    _write_changes(changes, path, version)
+    files = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("version", T.StringType()),
+                          T.StructField("domain", T.StringType()), T.StructField("run_date", T.DateType())])
+    counted = spark.read.schema(files).parquet(f"{path}/data").where(F.col("version") == version).groupBy(
+        *PARTITIONS, "version").agg(F.count("*").alias("rows"))
+    written = counted.select(F.lit("partition").alias("kind"), F.lit(number).cast("long").alias("number"), *PARTITIONS,
+                             "version", "rows", F.lit(None).cast("string").alias("schema"))
+    merge = spark.createDataFrame([("merge", number, None, None, version, None, schema.json())], _STATE)
+    parts = [part.select(*merge.columns) for part in (kept, history, written, merge) if part is not None]
+    _publish(spark, path, number, reduce(DataFrame.unionByName, parts))
+    return number
+
+
+def write_partitioned(runs: DataFrame, path: str) -> int:
+    """Replace the whole table at ``path``, or create it; returns the number of the new state."""
+    spark = runs.sparkSession
+    rows = _checked(stage(with_run_date(runs), "rows"))
+    now = state(spark, path)
+    changes = rows.withColumn(SIGN, F.lit(1))
+    if now is not None:
+        gone = _in_order(_data(spark, path, now), runs.columns).withColumn(SIGN, F.lit(-1))
+        changes = gone.unionByName(changes)
+    return _next(spark, path, runs.columns, None, now.where("kind = 'merge'") if now is not None else None, rows,
+                 changes, runs.schema)
+
+
+def _has_key(keys: DataFrame) -> Column | None:
+    """A filter by the keys that a scan can test on bloom filters; None if there are too many."""
+    found = [r.run_id for r in keys.limit(PUSHED_KEYS + 1).collect()]
+    if len(found) > PUSHED_KEYS:
+        return None
+    lists = [found[i : i + _IN] for i in range(0, len(found), _IN)]
+    return reduce(or_, (F.col("run_id").isin(part) for part in lists))
+
+
+def stored_places(existing: DataFrame, keys: DataFrame) -> DataFrame:
+    """(domain, run_date) of the partitions that hold one of the ``keys``."""
+    pushed = _has_key(keys)
+    found = existing.join(keys, "run_id", "left_semi") if pushed is None else existing.where(pushed)
+    return found.select(*PARTITIONS).distinct()
+
+
+def load_partitioned(spark: SparkSession, path: str, incoming: DataFrame, arrival: str | None = None) -> int | None:
+    """Merge a batch into the table at ``path``, which the first batch creates: the rows of the batch, one per
+    run_id, replace stored rows of the same run_id, also where these are in another partition. Of several
+    rows of a run the one with the greatest ``arrival`` counts, or of equal ones the greatest values. Returns
+    the number of the new state; None if the batch changes nothing."""
+    versions = with_run_date(incoming)
+    if arrival is None:
+        versions, arrival = versions.withColumn("__arrival", F.lit(0)), "__arrival"
+    batch = _checked(stage(latest_runs(versions, arrival).drop(arrival), "batch"))
+    names = [c for c in incoming.columns if c != arrival]
+    schema = incoming.select(*names).schema
     if not batch.take(1):
+        return None
+    now = state(spark, path)
+    if now is None:
+        return _next(spark, path, names, None, None, batch, batch.withColumn(SIGN, F.lit(1)), schema)
+    existing = _data(spark, path, now)
+    keys = batch.select("run_id")
+    places = stage(batch.select(*PARTITIONS).union(stored_places(existing, keys)).distinct(), "places")
+    stored = stage(_data(spark, path, now, places).join(keys, "run_id", "left_semi"), "stored")
+    old = stored.select("run_id", F.struct(*sorted(batch.columns)).alias("old"))
+    same = F.struct(*sorted(batch.columns)).eqNullSafe(F.col("old"))
+    fresh = stage(batch.join(old, "run_id", "left").where(F.col("old").isNull() | ~same).select(*batch.columns), "fresh")
+    if not fresh.take(1):
+        return None
+    changed = fresh.select("run_id")
+    gone = stored.join(changed, "run_id", "left_semi")
+    touched = stage(fresh.select(*PARTITIONS).union(gone.select(*PARTITIONS)).distinct(), "touched")
+    stay = _data(spark, path, now, touched).join(changed, "run_id", "left_anti")
+    changes = gone.withColumn(SIGN, F.lit(-1)).unionByName(fresh.withColumn(SIGN, F.lit(1)))
+    kept = now.where("kind = 'partition'").join(touched, PARTITIONS, "left_anti")
+    return _next(spark, path, names, kept, now.where("kind = 'merge'"), stay.unionByName(fresh), changes, schema)
+
+
+def upsert_partitioned(spark: SparkSession, path: str, incoming: DataFrame) -> int | None:
+    """Merge a batch into the table that is at ``path``."""
+    if not published(spark, path):
+        raise ContractError(f"no table at {path}")
+    return load_partitioned(spark, path, incoming)
+
+
+def changes(spark: SparkSession, path: str, after: int = 0) -> tuple[DataFrame | None, int]:
+    """Signed rows of all merges after number ``after``, and the number of the last one. Summed by sign
+    they lead from the table as it was then to the table as it is; None if there is no change."""
+    now = state(spark, path)
+    if now is None:
+        return None, 0
+    merges = now.where("kind = 'merge'").select("number", "version").orderBy("number").collect()
+    versions = [m.version for m in merges if m.number > after]
+    last = max(m.number for m in merges)
+    if not versions:
+        return None, last
+    rows = reduce(DataFrame.unionByName, (spark.read.parquet(f"{path}/changes/version={v}") for v in versions))
+    return rows, last
+
+
+def vacuum(spark: SparkSession, path: str, states: int = 10) -> None:
+    """Remove all but the newest ``states`` states, versions of the data that none of these names, and what
+    failed merges left. Not while a merge runs, nor while readers hold an older state."""
+    fs, folder = _file_system(spark, f"{path}/states")
+    numbers = published(spark, path)[-states:]
+    if not numbers:
         return
-    if batch.where(" OR ".join(f"{c} IS NULL" for c in PARTITIONS)).take(1):
-        raise ContractError("batch has runs without a domain or a valid run date")
-    if not keys_fix_partition:
-        _check_not_moved(existing, batch)
-    touched = batch.select(*PARTITIONS).distinct()
-    affected = within(existing, batch).join(touched, PARTITIONS, "left_semi").select(*batch.columns)
-    merged = stage(merge_runs(affected, batch).drop("run_date"), "merged")
-    _write(merged, path, "overwrite", partitionOverwriteMode="dynamic")
+    keep = {f"{n:012d}" for n in numbers}
+    held = spark.read.schema(_STATE).parquet(*[f"{path}/states/{n}" for n in sorted(keep)])
+    used = {r.version for r in held.where("kind = 'partition'").select("version").distinct().collect()}
+    merged = {r.version for r in held.where("kind = 'merge'").select("version").distinct().collect()}
+    for place, names in ((folder, keep), (_file_system(spark, f"{path}/data")[1], {f"version={v}" for v in used}),
+                         (_file_system(spark, f"{path}/changes")[1], {f"version={v}" for v in merged})):
+        for status in fs.listStatus(place):
+            if status.isDirectory() and status.getPath().getName() not in names:
+                fs.delete(status.getPath(), True)

@@ -1,10 +1,11 @@
 """Incremental loads. The metric columns are those of the batch path."""
 
+import threading
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from runlens.functions.numeric import micros, round_exact
 from runlens.operators import checks
@@ -14,6 +15,7 @@ from runlens.sources import layout
 from runlens.sources.staging import released, stage
 
 EVENT_TIME = "event_time"
+ARRIVAL = "arrival"
 
 
 def read_run_stream(
@@ -27,6 +29,13 @@ def read_run_stream(
     return reader.load(path)
 
 
+def with_arrival(runs: DataFrame) -> DataFrame:
+    """``runs``, as scanned, with the time and name of the file that each row came in: its place in the
+    order of delivery."""
+    file = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    return runs.select("*", file.alias(ARRIVAL))
+
+
 def with_event_time(runs: DataFrame) -> DataFrame:
     """The run timestamp as UTC event time; null where the text is no timestamp."""
     text = F.concat(F.col("run_timestamp"), F.lit("+00:00"))
@@ -37,11 +46,14 @@ def split_stream(
     runs: DataFrame, domains: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(valid runs, rejected runs with their reasons), row by row."""
-    no_time = F.col("run_timestamp").isNotNull() & F.col(EVENT_TIME).isNull()
-    parts = checks.split_rows(with_event_time(runs), domains, bad_timestamp=no_time)
+    parts = checks.split_rows(with_event_time(runs), domains, bad_timestamp=_no_time())
     return tuple(part.drop(EVENT_TIME) for part in parts)
 
 
+def _no_time() -> Column:
+    return F.col("run_timestamp").isNotNull() & F.col(EVENT_TIME).isNull()
+
+
 def _identified(runs: DataFrame, delay: str) -> DataFrame:
     """Runs with event time and watermark. A row without key or time can be neither told from its
     copies nor placed in time, so it fails the query."""
@@ -96,9 +108,41 @@ def append_to_table(
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the operators of a finished query dropped because the watermark had passed them."""
-    return sum(state["numRowsDroppedByWatermark"] for p in query.recentProgress for state in p["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Counts the rows that operators dropped because the watermark had passed them, over every
+    micro-batch of the queries that run while it is added to the session:
+    ``with LateRows(spark) as late: ...; late.count(query)``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.rows, self.ended, self.lock = spark, {}, set(), threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(state.numRowsDroppedByWatermark for state in event.progress.stateOperators)
+        with self.lock:
+            self.rows[event.progress.runId] = self.rows.get(event.progress.runId, 0) + dropped
+
+    def onQueryTerminated(self, event) -> None:
+        with self.lock:
+            self.ended.add(event.runId)
+            self.lock.notify_all()
+
+    def __enter__(self) -> "LateRows":
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.spark.streams.removeListener(self)
+
+    def count(self, query: StreamingQuery, patience: float = 60.0) -> int:
+        """Rows that a query dropped, once it has ended; events of a query arrive in order, its end last."""
+        query.awaitTermination()
+        with self.lock:
+            if not self.lock.wait_for(lambda: any(str(r) == str(query.runId) for r in self.ended), patience):
+                raise TimeoutError(f"no end of query {query.runId} was reported")
+            return sum(n for r, n in self.rows.items() if str(r) == str(query.runId))
 
 
 def merge_to_table(
@@ -106,19 +150,22 @@ def merge_to_table(
     domains: list[str] | None = None,
 ) -> StreamingQuery:
     """Merge every batch of arrived runs, by key, into the partitioned metrics table at ``path``. There
-    is no watermark and no state between batches. The merge of a batch that is run again changes
+    is no watermark and no state between batches. Where ``runs`` has the column of :func:`with_arrival`, the last
+    delivery of a run within a batch counts. The merge of a batch that is run again changes
     nothing, and its rejected rows overwrite their own folder."""
+    arrival = ARRIVAL if ARRIVAL in runs.columns else None
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         with released(batch.sparkSession):
             arrived = stage(batch, "arrived")
-            valid, rejected = split_stream(arrived, domains)
             if quarantine_path is not None:
-                rejected.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+                valid, rejected = split_stream(arrived, domains)
+                rejected.drop(ARRIVAL).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
             else:
+                checks.check_readable(with_event_time(arrived), domains, bad_timestamp=_no_time())
                 valid = arrived
-                checks.check_readable(arrived, domains)
-            layout.load_partitioned(batch.sparkSession, path, with_metrics(valid.select(*RUNS.fieldNames())))
+            kept = valid.select(*RUNS.fieldNames(), *([arrival] if arrival else []))
+            layout.load_partitioned(batch.sparkSession, path, with_metrics(kept), arrival)
 
     return (
         runs.writeStream.foreachBatch(merge).trigger(availableNow=True)

@@ -181,31 +181,6 @@ def test_catalog_tables(spark, tmp_path):
         spark.catalog.setCurrentDatabase(current)
 
 
-def test_partitions_are_pruned_and_upserted(spark, tmp_path):
-    from test_metrics import plan
-
-    path = str(tmp_path / "runs")
-    rows = [run(run_id=f"{d}{i}", domain=d, run_timestamp=f"2026-01-0{i}T00:00:00") for d in "xy" for i in (1, 2)]
-    layout.write_partitioned(runs_frame(spark, rows), path)
-    one = layout.read_partitioned(spark, path, "x", "2026-01-02")
-    assert [r.run_id for r in one.collect()] == ["x2"]
-    filters = next(line for line in plan(one).splitlines() if "PartitionFilters" in line)
-    assert "domain" in filters and "run_date" in filters
-    untouched = {f.name for f in (tmp_path / "runs").glob("domain=y/*/part-*")}
-    batch = [run(run_id="x2", domain="x", run_timestamp="2026-01-02T00:00:00", actual_rows=7),
-             run(run_id="x3", domain="x", run_timestamp="2026-01-03T00:00:00")]
-    layout.upsert_partitioned(spark, path, runs_frame(spark, batch))
-    after = {r.run_id: r.actual_rows for r in layout.read_partitioned(spark, path).collect()}
-    assert after == {"x1": 1000, "x2": 7, "x3": 1000, "y1": 1000, "y2": 1000}
-    assert {f.name for f in (tmp_path / "runs").glob("domain=y/*/part-*")} == untouched
-    moved = [run(run_id="y1", domain="x", run_timestamp="2026-01-01T00:00:00")]
-    with pytest.raises(contract.ContractError, match="y1"):
-        layout.upsert_partitioned(spark, path, runs_frame(spark, moved))
-    undated = [run(run_id="n", domain="x", run_timestamp="soon")]
-    with pytest.raises(contract.ContractError, match="run date"):
-        layout.upsert_partitioned(spark, path, runs_frame(spark, undated))
-
-
 @pytest.mark.parametrize("change, message", [
     (lambda out: out.assign(decision="MAYBE"), "labels that are not allowed: 'MAYBE'"),
     (lambda out: out.iloc[1:], "exactly the runs"),
