@@ -33,6 +33,8 @@ PARTITIONS = ["domain", "run_date"]
 PUSHED_KEYS = 1000
 #: Partitions named in a scan's filter; a scan of more joins them instead.
 LISTED_PARTITIONS = 10_000
+#: Rows of one file; a partition of more has several.
+FILE_ROWS = 2_000_000
 SIGN = "sign"
 _IN = 10  # values of one list that a Parquet scan tests one by one, rather than by their range
 _STATE = "kind string, number long, domain string, run_date date, version string, rows long, schema string"
@@ -117,10 +119,20 @@ def read_partitioned(
     return _data(spark, path, now, wanted)
 
 
-def _write_version(rows: DataFrame, path: str, version: str) -> None:
-    # rebalance groups rows of a partition into few files, and splits a partition that is too large
-    laid_out = rows.withColumn("version", F.lit(version)).hint("rebalance", *[F.col(c) for c in PARTITIONS])
-    laid_out.write.mode("append").options(**_BLOOM).partitionBy("version", *PARTITIONS).parquet(f"{path}/data")
+def _counted(rows: DataFrame) -> DataFrame:
+    """(domain, run_date, rows), written."""
+    return stage(rows.groupBy(*PARTITIONS).agg(F.count("*").alias("rows")), "partition-rows")
+
+
+def _write_version(rows: DataFrame, counts: DataFrame, path: str, version: str) -> None:
+    # a partition goes to one task, which writes one file, or if it has many rows to several; by a number of tasks
+    # that is not reduced to the few that so little data would get, since every file takes its time
+    salt = F.pmod(F.xxhash64("run_id"), F.ceil(F.col("rows") / FILE_ROWS))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = rows.join(counts, PARTITIONS).withColumns({"version": F.lit(version), "__salt": salt}).repartition(
+        tasks, *[F.col(c) for c in PARTITIONS], "__salt")
+    laid_out.drop("rows", "__salt").write.mode("append").options(**_BLOOM).partitionBy("version", *PARTITIONS).parquet(
+        f"{path}/data")
 
 
 def _write_changes(rows: DataFrame, path: str, version: str) -> None:
@@ -144,14 +156,12 @@ def _next(spark: SparkSession, path: str, names: list[str], kept: DataFrame | No
     """Write a version of ``rows`` and publish it beside the partitions ``kept``."""
     number = (published(spark, path) or [0])[-1] + 1
     version = f"v{number:012d}-{uuid.uuid4().hex}"
-    _write_version(_in_order(rows, names), path, version)
+    counts = _counted(rows)
+    _write_version(_in_order(rows, names), counts, path, version)
     _write_changes(changes, path, version)
-    files = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("version", T.StringType()),
-                          T.StructField("domain", T.StringType()), T.StructField("run_date", T.DateType())])
-    counted = spark.read.schema(files).parquet(f"{path}/data").where(F.col("version") == version).groupBy(
-        *PARTITIONS, "version").agg(F.count("*").alias("rows"))
-    written = counted.select(F.lit("partition").alias("kind"), F.lit(number).cast("long").alias("number"), *PARTITIONS,
-                             "version", "rows", F.lit(None).cast("string").alias("schema"))
+    written = counts.select(
+        F.lit("partition").alias("kind"), F.lit(number).cast("long").alias("number"), *PARTITIONS,
+        F.lit(version).alias("version"), "rows", F.lit(None).cast("string").alias("schema"))
     merge = spark.createDataFrame([("merge", number, None, None, version, None, schema.json())], _STATE)
     parts = [part.select(*merge.columns) for part in (kept, history, written, merge) if part is not None]
     _publish(spark, path, number, reduce(DataFrame.unionByName, parts))
