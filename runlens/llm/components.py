@@ -18,7 +18,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         both = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    joined = both.join(least, "a")
+    joined = both.join(least.hint("merge"), "a")  # both grow with the links
     if large:
         moved = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

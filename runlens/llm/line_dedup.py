@@ -277,3 +277,18 @@ def filter_documents(docs: DataFrame, scope: Scope) -> DataFrame:
     kinds = dict(docs.dtypes)
     return left.select(*[
         new[c].cast(kinds[c]).alias(c) if c in new else F.col(f"__row.`{c}`") for c in docs.columns])
+
+
+def texts_before(docs: DataFrame, whole: DataFrame, scope: Scope) -> DataFrame:
+    """(doc_id, text): the whole texts of those ``docs`` that lost lines, written. A document is known by a doc_id
+    that neither table repeats, and by its lines, which its whole text holds, too."""
+
+    def lines(df: DataFrame, name: str) -> DataFrame:
+        hashes = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.xxhash64(x))
+        rows = df.where("doc_id IS NOT NULL").select("doc_id", hashes.alias("lines"))
+        return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("lines").alias(name)).where("n = 1").drop("n")
+
+    both = lines(docs, "left").join(lines(whole, "held").hint("merge"), "doc_id")
+    cut = both.where((F.size("left") < F.size("held")) & (F.size(F.array_except("left", "held")) == 0))
+    ids = scope.stage(cut.select("doc_id"), "cut-documents")
+    return scope.stage(whole.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts-before")

@@ -23,7 +23,10 @@
    matrix products, and a spanning forest of the links found is returned. Blocks of one component
    are not compared with each other. There is no cap.
 
-Edge cases. Null, empty or blank text: no shingles, a component of its own, kept. Null doc_id: takes
+Documents may have a second text, such as the one before an earlier step cut it: they are then linked if
+any of their texts are.
+
+Edge cases. Null, empty or blank text: no shingles, a component of its own, kept, whatever its second text. Null doc_id: takes
 part; the smallest of its component is taken over the ids that are not null; a component without
 any has a null id, and all its rows are kept. Repeated rows are equal sets. Empty table: no rows.
 """
@@ -299,13 +302,23 @@ def _may_link(x: str, y: str):
 class _Classes:
     """The staged classes of a document table and the steps that link them."""
 
-    def __init__(self, docs: DataFrame, scope: Scope):
+    def __init__(self, docs: DataFrame, scope: Scope, second: DataFrame | None = None):
         self.scope = scope
-        self.docs = docs.select("doc_id", "text", F.xxhash64("text").alias("xh"))
-        sketched = self.docs.mapInArrow(_sketches, f"doc_id {dict(docs.dtypes)['doc_id']}, xh long, {_SKETCH}")
-        self.members = scope.stage(sketched, "sketches")
+        kind = dict(docs.dtypes)["doc_id"]
+
+        def texts(rows: DataFrame) -> DataFrame:
+            return rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "text", F.xxhash64("text").alias("xh"))
+
+        def sketches(rows: DataFrame) -> DataFrame:
+            return scope.stage(rows.mapInArrow(_sketches, f"doc_id {kind}, xh long, {_SKETCH}"), "sketches")
+
+        self.docs, self.members = texts(docs), sketches(texts(docs))
+        every, self.seconds = self.members, None
+        if second is not None:
+            self.docs, self.seconds = self.docs.union(texts(second)), sketches(texts(second))
+            every = self.members.union(self.seconds)
         signs = [f"s{i}" for i in range(SIGNATURE_BITS // 64)]
-        grouped = self.members.where("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(
+        grouped = every.where("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(
             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "xh")).alias("rep"),
             *[F.first(c).alias(c) for c in ["registers", "few", *signs]])
         self.table = scope.stage(
@@ -314,6 +327,17 @@ class _Classes:
                            "registers", "few", *signs), "classes")
         self.small = self.table.select("node", "n_shingles", "few", *signs)
 
+    def bonds(self) -> DataFrame:
+        """(a, b): the classes of the two texts of a document, written."""
+        named = self.table.select("node", "hi", "lo", "n_shingles")
+
+        def nodes(rows: DataFrame, name: str) -> DataFrame:
+            known = rows.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "hi", "lo", "n_shingles")
+            return known.join(named.hint("merge"), ["hi", "lo", "n_shingles"]).select("doc_id", F.col("node").alias(name))
+
+        both = nodes(self.members, "a").join(nodes(self.seconds, "b").hint("merge"), "doc_id")
+        return self.scope.stage(both.where("a <> b").select("a", "b").distinct(), "bonds")
+
     def bands(self) -> DataFrame:
         return self.table.select("node", "registers").mapInArrow(_band_keys, "key long, node long")
 
@@ -420,16 +444,18 @@ def _has_rows(df: DataFrame) -> bool:
     return len(df.take(1)) > 0
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, second: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, xh (hash of its text), n_shingles, component_id, kept and
     root (the component, null without shingles), written to the shared folder; intermediate tables
-    are removed."""
+    are removed. ``second`` holds (doc_id, text) of documents that have a second text."""
     with Scope(docs.sparkSession) as scope:
-        classes = _Classes(docs, scope)
+        classes = _Classes(docs, scope, second)
         buckets = classes.buckets()
         near = classes.near(buckets.where("node <> low").select(
             F.col("low").alias("a"), F.col("node").alias("b")).distinct())
         links = classes.links(classes.likely(near))
+        if second is not None:
+            links = links.union(classes.bonds())
         roots = connected_components(links, scope)
         more = classes.contested(classes.families(buckets, near), roots)
         if _has_rows(more):
@@ -447,10 +473,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                      "near-duplicates")
 
 
-def filter_documents(docs: DataFrame) -> DataFrame:
+def filter_documents(docs: DataFrame, second: DataFrame | None = None) -> DataFrame:
     """One row of each component, with its own columns: where a component's id repeats, or is null,
     the row with the smallest text hash. Rows without shingles stay, once per id and text."""
-    found = near_duplicates(docs).where("kept")
+    found = near_duplicates(docs, second).where("kept")
     linked = found.where("root is not null").groupBy("root", "doc_id").agg(F.min("xh").alias("h"))
     winners = linked.select(F.col("doc_id").alias("id"), "h").union(
         found.where("root is null").select("doc_id", "xh")).distinct()

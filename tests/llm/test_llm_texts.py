@@ -13,28 +13,49 @@ from runlens.llm import line_dedup, near_dedup, quality_classifier, quality_rule
 from runlens.sources.staging import Scope
 
 
-def lines_by_hand(rows):
-    """Cut texts of (doc_id, text) rows, chunk by chunk; rows equal in both are one document."""
+def spans_by_hand(lines):
+    """(first, end) of the chunks and runs of a text that may go."""
     import xxhash
 
-    chunks = {}
+    words = [len(x.encode().split()) for x in lines]
+    hashes = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in lines], np.uint64)
+    long = [i for i, n in enumerate(words) if n >= 50]
+    start = 0
+    for end in line_dedup.chunk_bounds(hashes, long):
+        if sum(n > 0 for n in words[start:end]) >= 2 or start in long:
+            yield start, end
+        start = end
+    if sum(words) < 50:
+        if sum(n > 0 for n in words) >= 2:
+            yield 0, len(lines)
+        return
+    runs = set()
+    for i in range(len(lines)):
+        end = next((e for e in range(i + 1, len(lines) + 1) if sum(words[i:e]) >= 50), None)
+        first = next((s for s in range(i, -1, -1) if sum(words[s : i + 1]) >= 50), None)
+        runs |= {(i, end)} if end else set()
+        runs |= {(first, i + 1)} if first is not None else set()
+    yield from runs
+
+
+def lines_by_hand(rows):
+    """Cut texts of (doc_id, text) rows, passage by passage; rows equal in both are one document. Chunks and runs have
+    keys of their own, so each kind has its first occurrences."""
+    passages = {}
     for doc_id, text in set(rows):
         lines = (text or "").split("\n")
-        hashes = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in lines], np.uint64)
-        start = 0
-        long = [i for i, x in enumerate(lines) if len(x.encode().split()) >= 50]
-        for number, end in enumerate(line_dedup.chunk_bounds(hashes, long)):
-            part = lines[start:end]
-            if sum(bool(x.strip(" \t\n\r\x0b\x0c")) for x in part) >= 2 or start in long:
-                place = (doc_id is None, doc_id or 0, number)
-                chunks.setdefault("\n".join(part), []).append((place, (doc_id, text), start, end))
-            start = end
+        place = (doc_id is None, doc_id or 0)
+        for start, end in set(spans_by_hand(lines)):
+            passages.setdefault("\n".join(lines[start:end]), []).append((place, start, end, (doc_id, text)))
     gone = {}
-    for places in chunks.values():
-        for _, row, start, end in sorted(places, key=lambda p: p[0])[1:]:
-            gone.setdefault(row, set()).update(range(start, end))
+    for places in passages.values():
+        place, first, last, row = min(places, key=lambda p: p[:3])
+        for _, start, end, other in places:
+            if (start, other) != (first, row):  # lines shared with the first occurrence stay
+                own = set(range(first, last)) if other == row else set()
+                gone.setdefault(other, set()).update(set(range(start, end)) - own)
     return [
-        text if (doc_id, text) not in gone else "\n".join(
+        text if not gone.get((doc_id, text)) else "\n".join(
             x for i, x in enumerate(text.split("\n")) if i not in gone[(doc_id, text)])
         for doc_id, text in rows
     ]
@@ -263,6 +284,7 @@ def test_sample_of_labels_is_bounded(spark):
 def test_pipeline_stages_take_edge_cases_and_nothing(spark, edge_docs, no_docs, labels, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("sf"))
     labels.write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    edge_docs.write.mode("overwrite").parquet(f"{folder}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "quality_classifier", "line_dedup", "near_dedup", "best_fit_packing"]
     for docs in (edge_docs, no_docs):
@@ -275,6 +297,26 @@ def test_pipeline_stages_take_edge_cases_and_nothing(spark, edge_docs, no_docs,
                 assert {r.doc_id for r in rows} == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+def test_near_copies_are_linked_by_their_texts_before_the_cut(spark):
+    chance = random.Random(11)
+    lines = [" ".join(f"w{chance.randint(0, 9999)}" for _ in range(12)) for _ in range(30)]
+    other = [*lines[:10], "one line of its own with a few words more", *lines[10:20], "and another one", *lines[20:]]
+    own = [" ".join(f"o{chance.randint(0, 9999)}" for _ in range(12)) for _ in range(30)]
+    whole = spark.createDataFrame([
+        (1, "\n".join(lines)), (2, "\n".join(other)), (3, "\n".join([*own, *lines[:5]])), (4, "x y"), (4, "x z\nq r")],
+        "doc_id long, text string")
+    with Scope(spark) as scope:
+        cut = scope.stage(line_dedup.filter_documents(whole, scope), "cut")
+        texts = {r.doc_id: r.text for r in cut.collect() if r.doc_id < 4}
+        assert texts[1] == "\n".join(lines) and len(texts[2]) < 200 and texts[3] == "\n".join(own)
+        before = line_dedup.texts_before(cut, whole, scope)
+        assert sorted(r.doc_id for r in before.collect()) == [2, 3]
+        assert sorted(r.doc_id for r in near_dedup.filter_documents(cut).collect()) == [1, 2, 3, 4, 4]
+        assert sorted(r.doc_id for r in near_dedup.filter_documents(cut, before).collect()) == [1, 3, 4, 4]
+        changed = cut.withColumn("text", F.concat("text", F.lit(" more")))  # not what is left of the whole texts
+        assert line_dedup.texts_before(changed, whole, scope).count() == 0
+
+
 def test_pipeline_run_equals_its_stages_by_hand(spark, sf_dir):
     """Each stage's decision, taken again from its own operator's verdicts in plain Python."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
