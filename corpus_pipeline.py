@@ -23,8 +23,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates."""
-    return near_dedup.filter_documents(docs)
+    """One document of every group of near-duplicates. Line dedup has cut out of near copies what they share, so
+    that two are told by their texts as they came as well as by what is left of them."""
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return near_dedup.filter_documents(docs, line_dedup.texts_before(docs, whole, staging.Scope(spark)))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
