@@ -18,7 +18,7 @@ REPORTS = {
         reports.domain_decision, reports.domain_decision_pivot, reports.status_confusion,
         reports.mean_freshness, reports.health_table, reports.health_runs, reports.freshness_trend,
         reports.queue_runs, reports.queue_compact, reports.queue_display, reports.health_display,
-        reports.kpi_display, reports.filtered_runs, checks.label_quality, checks.recompute_diff, alerts.alert_rows,
+        reports.kpi_display, reports.filtered_runs, reports.report_cube, checks.label_quality, checks.recompute_diff, alerts.alert_rows,
     )
 }
 
@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     label = add("label", "extract", "decisions", "meta")
     label.add_argument("--version", default="v1")
     label.add_argument("--recorded", help="decisions to answer with, as JSON; default is the policy")
+    label.add_argument("--kept", help="folder of answers kept between calls; only new or changed runs are asked")
     label.add_argument("--violations", help="folder for offending keys, should the check fail")
     label.add_argument("--generated-at", required=True)
     final = add("final", "metrics", "decisions", "table", "csv")
@@ -55,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--files-per-trigger", type=int)
     load.add_argument("--quarantine", help="folder for rejected rows; default is to fail")
     load.add_argument("--domains", nargs="+", help="the domains that runs may have; default is any")
+    add("health", "table", "totals", "out")
     add("daily", "table", "out", "progress")
     compact = add("compact-daily", "out")
     compact.add_argument("states", nargs="+", help="folders written by daily or compact-daily")
@@ -84,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
             spark, a.extract, a.decisions, a.meta, "recorded" if a.recorded else "policy", a.version,
             a.generated_at,
             labels.recorded_labels(load_decisions(spark, a.recorded)) if a.recorded else labels.policy_labels,
-            a.violations,
+            a.violations, a.kept,
         )
     elif a.job == "final":
         rows = jobs.final_job(
@@ -105,6 +107,8 @@ def main(argv: list[str] | None = None) -> None:
             spark, a.source, a.table, a.progress, a.source_format, a.files_per_trigger, a.quarantine, a.domains
         )
         return
+    elif a.job == "health":
+        rows = jobs.health_job(spark, a.table, a.totals, a.out)
     elif a.job == "daily":
         jobs.daily_job(spark, a.table, a.out, a.progress)
         return

@@ -10,8 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.operators.contract import ContractError
+from runlens.functions.text import canonical_text
+from runlens.operators.contract import ContractError, check_contract
 from runlens.schemas import CONFIDENCE, DECISION, DECISIONS, EXTRACT_COLUMNS, LABELS
+from runlens.sources import layout, writers
+from runlens.sources.staging import stage
 
 ANSWER = "run_id string, decision string, confidence double"
 
@@ -114,6 +117,35 @@ def scored_labels(
     return extract.select(*columns).mapInPandas(answer, ANSWER)
 
 
+def resumed_labels(
+    extract: DataFrame, label: Callable[[DataFrame], DataFrame], kept: str
+) -> tuple[DataFrame, int]:
+    """(answers for ``extract``, runs that were asked): ``label`` is asked only for runs whose ten extract columns it
+    has not answered yet. Answers are kept below ``kept`` by run_id and a hash of what was asked, those of
+    runs that are no longer in the extract dropped. What it answers is checked for coverage, vocabulary and
+    confidence before it is kept, so a failed call leaves the answers of the calls before."""
+    spark, columns = extract.sparkSession, list(EXTRACT_COLUMNS)
+    wanted = stage(extract.select(*columns, F.sha2(canonical_text(extract, columns), 256).alias("asked")), "asked")
+    numbers = layout.published(spark, kept)
+    known = spark.read.parquet(f"{kept}/states/{numbers[-1]:012d}") if numbers else None
+    open_ = wanted if known is None else wanted.join(known, ["run_id", "asked"], "left_anti")
+    new = stage(open_, "open-runs")
+    count = new.count()
+    if known is not None and not count and known.count() == wanted.count():
+        return known.select(*DECISIONS.fieldNames()), 0
+    answers = stage(label(new.select(*columns)).select(*[F.col(f.name).cast(f.dataType) for f in DECISIONS]), "answers")
+    check_contract(new, answers)
+    check_confidence(answers)
+    answered = answers.join(new.select("run_id", "asked"), "run_id")
+    if known is not None:
+        current = wanted.select("run_id", "asked")
+        answered = known.join(current, ["run_id", "asked"], "left_semi").unionByName(answered)
+    place = f"{kept}/states/{(numbers or [0])[-1] + 1:012d}"
+    with writers.Outputs(spark) as outputs:
+        answered.write.parquet(outputs.at(place))
+    return spark.read.parquet(place).select(*DECISIONS.fieldNames()), count
+
+
 def chosen_probability(probabilities: Column, decision: Column) -> Column:
     """Confidence as the probability a scorer gave its choice; null without a distribution."""
     return F.try_element_at(probabilities, decision)

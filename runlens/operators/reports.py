@@ -230,3 +230,30 @@ def domain_profile(runs: DataFrame) -> DataFrame:
         )
         .orderBy("domain")
     )
+
+
+def report_cube(final: DataFrame) -> DataFrame:
+    """Counts and sums of every combination of domain, label and drift, and of all sums over any of them:
+    what the dashboard's filters choose from, in one grouped pass. ``level`` has a bit for each of the three,
+    1 where it is summed over."""
+    summed = final.cube("domain", DECISION, "schema_drift_present").agg(
+        F.grouping_id().cast("int").alias("level"), F.count("*").alias("runs"),
+        F.sum("freshness_delay_minutes").alias("delay_minutes"),
+        F.sum(micros(F.col("failure_rate"))).cast("long").alias("rate_micros"))
+    return summed.select("domain", DECISION, "schema_drift_present", "level", "runs", "delay_minutes", "rate_micros")
+
+
+def cube_row(
+    cube: DataFrame, domain: str | None = None, label: str | None = None, drift: bool | None = None
+) -> DataFrame:
+    """(total_runs, mean_delay, mean_failure_rate) under the dashboard's filters, from one row of the cube; an
+    absent filter means all. No row if nothing passes them."""
+    chosen = {"domain": domain, DECISION: label, "schema_drift_present": drift}
+    level = sum(bit for bit, value in zip((4, 2, 1), chosen.values()) if value is None)
+    rows = cube.where(F.col("level") == level)
+    for name, value in chosen.items():
+        if value is not None:
+            rows = rows.where(F.col(name) == value)
+    return rows.where("runs > 0").select(
+        F.col("runs").alias("total_runs"), (F.col("delay_minutes") / F.col("runs")).alias("mean_delay"),
+        (F.col("rate_micros") / F.lit(1e6) / F.col("runs")).alias("mean_failure_rate"))

@@ -56,13 +56,16 @@ def label_job(
     generated_at: str,
     label: Callable[[DataFrame], DataFrame] = labels.policy_labels,
     violations_path: str | None = None,
+    kept_path: str | None = None,
 ) -> int:
     """Labeller input -> decisions and provenance. ``label`` maps the extract to decisions; its answers
-    are written, then checked for coverage, vocabulary and confidence against the extract."""
+    are written, then checked for coverage, vocabulary and confidence against the extract. With ``kept_path``, where
+    answers are kept, it is asked only for runs that are new or have changed since."""
     with released(spark), writers.Outputs(spark) as outputs:
         extract = readers.load_extract(spark, extract_path)
         answers = outputs.at(decisions_path)
-        count = writers.write_decisions(label(extract), answers)
+        decided = label(extract) if kept_path is None else labels.resumed_labels(extract, label, kept_path)[0]
+        count = writers.write_decisions(decided, answers)
         written = readers.load_decisions(spark, answers)
         contract.check_contract(extract, written, violations_path)
         labels.check_confidence(written)

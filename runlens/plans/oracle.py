@@ -332,6 +332,14 @@ def oracle_sql() -> dict[str, str]:
         "metrics_table": metrics + all_metrics,
         "stream_merge": metrics + all_metrics,
         "load_latest": metrics + all_metrics,
+        "sql_metrics": metrics + all_metrics,
+        "resumed_labels": decisions + all_decisions,
+        "report_cube": final + """
+            select domain, label_decision, schema_drift_present,
+              cast(grouping_id(domain, label_decision, schema_drift_present) as integer) as level, count(*) as runs,
+              cast(sum(freshness_delay_minutes) as bigint) as delay_minutes,
+              cast(sum(floor(failure_rate * 1e6 + 0.5)) as bigint) as rate_micros
+            from final group by cube (domain, label_decision, schema_drift_present)""",
         "daily_after_load": metrics + _DAILY_HEALTH,
         "request_payload": metrics + f"select {_EXTRACT} from metrics",
         "recorded_labels": decisions + all_decisions,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.operators import alerts, checks, contract, folds, labels, measure, provenance, reports, rollup, upsert
+from runlens.functions import sql
 from runlens.plans import inputs, jobs
 from runlens.schemas import DASHBOARD_COLUMNS, EXTRACT, LABELS, METRICS
 from runlens.sources import layout, readers, staging, writers
@@ -130,6 +131,27 @@ def maintained_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, lambda table: folds.maintained_fingerprint(spark, table, totals, EXTRACT.fieldNames()))
 
 
+def sql_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric columns by SQL text alone."""
+    sql.register(spark)
+    inputs.runs(spark, sf_dir).createOrReplaceTempView("runlens_sql_runs")
+    return spark.sql(f"SELECT *, {sql.METRICS_SQL} FROM runlens_sql_runs")
+
+
+def resumed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of runs of which some were answered before, and some with other facts."""
+    extract = measure.decision_extract(inputs.metrics(spark, sf_dir))
+    earlier = extract.where(F.col("freshness_delay_minutes") < 200).withColumn(
+        "status", F.when(F.col("freshness_delay_minutes") % 7 == 0, F.lit("failed")).otherwise(F.col("status")))
+    kept = staging.new_folder(spark, "kept-answers")
+
+    def label(asked: DataFrame) -> DataFrame:
+        return labels.policy_labels(asked, inputs.undisclosed())
+
+    labels.resumed_labels(earlier, label, kept)
+    return labels.resumed_labels(extract, label, kept)[0]
+
+
 def _broken_contract(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Runs, and decisions for them that break the contract in every way."""
     runs = inputs.staged_runs(spark, sf_dir)
@@ -338,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "schema_drift_present": _columns(inputs.metrics, "run_id", "schema_drift_present"),
     "error_present": _columns(inputs.metrics, "run_id", "error_present"),
     "metrics_full": inputs.metrics,
+    "sql_metrics": sql_metrics,
     "metric_record": _of(inputs.metrics, measure.metric_record),
     "decision_extract": _of(inputs.metrics, measure.decision_extract),
     "run_ordinal": _of(inputs.runs, alerts.run_ordinal),
@@ -349,6 +372,7 @@ QUERIES: dict[str, Query] = {
     ),
     "label_job_meta": label_job_meta,
     "recorded_labels": recorded_labels,
+    "resumed_labels": resumed_labels,
     "request_payload": request_payload,
     # contract and join
     "final_analytics": final_analytics,
@@ -373,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "queue_compact": _of(inputs.final, reports.queue_compact),
     "queue_display": _of(inputs.final, reports.queue_display),
     "filtered_runs": filtered_runs,
+    "report_cube": _of(inputs.final, reports.report_cube),
     "runs_preview": _of(inputs.runs, reports.runs_preview),
     "source_profile": _of(broken_runs, reports.source_profile),
     "domain_profile": _of(inputs.runs, reports.domain_profile),
