@@ -375,7 +375,7 @@ class _Classes:
         more = self.scope.stage(few.union(many).distinct(), "more")
         if not _has_rows(more):
             return families
-        return connected_components(near.union(more), self.scope)
+        return connected_components(_stars(families).union(more), self.scope)
 
     def contested(self, families: DataFrame, roots: DataFrame) -> DataFrame:
         """(a, b): links within families of several components, enough to join what is linked."""
@@ -440,6 +440,11 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return nodes.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _stars(roots: DataFrame) -> DataFrame:
+    """Components found before, as the links of their nodes to their root: joining them further takes few rounds."""
+    return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def _has_rows(df: DataFrame) -> bool:
     return len(df.take(1)) > 0
 
@@ -459,7 +464,7 @@ def near_duplicates(docs: DataFrame, second: DataFrame | None = None) -> DataFra
         roots = connected_components(links, scope)
         more = classes.contested(classes.families(buckets, near), roots)
         if _has_rows(more):
-            roots = connected_components(links.union(more), scope)
+            roots = connected_components(_stars(roots).union(more), scope)
         rooted = scope.stage(
             _rooted(classes.table.select("node", "hi", "lo", "n_shingles", "doc_id"), roots), "rooted")
         named = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
