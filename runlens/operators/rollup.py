@@ -1,9 +1,17 @@
-"""Run roll-up: one run per supplier and ship month, built from raw order lines."""
+"""Run roll-up: one run per supplier and ship month, built from raw order lines, at once or as lines arrive."""
+
+import re
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.functions.text import midnight_iso, run_key
+from runlens.operators.contract import ContractError
+from runlens.sources import layout
+from runlens.sources.staging import remove_folder, stage
 
 _SUMS = ["lines", "expected_rows", "actual_rows", "failed_rows", "line_numbers"]
 
@@ -45,8 +53,15 @@ def run_rollup(
     a join is estimated as a product, which would hide that they are small. The second grouping
     merges suppliers that share a name, so that run_id stays unique; it moves pre-summed rows only.
     """
+    return facts_rollup(line_facts(lineitem), supplier, nation, region, rules)
+
+
+def facts_rollup(
+    facts: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame, rules: dict[str, str]
+) -> DataFrame:
+    """:func:`run_rollup` of lines that are summed already, a key and month maybe in several rows."""
     placed = (
-        line_facts(lineitem)
+        facts
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -88,3 +103,50 @@ def unmatched_lines(
     )
     return placed.where(reason.isNotNull()).groupBy(reason.alias("reason")).agg(
         F.sum("lines").alias("lines"), F.sum("expected_rows").alias("quantity"))
+
+
+def _add_facts(facts: DataFrame, batch: str, path: str) -> None:
+    """Record a batch's sums below ``path`` by month, under the batch's id; nothing if the id is there."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
+        raise ValueError(f"batch id {batch!r} cannot name a folder")
+    spark, beside, place = facts.sparkSession, f"{path}/_incoming/{uuid.uuid4().hex}", f"{path}/batch={batch}"
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(Path(place)):
+        return
+    try:
+        facts.repartition("month").write.partitionBy("month").parquet(beside)
+        if not fs.rename(Path(beside), Path(place)):
+            raise ContractError(f"batch {batch} of {path} has been taken by another writer")
+    finally:
+        remove_folder(spark, beside)
+
+
+def merge_lines(
+    lineitem: DataFrame, batch: str, facts_path: str, table: str, supplier: DataFrame, nation: DataFrame,
+    region: DataFrame, rules: dict[str, str], finish: Callable[[DataFrame], DataFrame] = lambda runs: runs,
+) -> int | None:
+    """Add order lines that arrived, late ones included, to the merged run table at ``table``, whose rows then equal
+    ``finish`` of :func:`run_rollup` of all lines so far. Returns what :func:`layout.load_partitioned` does.
+
+    The lines' sums per supplier and month are kept below ``facts_path`` under the id of the batch, so a batch that is
+    delivered again, or repeated after a failure at any step, counts once. Only runs that a line of the batch belongs
+    to are built again, from the sums of their months; other months are not read. Suppliers of one name share
+    their runs, so all of them are reopened. Lines without ship date, and of suppliers without name, make no run here.
+    A supplier that becomes known later counts from the next batch with lines of its month and name."""
+    spark, facts = lineitem.sparkSession, line_facts(lineitem)
+    _add_facts(facts, batch, facts_path)
+    schema = T.StructType([f for f in facts.schema if f.name != "month"]).add("batch", "string").add("month", "date")
+    kept = spark.read.schema(schema).parquet(facts_path)
+    named = supplier.select("s_suppkey", "s_name")
+    mine = kept.where((F.col("batch") == batch) & F.col("month").isNotNull())
+    reopened = mine.join(named, F.col("l_suppkey") == F.col("s_suppkey")).select("s_name", "month").distinct()
+    keys = stage(reopened.join(named, "s_name").select(F.col("s_suppkey").alias("l_suppkey"), "month").distinct(), "reopened")
+    months = [r.month for r in keys.select("month").distinct().collect()]  # calendar months, however many lines
+    again = reopened_facts(kept, months).join(keys, ["l_suppkey", "month"], "left_semi")
+    return layout.load_partitioned(spark, table, finish(facts_rollup(again, supplier, nation, region, rules)))
+
+
+def reopened_facts(kept: DataFrame, months: list) -> DataFrame:
+    """The kept sums of some months, by a filter on the partition column."""
+    return kept.where(F.col("month").isin(months)).drop("batch")

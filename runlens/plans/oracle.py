@@ -432,6 +432,8 @@ def oracle_sql() -> dict[str, str]:
         "dashboard_extract": final + dashboard,
         "dashboard_from_csv": final + dashboard,
         "alert_rows": final + _ALERTS,
+        "alerts_after_load": final + _ALERTS,
+        "rollup_after_lines": runs + all_runs,
         "expectation_report": broken_runs
         + _rule_counts([*_RULES, ("unknown_domain", f"domain not in ({_texts(KNOWN_DOMAINS)})")], "br")
         + " union all select 'duplicate_run_id', count(*) from "
@@ -458,6 +460,7 @@ def oracle_sql() -> dict[str, str]:
             select run_id, domain, run_timestamp[1:10] as run_date, expected_rows, failure_rate
             from metrics where domain = 'asia' and run_timestamp >= '1997' and run_timestamp < '1998'""",
     }
+    sql["reconcile_ranges"] = sql["reconcile_diff"]
     for name in ("failure_rate", "row_count_variance", "duration_variance", "freshness_severity",
                  "schema_drift_present", "error_present"):
         sql[name] = metrics + f"select run_id, {name} from metrics"

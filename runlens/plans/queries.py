@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from runlens.operators import alerts, checks, contract, folds, labels, measure, provenance, reports, rollup, upsert
 from runlens.functions import sql
 from runlens.plans import inputs, jobs
-from runlens.schemas import DASHBOARD_COLUMNS, EXTRACT, LABELS, METRICS
+from runlens.schemas import DASHBOARD_COLUMNS, EXTRACT, LABELS, METRICS, RUNS
 from runlens.sources import layout, readers, staging, writers
 from runlens.streaming import runs as streams
 
@@ -131,6 +131,34 @@ def maintained_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, lambda table: folds.maintained_fingerprint(spark, table, totals, EXTRACT.fieldNames()))
 
 
+def alerts_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts kept up to date while labelled runs are merged: the newer ones first, some with a wrong label and some on
+    a wrong day, then corrections of these and all older runs."""
+    final = staging.stage(inputs.final(spark, sf_dir), "final")
+    table, kept = staging.new_folder(spark, "loaded"), staging.new_folder(spark, "kept-alerts")
+    newer, relabelled, moved = F.col("run_timestamp") >= "1995", inputs.every(7), inputs.every(11)
+    first = final.where(newer).withColumns({
+        "label_decision": F.when(relabelled, F.lit("BLOCK")).otherwise(F.col("label_decision")),
+        "run_timestamp": F.when(moved, F.lit("1994-02-03T00:00:00")).otherwise(F.col("run_timestamp"))})
+    layout.load_partitioned(spark, table, first)
+    alerts.kept_alerts(spark, table, kept)
+    layout.load_partitioned(spark, table, final.where(~newer | relabelled | moved))
+    return alerts.kept_alerts(spark, table, kept)
+
+
+def rollup_after_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs built as order lines arrive: of the newer months some lines, then the older months, then the lines of the
+    newer months that came late, and these once more."""
+    lines, *others = [inputs.table(spark, sf_dir, name) for name in inputs.RAW]
+    facts, table = staging.new_folder(spark, "line-facts"), staging.new_folder(spark, "rolled")
+    newer = F.coalesce(F.col("l_shipdate") >= "1995-01-01", F.lit(False))
+    early = F.coalesce(F.col("l_linenumber") < 5, F.lit(False))
+    late = newer & ~early
+    for batch, part in [("newer", newer & early), ("older", ~newer), ("late", late), ("late", late)]:
+        rollup.merge_lines(lines.where(part), batch, facts, table, *others, inputs.MADE_UP)
+    return layout.read_partitioned(spark, table).select(*RUNS.fieldNames())
+
+
 def sql_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metric columns by SQL text alone."""
     sql.register(spark)
@@ -231,6 +259,14 @@ def reconcile_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.reconcile(final.select(*DASHBOARD_COLUMNS), copy, compared)
 
 
+def reconcile_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same comparison by digests of key ranges, of written tables."""
+    final = inputs.labelled(inputs.staged_runs(spark, sf_dir))
+    stored = staging.stage(final.select(*DASHBOARD_COLUMNS), "dashboard")
+    copy = staging.stage(inputs.drifted(final).where(~inputs.every(89)).select(*DASHBOARD_COLUMNS), "copy")
+    return checks.reconcile_ranges(stored, copy, [c for c in DASHBOARD_COLUMNS if c != "run_id"])
+
+
 def extract_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A drifted extract against the extract recomputed from the runs."""
     runs = inputs.staged_runs(spark, sf_dir)
@@ -415,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "recompute_diff": recompute_diff,
     "extract_diff": extract_diff,
     "reconcile_diff": reconcile_diff,
+    "reconcile_ranges": reconcile_ranges,
     # sources, sinks, layout
     "runs_csv": runs_csv,
     "decisions_json": decisions_json,
@@ -429,6 +466,8 @@ QUERIES: dict[str, Query] = {
     "stream_merge": stream_merge,
     "load_latest": load_latest,
     "daily_after_load": daily_after_load,
+    "alerts_after_load": alerts_after_load,
+    "rollup_after_lines": rollup_after_lines,
     "maintained_fingerprint": maintained_fingerprint,
     "stream_domain_daily": stream_domain_daily,
 }

@@ -119,6 +119,15 @@ def read_partitioned(
     return _data(spark, path, now, wanted)
 
 
+def read_months(spark: SparkSession, path: str, months: DataFrame) -> DataFrame:
+    """Rows of the months whose first days ``months`` (month) holds; only the folders of these are read."""
+    now = state(spark, path)
+    if now is None:
+        raise ContractError(f"no table at {path}")
+    wanted = _partitions(now).withColumn("month", F.trunc("run_date", "month")).join(months, "month", "left_semi")
+    return _data(spark, path, now, wanted.select(*PARTITIONS))
+
+
 def _counted(rows: DataFrame) -> DataFrame:
     """(domain, run_date, rows), written."""
     return stage(rows.groupBy(*PARTITIONS).agg(F.count("*").alias("rows")), "partition-rows")

@@ -1,0 +1,160 @@
+"""What follows arriving rows without reading all of them: kept alerts, the roll-up of late lines, range digests."""
+
+import datetime
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from runlens.operators import alerts, checks, rollup
+from runlens.plans import inputs
+from runlens.schemas import LABELS
+from runlens.sources import layout
+from test_merges import scanned_rows
+from test_metrics import plan
+
+FINAL = "run_id string, pipeline_name string, domain string, run_timestamp string, label_decision string"
+
+
+@pytest.fixture
+def place(tmp_path):
+    return lambda name: str(tmp_path / name)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def some_runs(rnd, ids):
+    return [(f"r{i}", rnd.choice(["p", "p", "q", None]), rnd.choice(["x", "y"]),
+             f"2026-{rnd.choice([1, 2, 4]):02d}-{rnd.choice([1, 9]):02d}T{rnd.randrange(24):02d}:00:00",
+             rnd.choice([*LABELS, None])) for i in ids]
+
+
+def test_kept_alerts_follow_late_corrected_and_moved_runs(spark, place):
+    rnd = random.Random(3)
+    assert alerts.kept_alerts(spark, place("t"), place("k")).count() == 0
+
+    def check():
+        kept = alerts.kept_alerts(spark, place("t"), place("k"))
+        assert rows_of(kept) == rows_of(alerts.alert_rows(layout.read_partitioned(spark, place("t"))))
+        return kept
+
+    for ids in (range(40), [*range(20, 28), *range(60, 70)]):
+        layout.load_partitioned(spark, place("t"), spark.createDataFrame(some_runs(rnd, ids), FINAL))
+        assert check().count() > 5
+    states = os.listdir(place("k") + "/states")
+    check()
+    assert os.listdir(place("k") + "/states") == states  # nothing came, nothing is written
+    layout.write_partitioned(spark.createDataFrame(some_runs(rnd, range(9)), FINAL), place("t"))  # runs go
+    check()
+
+
+def test_a_late_run_changes_the_next_months_first_alert_and_reads_its_own_month(spark, place, monkeypatch):
+    first = [("a", "p", "x", "2026-01-05T00:00:00", "HEALTHY"), ("c", "p", "x", "2026-03-05T00:00:00", "BLOCK"),
+             ("d", "p", "x", "2026-04-05T00:00:00", "BLOCK")]
+    layout.load_partitioned(spark, place("t"), spark.createDataFrame(first, FINAL))
+    assert [r.run_id for r in alerts.kept_alerts(spark, place("t"), place("k")).collect()] == ["c"]
+    read, seen = layout.read_months, []
+
+    def watched(spark, path, months):
+        rows = read(spark, path, months)
+        seen.append((sorted(str(m.month) for m in months.collect()), rows.count()))
+        return rows
+
+    monkeypatch.setattr(layout, "read_months", watched)
+    late = [("b", "p", "x", "2026-02-05T00:00:00", "BLOCK")]
+    layout.load_partitioned(spark, place("t"), spark.createDataFrame(late, FINAL))
+    found = alerts.kept_alerts(spark, place("t"), place("k")).collect()
+    assert [(r.run_id, r.previous_decision, r.alert) for r in found] == [("b", "HEALTHY", "NEWLY_BLOCKED")]
+    assert seen == [(["2026-02-01"], 1)]
+
+
+LINE = "l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate date"
+
+
+def some_lines(rnd, n, months):
+    return [(rnd.choice([1, 1, 1, 2, 3, 9, None]), rnd.randrange(1, 8), float(rnd.randrange(1, 50)), rnd.choice("RAN"),
+             rnd.choice("FO"), datetime.date(1995, rnd.choice(months), rnd.randrange(1, 28))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def places(spark):
+    """Supplier 1 and 2 share a name, and a region; nothing is known of supplier 9."""
+    supplier = spark.createDataFrame([(1, "S#1", 7), (2, "S#1", 8), (3, "S#3", 7)], "s_suppkey long, s_name string, s_nationkey int")
+    nation = spark.createDataFrame([(7, 1), (8, 1)], "n_nationkey int, n_regionkey int")
+    return supplier, nation, spark.createDataFrame([(1, "ASIA")], "r_regionkey int, r_name string")
+
+
+def test_runs_of_late_lines_equal_the_full_rollup(spark, place, places):
+    rnd = random.Random(4)
+    batches = {"b1": some_lines(rnd, 60, [1, 2]), "b2": some_lines(rnd, 40, [3]),
+               "b3": [(2, 1, 5.0, "A", "O", datetime.date(1995, 1, 2))], "b4": [(1, 1, 5.0, "A", "O", None)], "b5": []}
+    seen = []
+    for name, lines in batches.items():
+        seen += lines
+
+        def add(path=place("t")):
+            return rollup.merge_lines(spark.createDataFrame(lines, LINE), name, place("f"), path, *places, inputs.MADE_UP)
+
+        number = add()
+        assert add() is None  # a replay changes nothing
+        assert (number is None) == (name in ("b4", "b5"))
+        dated = [line for line in seen if line[5] is not None]
+        full = rollup.run_rollup(spark.createDataFrame(dated, LINE), *places, inputs.MADE_UP)
+        assert rows_of(layout.read_partitioned(spark, place("t")).select(*full.columns)) == rows_of(full)
+    changed, _ = layout.changes(spark, place("t"), 2)  # one line of supplier 2 reopens the run it shares with supplier 1
+    assert {(r.run_id, r.sign) for r in changed.collect()} == {("s_1_19950101", -1), ("s_1_19950101", 1)}
+
+
+def test_a_merge_of_lines_that_failed_is_made_good_and_reads_touched_months_only(spark, place, places, monkeypatch):
+    lines = [(1, k, 5.0, "A", "O", datetime.date(1995, k, 2)) for k in (1, 2, 3)]
+    late = spark.createDataFrame([(3, 1, 7.0, "A", "O", datetime.date(1995, 2, 3))], LINE)
+
+    def add(rows, name):
+        return rollup.merge_lines(rows, name, place("f"), place("t"), *places, inputs.MADE_UP)
+
+    add(spark.createDataFrame(lines, LINE), "b1")
+    read, plans = rollup.reopened_facts, []
+    monkeypatch.setattr(rollup, "reopened_facts", lambda *a: plans.append(read(*a)) or plans[-1])
+    with monkeypatch.context() as broken:
+        broken.setattr(layout, "load_partitioned", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            add(late, "b2")
+    assert layout.read_partitioned(spark, place("t")).count() == 3
+    add(late, "b2")
+    assert layout.read_partitioned(spark, place("t")).count() == 4
+    filters = next(line for line in plan(plans[-1]).splitlines() if "PartitionFilters" in line)
+    assert "1995-02-01" in filters and "1995-01-01" not in filters
+    assert scanned_rows(plans[-1]) == 2 and os.listdir(place("f") + "/_incoming") == []
+    with pytest.raises(ValueError, match="cannot name a folder"):
+        add(late, "../b3")
+
+
+def test_range_digests_find_what_a_full_comparison_finds(spark):
+    rnd = random.Random(5)
+    left = [(None if i % 97 == 0 else f"k{i}", rnd.choice([None, "", "a", "b"]), rnd.choice([None, "", "a"]), i / 7) for i in range(600)]
+    right = [(k, b, a, v) if i % 50 == 0 else (k, a, b, v + (1e-12 if i % 3 else 0.5 * (i % 101 == 0))) for i, (k, a, b, v) in enumerate(left)]
+    right = right[5:] + [right[9], ("new", None, None, None)]
+    rnd.shuffle(right)
+    sides = [spark.createDataFrame(rows, "run_id string, a string, b string, v double") for rows in (left, right)]
+    want = rows_of(checks.reconcile(*sides, ["a", "b", "v"]))
+    assert len(want) > 15
+    for ranges, levels in ((1, 1), (16, 1), (64, 2)):
+        assert rows_of(checks.reconcile_ranges(*sides, ["a", "b", "v"], ranges=ranges, levels=levels)) == want
+
+
+def test_rows_of_equal_ranges_are_not_joined(spark, place):
+    spark.range(20_000).selectExpr("concat('k', id) AS run_id", "id AS v", "IF(id % 3 = 0, null, 'x') AS w").write.parquet(place("l"))
+    left = spark.read.parquet(place("l"))
+    changed = F.when(F.col("run_id").isin("k7", "k19000"), -1).otherwise(F.col("v")).alias("v")
+    right = left.select("w", changed, "run_id").repartition(5)  # in another order
+    found = checks.unequal_rows(left, right, ["v", "w"])
+    assert [df.count() for df in found] == [2, 2]
+    assert {r.run_id for r in checks.reconcile_ranges(left, right, ["v", "w"]).collect()} == {"k7", "k19000"}
+    assert [df.count() for df in checks.unequal_rows(left, left, ["v", "w"])] == [0, 0]
+    twice = left.unionAll(left.where("run_id = 'k3'"))
+    assert rows_of(checks.reconcile_ranges(left, twice, ["v", "w"])) == [("k3", "rows", "1", "2")]
+    nothing = left.limit(0)
+    assert checks.reconcile_ranges(nothing, nothing, ["v", "w"]).count() == 0
