@@ -38,14 +38,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches over all documents, one of them delivered twice: every document is inserted; every
-    seventh is revised to what a second tokenizer version counts; every eleventh is deleted. So the
-    remainders choose what happens to a document; none is left out."""
-    counted = staging.stage(token_counts.count_tokens(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "token-counts")
-    named = counted.withColumn("tokenizer", F.lit("byte_bpe_50k/1"))
-    again = named.where("doc_id % 7 = 0")
-    revised = token_counts.revisions(again, again.withColumn("tokenizer", F.lit("byte_bpe_50k/2")).withColumn(
-        "n_tokens", F.col("n_tokens") + 1))  # version 2 ends every document with a mark
+    seventh is revised to another tokenizer's counts; every eleventh is deleted. So the remainders choose
+    what happens to a document; none is left out."""
+    docs = table(spark, sf_dir, "documents")
+
+    def counted(rows: DataFrame, file: str) -> DataFrame:
+        counts = token_counts.count_tokens(rows, public_tokenizers.path(file))
+        return staging.stage(counts.withColumn("tokenizer", F.lit(file.partition(".")[0])), "token-counts")
+
+    named = counted(docs, "byte_bpe_50k.json")
+    revised = token_counts.revisions(
+        named.where("doc_id % 7 = 0"), counted(docs.where("doc_id % 7 = 0"), "piece_bpe_32k.model"))
     rollup = token_counts.Rollup(spark, staging.new_folder(spark, "token-rollup"))
     rollup.commit("load", token_counts.inserts(named))
     rollup.commit("revise", revised)

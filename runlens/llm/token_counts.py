@@ -19,14 +19,16 @@ than groups and counts are ignored.
 """
 
 import re
+from collections.abc import Iterator
 from urllib.parse import quote
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runlens.llm import pieces
+from runlens.llm.batches import bounded
 from runlens.llm.byte_bpe import encoder
 from runlens.sources.staging import remove_folder
 
@@ -36,12 +38,22 @@ _SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens l
 
 
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, source, lang, n_tokens) of every whole text."""
-
-    def count(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(ids) for ids in encoder(tokenizer)(pa.array(texts, pa.string()))], dtype=np.int64)
-
-    return docs.select("doc_id", "source", "lang", F.pandas_udf(count, "long")("text").alias("n_tokens"))
+    """(doc_id, source, lang, n_tokens) of every whole text, by the tokenizer in a file: a sentencepiece model
+    (``.model``), or byte-level BPE of the tokenizers library."""
+    kept = ["doc_id", "source", "lang"]
+
+    def encoded(texts: pa.Array) -> Iterator[np.ndarray]:
+        if tokenizer.endswith(".model"):
+            return pieces.model(tokenizer).encode([t or "" for t in texts.to_pylist()])
+        return encoder(tokenizer)(texts)
+
+    def count(batches):
+        for batch in bounded(batches):
+            n = np.fromiter(map(len, encoded(batch.column("text"))), np.int64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(n)], names=[*kept, "n_tokens"])
+
+    kinds = dict(docs.dtypes)
+    return docs.select(*kept, "text").mapInArrow(count, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", n_tokens long")
 
 
 def _signed(counted: DataFrame, sign: int) -> DataFrame:

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from runlens.llm import byte_bpe, packing, pieces, token_counts
+from runlens.llm import byte_bpe, packing, pieces, queries, token_counts
 from runlens.sources.staging import Scope
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -188,3 +188,28 @@ def test_token_counts_of_edge_cases(edge_docs, edge_rows, no_docs):
     got = token_counts.count_tokens(edge_docs, BPE).collect()
     assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((r[0], len(ids_of(r[1]))) for r in edge_rows)
     assert token_counts.count_tokens(no_docs, BPE).count() == 0
+
+
+def test_the_registered_token_counts_equal_plain_counting(spark, sf_dir):
+    """Every document by the first tokenizer, every seventh by the second one instead, every eleventh of the rest gone."""
+    want = Counter()
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "lang", "text").collect():
+        if r.doc_id % 7 == 0:
+            name, n = "piece_bpe_32k", len(PROCESSOR.encode(r.text or ""))
+        elif r.doc_id % 11 == 0:
+            continue
+        else:
+            name, n = "byte_bpe_50k", len(ids_of(r.text))
+        for k, v in (("docs", 1), ("tokens", n)):
+            want[r.source, r.lang, name, k] += v
+    got = queries.op4_token_counts(spark, sf_dir).collect()
+    assert {(r.source, r.lang, r.tokenizer, k): v for r in got for k, v in (("docs", r.n_docs), ("tokens", r.n_tokens))} == want
+
+
+def test_a_batch_of_long_texts_is_counted_in_slices(spark):
+    """Three texts of 3 MB in one batch, so that slices begin within it."""
+    texts = [("Ab cd " * 500_000)[k:] for k in range(3)]
+    docs = spark.createDataFrame([(k, "s", None, t) for k, t in enumerate(texts)], "doc_id long, source string, lang string, text string")
+    for path, count in ((BPE, lambda t: len(ids_of(t))), (PIECES, lambda t: len(PROCESSOR.encode(t)))):
+        got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs.coalesce(1), path).collect()}
+        assert got == {k: count(t) for k, t in enumerate(texts)}
