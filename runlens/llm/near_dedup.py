@@ -54,6 +54,8 @@ FEW = 256
 LISTED = 100 * FEW // THRESHOLD
 #: Sets, and shingles of them, in a block of a family that is compared completely.
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
+#: Texts that a worker sketches at once; its memory follows from both.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 1024
 COLUMNS = 4096
 
 _SKETCH = ("n_shingles long, hi long, lo long, registers binary, few array<long>, "
@@ -139,7 +141,7 @@ def _listed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 def _sketches(batches):
     """(doc_id, xh, text) -> sketch columns."""
-    for batch in bounded(batches):
+    for batch in bounded(batches, most=SLICE_BYTES, rows=SLICE_ROWS):
         values, offsets = shingle_sets(batch.column("text"))
         registers = sketch(values, offsets)
         signature = np.packbits(registers[:, :SIGNATURE_BITS] & 1, axis=1).view(np.int64)
@@ -185,7 +187,7 @@ def _likely(batches):
 
 def _full_sets(batches):
     """(node, hi, lo, text) -> (node, set) where the text has the node's set."""
-    for batch in bounded(batches):
+    for batch in bounded(batches, most=SLICE_BYTES):
         values, offsets = shingle_sets(batch.column("text"))
         rows = []
         for i, (hi, lo) in enumerate(zip(batch.column("hi").to_pylist(), batch.column("lo").to_pylist())):

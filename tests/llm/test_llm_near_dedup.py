@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from runlens.llm import near_dedup
+from runlens.llm.batches import bounded
 from runlens.llm.components import connected_components
 from runlens.llm.shingles import shingle_sets
 from runlens.sources.staging import Scope
@@ -163,3 +164,19 @@ def test_components_of_chains_and_stars(spark):
     with Scope(spark) as scope:
         got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long"), scope).collect()}
     assert got == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(20)}, 200: 200, 201: 200}
+
+
+def test_slices_are_bounded_by_bytes_and_rows_and_leave_the_sketches_alike(monkeypatch):
+    texts = ["a b c d e f", None, "", "x " * 300, "short", *[f"w{i} " * 9 + f"v{i}" for i in range(40)], "y z " * 500]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": list(range(len(texts))), "xh": [0] * len(texts), "text": texts},
+        pa.schema([("doc_id", pa.int64()), ("xh", pa.int64()), ("text", pa.string())]))
+    slices = list(bounded([batch, batch.slice(3, 0), batch.slice(2, 9)], most=100, rows=4))
+    assert pa.Table.from_batches(slices).equals(pa.Table.from_batches([batch, batch.slice(2, 9)]))
+    assert max(s.num_rows for s in slices) <= 4 and min(s.num_rows for s in slices) >= 1
+    assert [s.num_rows for s in bounded([batch], most=1 << 30, rows=20)] == [20, 20, len(texts) - 40]
+    assert [s.num_rows for s in bounded([batch], most=1 << 30)] == [len(texts)]
+    whole = pa.Table.from_batches(near_dedup._sketches([batch])).to_pylist()
+    monkeypatch.setattr(near_dedup, "SLICE_BYTES", 64)
+    monkeypatch.setattr(near_dedup, "SLICE_ROWS", 3)
+    assert pa.Table.from_batches(near_dedup._sketches([batch])).to_pylist() == whole
