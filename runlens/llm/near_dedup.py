@@ -311,22 +311,25 @@ class _Classes:
         def texts(rows: DataFrame) -> DataFrame:
             return rows.select(F.col("doc_id").cast(kind).alias("doc_id"), "text", F.xxhash64("text").alias("xh"))
 
-        def sketches(rows: DataFrame) -> DataFrame:
-            return scope.stage(rows.mapInArrow(_sketches, f"doc_id {kind}, xh long, {_SKETCH}"), "sketches")
-
-        self.docs, self.members = texts(docs), sketches(texts(docs))
-        every, self.seconds = self.members, None
-        if second is not None:
-            self.docs, self.seconds = self.docs.union(texts(second)), sketches(texts(second))
-            every = self.members.union(self.seconds)
+        named = ["doc_id", "xh", "n_shingles", "hi", "lo"]
         signs = [f"s{i}" for i in range(SIGNATURE_BITS // 64)]
-        grouped = every.where("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(
-            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "xh")).alias("rep"),
-            *[F.first(c).alias(c) for c in ["registers", "few", *signs]])
-        self.table = scope.stage(
-            grouped.select(F.monotonically_increasing_id().alias("node"), "hi", "lo", "n_shingles",
-                           F.col("rep.doc_id").alias("doc_id"), F.col("rep.xh").alias("xh"),
-                           "registers", "few", *signs), "classes")
+        with Scope(docs.sparkSession) as drafts:  # of the sketches only the names of sets outlive the classes
+
+            def sketches(rows: DataFrame) -> DataFrame:
+                return drafts.stage(rows.mapInArrow(_sketches, f"doc_id {kind}, xh long, {_SKETCH}"), "sketches")
+
+            self.docs, every, self.seconds = texts(docs), sketches(texts(docs)), None
+            self.members = scope.stage(every.select(named), "members")
+            if second is not None:
+                self.docs, seconds = self.docs.union(texts(second)), sketches(texts(second))
+                self.seconds, every = scope.stage(seconds.select(named), "members"), every.union(seconds)
+            grouped = every.where("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(
+                F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "xh")).alias("rep"),
+                *[F.first(c).alias(c) for c in ["registers", "few", *signs]])
+            self.table = scope.stage(
+                grouped.select(F.monotonically_increasing_id().alias("node"), "hi", "lo", "n_shingles",
+                               F.col("rep.doc_id").alias("doc_id"), F.col("rep.xh").alias("xh"),
+                               "registers", "few", *signs), "classes")
         self.small = self.table.select("node", "n_shingles", "few", *signs)
 
     def bonds(self) -> DataFrame:
