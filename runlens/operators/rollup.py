@@ -57,12 +57,16 @@ def run_rollup(
 
 
 def facts_rollup(
-    facts: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame, rules: dict[str, str]
+    facts: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame, rules: dict[str, str],
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """:func:`run_rollup` of lines that are summed already, a key and month maybe in several rows."""
+    """:func:`run_rollup` of lines that are summed already, a key and month maybe in several rows; of all runs, or of
+    those that ``only`` (s_name, month) names."""
+    supplied = facts.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    if only is not None:
+        supplied = supplied.join(only, ["s_name", "month"], "left_semi")
     placed = (
-        facts
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        supplied
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -140,11 +144,11 @@ def merge_lines(
     kept = spark.read.schema(schema).parquet(facts_path)
     named = supplier.select("s_suppkey", "s_name")
     mine = kept.where((F.col("batch") == batch) & F.col("month").isNotNull())
-    reopened = mine.join(named, F.col("l_suppkey") == F.col("s_suppkey")).select("s_name", "month").distinct()
-    keys = stage(reopened.join(named, "s_name").select(F.col("s_suppkey").alias("l_suppkey"), "month").distinct(), "reopened")
-    months = [r.month for r in keys.select("month").distinct().collect()]  # calendar months, however many lines
-    again = reopened_facts(kept, months).join(keys, ["l_suppkey", "month"], "left_semi")
-    return layout.load_partitioned(spark, table, finish(facts_rollup(again, supplier, nation, region, rules)))
+    reopened = stage(mine.join(named, F.col("l_suppkey") == F.col("s_suppkey")).where("s_name IS NOT NULL").select(
+        "s_name", "month").distinct(), "reopened")
+    months = [r.month for r in reopened.select("month").distinct().collect()]  # calendar months, however many lines
+    again = reopened_facts(kept, months)
+    return layout.load_partitioned(spark, table, finish(facts_rollup(again, supplier, nation, region, rules, reopened)))
 
 
 def reopened_facts(kept: DataFrame, months: list) -> DataFrame:

@@ -19,7 +19,7 @@ import uuid
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,8 @@ PARTITIONS = ["domain", "run_date"]
 PUSHED_KEYS = 1000
 #: Partitions named in a scan's filter; a scan of more joins them instead.
 LISTED_PARTITIONS = 10_000
+#: A batch of at least one in so many of the stored rows is compared with all of them, without looking up its keys first.
+WHOLE = 4
 #: Rows of one file; a partition of more has several.
 FILE_ROWS = 2_000_000
 SIGN = "sign"
@@ -129,8 +131,10 @@ def read_months(spark: SparkSession, path: str, months: DataFrame) -> DataFrame:
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """(domain, run_date, rows), written."""
-    return stage(rows.groupBy(*PARTITIONS).agg(F.count("*").alias("rows")), "partition-rows")
+    """(domain, run_date, rows, changed) of rows with a sign, written: how many rows a partition has after the merge,
+    and how many came or went."""
+    return stage(rows.groupBy(*PARTITIONS).agg(
+        F.count_if(F.col(SIGN) >= 0).alias("rows"), F.count_if(F.col(SIGN) != 0).alias("changed")), "partition-rows")
 
 
 def _write_version(rows: DataFrame, counts: DataFrame, path: str, version: str) -> None:
@@ -160,12 +164,13 @@ def _checked(batch: DataFrame) -> DataFrame:
     return batch
 
 
-def _next(spark: SparkSession, path: str, names: list[str], kept: DataFrame | None, history: DataFrame | None,
-          rows: DataFrame, changes: DataFrame, schema: T.StructType) -> int:
-    """Write a version of ``rows`` and publish it beside the partitions ``kept``."""
+def _next(spark: SparkSession, path: str, names: list[str], counts: DataFrame, kept: DataFrame | None,
+          history: DataFrame | None, rows: DataFrame, changes: DataFrame, schema: T.StructType) -> int:
+    """Write a version of ``rows``, those of the partitions that ``counts`` names, and publish it beside the
+    partitions ``kept``."""
     number = (published(spark, path) or [0])[-1] + 1
     version = f"v{number:012d}-{uuid.uuid4().hex}"
-    counts = _counted(rows)
+    counts = counts.where("rows > 0").select(*PARTITIONS, "rows")
     _write_version(_in_order(rows, names), counts, path, version)
     _write_changes(changes, path, version)
     written = counts.select(
@@ -182,12 +187,13 @@ def write_partitioned(runs: DataFrame, path: str) -> int:
     spark = runs.sparkSession
     rows = _checked(stage(with_run_date(runs), "rows"))
     now = state(spark, path)
-    changes = rows.withColumn(SIGN, F.lit(1))
+    come = rows.withColumn(SIGN, F.lit(1))
+    changes = come
     if now is not None:
         gone = _in_order(_data(spark, path, now), runs.columns).withColumn(SIGN, F.lit(-1))
-        changes = gone.unionByName(changes)
-    return _next(spark, path, runs.columns, None, now.where("kind = 'merge'") if now is not None else None, rows,
-                 changes, runs.schema)
+        changes = gone.unionByName(come)
+    return _next(spark, path, runs.columns, _counted(come), None, now.where("kind = 'merge'") if now is not None else None,
+                 rows, changes, runs.schema)
 
 
 def _has_key(keys: DataFrame) -> Column | None:
@@ -206,6 +212,33 @@ def stored_places(existing: DataFrame, keys: DataFrame) -> DataFrame:
     return found.select(*PARTITIONS).distinct()
 
 
+def _batch(versions: DataFrame, arrival: str) -> DataFrame:
+    """The written batch, one row per run_id. Most batches name a run once: what tells is a count by key, and only
+    if it finds a repeated one, whole rows are moved and sorted by key."""
+    written = stage(versions, "versions")
+    newest = latest_runs(written, arrival)
+    most = written.groupBy("run_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first().n
+    return stage(newest.drop(arrival), "batch") if (most or 0) > 1 else written.drop(arrival)
+
+
+def _compared(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of stored partitions and of a batch with a sign: -1 a stored row that is replaced, 0 one that stays, 1 a row
+    of the batch that is no stored one, once per stored row of its run that differs. They meet in one exchange by key;
+    a run without id equals no other."""
+    columns = sorted(batch.columns)
+    both = stored.select(*columns, F.lit(False).alias("__new")).unionByName(batch.select(*columns, F.lit(True).alias("__new")))
+    new, row = F.col("__new"), F.struct(*columns)
+    run = Window.partitionBy("run_id", "__apart")  # by columns, so that both windows share the exchange
+    met = both.withColumn("__apart", F.when(F.col("run_id").isNull(), new)).withColumns({
+        "__row": F.max(F.when(new, row)).over(run), "__stored": F.count_if(~new).over(run)})
+    differs = ~new & F.col("__row").isNotNull() & ~row.eqNullSafe(F.col("__row"))
+    told = met.withColumn("__differ", F.count_if(differs).over(run)).drop("__row")
+    sign = F.when(new, 1).when(F.col("__differ") > 0, -1).otherwise(0)
+    times = F.when(new & (F.col("__stored") > 0), F.col("__differ")).otherwise(1).cast("int")
+    signed = told.select(*batch.columns, sign.alias(SIGN), times.alias("__times")).where("__times > 0")
+    return signed.withColumn("__times", F.explode(F.array_repeat(F.lit(1), F.col("__times")))).drop("__times")
+
+
 def load_partitioned(spark: SparkSession, path: str, incoming: DataFrame, arrival: str | None = None) -> int | None:
     """Merge a batch into the table at ``path``, which the first batch creates: the rows of the batch, one per
     run_id, replace stored rows of the same run_id, also where these are in another partition. Of several
@@ -214,30 +247,31 @@ def load_partitioned(spark: SparkSession, path: str, incoming: DataFrame, arriva
     versions = with_run_date(incoming)
     if arrival is None:
         versions, arrival = versions.withColumn("__arrival", F.lit(0)), "__arrival"
-    batch = _checked(stage(latest_runs(versions, arrival).drop(arrival), "batch"))
+    batch = _checked(_batch(versions, arrival))
     names = [c for c in incoming.columns if c != arrival]
     schema = incoming.select(*names).schema
     if not batch.take(1):
         return None
+    come = batch.withColumn(SIGN, F.lit(1))
     now = state(spark, path)
     if now is None:
-        return _next(spark, path, names, None, None, batch, batch.withColumn(SIGN, F.lit(1)), schema)
-    existing = _data(spark, path, now)
-    keys = batch.select("run_id")
-    places = stage(batch.select(*PARTITIONS).union(stored_places(existing, keys)).distinct(), "places")
-    stored = stage(_data(spark, path, now, places).join(keys, "run_id", "left_semi"), "stored")
-    old = stored.select("run_id", F.struct(*sorted(batch.columns)).alias("old"))
-    same = F.struct(*sorted(batch.columns)).eqNullSafe(F.col("old"))
-    fresh = stage(batch.join(old, "run_id", "left").where(F.col("old").isNull() | ~same).select(*batch.columns), "fresh")
-    if not fresh.take(1):
+        return _next(spark, path, names, _counted(come), None, None, batch, come, schema)
+    held = now.where("kind = 'partition'").agg(F.sum("rows")).first()[0] or 0
+    existing, keys = _data(spark, path, now), batch.select("run_id")
+    size = keys.count()
+    if size > PUSHED_KEYS and size * WHOLE >= held:  # most partitions hold one of its runs: all are read once, not keys first
+        merged = stage(_compared(existing, batch), "merged")
+    else:
+        found = stage(stored_places(existing, keys), "found")
+        stored = _data(spark, path, now, batch.select(*PARTITIONS).union(found).distinct())
+        merged = stage(_compared(stored, batch), "merged") if found.take(1) else stored.withColumn(
+            SIGN, F.lit(0)).unionByName(come)  # no run of the batch is stored
+    counts = _counted(merged).where("changed > 0")
+    if not counts.take(1):
         return None
-    changed = fresh.select("run_id")
-    gone = stored.join(changed, "run_id", "left_semi")
-    touched = stage(fresh.select(*PARTITIONS).union(gone.select(*PARTITIONS)).distinct(), "touched")
-    stay = _data(spark, path, now, touched).join(changed, "run_id", "left_anti")
-    changes = gone.withColumn(SIGN, F.lit(-1)).unionByName(fresh.withColumn(SIGN, F.lit(1)))
-    kept = now.where("kind = 'partition'").join(touched, PARTITIONS, "left_anti")
-    return _next(spark, path, names, kept, now.where("kind = 'merge'"), stay.unionByName(fresh), changes, schema)
+    kept = now.where("kind = 'partition'").join(counts, PARTITIONS, "left_anti")
+    return _next(spark, path, names, counts, kept, now.where("kind = 'merge'"), merged.where(F.col(SIGN) >= 0),
+                 merged.where(F.col(SIGN) != 0), schema)
 
 
 def upsert_partitioned(spark: SparkSession, path: str, incoming: DataFrame) -> int | None:

@@ -220,3 +220,37 @@ def test_late_rows_of_many_batches_are_all_counted(spark, place):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert late == 4 and spark.read.parquet(place("t")).count() == 2
     assert streams.ARRIVAL not in layout.with_run_date(grid(spark)).columns
+
+
+def test_a_large_batch_meets_the_stored_rows_once(spark, place, monkeypatch):
+    """Rows without a repeated key are not sorted to find the latest, and stored rows are compared in one pass."""
+    monkeypatch.setattr(layout, "PUSHED_KEYS", 1)
+    stage, names = layout.stage, []
+    monkeypatch.setattr(layout, "stage", lambda df, name: names.append(name) or stage(df, name))
+    layout.load_partitioned(spark, place("t"), grid(spark))
+    assert names == ["versions", "partition-rows"]
+    names.clear()
+    layout.load_partitioned(spark, place("t"), grid(spark, actual_rows=3))
+    assert names == ["versions", "merged", "partition-rows"]
+    assert {v[2] for v in stored(spark, place("t")).values()} == {3}
+    assert layout.load_partitioned(spark, place("t"), grid(spark, actual_rows=3)) is None
+    twice = grid(spark, actual_rows=3).unionByName(grid(spark, actual_rows=4))
+    layout.load_partitioned(spark, place("t"), twice)
+    assert {v[2] for v in stored(spark, place("t")).values()} == {4} and len(stored(spark, place("t"))) == 4
+
+
+def test_compared_rows_equal_those_told_by_joins(spark):
+    """Repeated and missing keys on the stored side, missing ones in the batch."""
+    columns = "run_id string, domain string, v int"
+    old = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", "x", 1), ("b", "x", 1), ("c", "x", 1), (None, "x", 1),
+                                 (None, "x", 2), ("d", "x", 1), ("e", "x", None), ("f", "x", 1), ("f", "x", 2)], columns)
+    new = spark.createDataFrame([("a", "x", 1), ("b", "x", 1), ("c", "y", 1), (None, "x", 1), ("e", "x", None), ("f", "x", 3),
+                                 ("g", "x", 1)], columns)
+    pairs = new.join(old.select("run_id", F.struct("domain", "run_id", "v").alias("old")), "run_id", "left")
+    come = pairs.where("old IS NULL OR NOT (struct(domain, run_id, v) <=> old)").drop("old")
+    gone, stay = old.join(come, "run_id", "left_semi"), old.join(come, "run_id", "left_anti")
+    want = [(*r, 1) for r in come.collect()] + [(*r, -1) for r in gone.collect()] + [(*r, 0) for r in stay.collect()]
+    told = layout._compared(old, new)
+    assert plan(told).count("Arguments: hashpartitioning(") == 1
+    same = [("a", "x", 1, 0), ("b", "x", 1, 0), ("e", "x", None, 0)]  # rows of the batch that are stored are none
+    assert sorted(map(tuple, told.collect()), key=repr) == sorted(want, key=repr) and ("b", "x", 1, 0) in want and same[2] in want
