@@ -47,13 +47,17 @@ def _next_state(spark: SparkSession, table: str, changed: DataFrame, before: str
         same = F.col("pipeline_name").eqNullSafe(F.col("__pipeline")) & (F.col("month") == F.col("__month"))
         return rows.join(span, same, kind)
 
-    read = layout.read_months(spark, table, spans.select("month").distinct())
-    rows = touched(read.select(*COLUMNS, month.alias("month")), "left_semi")
+    if before is None:  # all rows of the table are changes
+        rows = layout.read_partitioned(spark, table).select(*COLUMNS, month.alias("month"))
+    else:
+        read = layout.read_months(spark, table, spans.select("month").distinct())
+        rows = touched(read.select(*COLUMNS, month.alias("month")), "left_semi")
+    rows = stage(rows, "touched-runs")  # the sort reads them twice, the marks once
     seen = previous_within(rows.withColumn("__span", F.struct("pipeline_name", "month")), "__span",
                            ["run_timestamp", "run_id"], F.struct(DECISION), "__before")
     # the run before the first one of a month is in another month; its mark tells
     within = _judged(seen.where("__before IS NOT NULL").withColumn(PREVIOUS, F.col("__before")[DECISION]), "month")
-    marks = seen.groupBy("pipeline_name", "month").agg(
+    marks = rows.groupBy("pipeline_name", "month").agg(
         F.max(F.struct("run_timestamp", "run_id", DECISION)).alias("last"),
         F.min(F.struct("run_timestamp", "run_id", "domain", DECISION)).alias("first"))
     if before is not None:

@@ -71,6 +71,16 @@ def test_a_late_run_changes_the_next_months_first_alert_and_reads_its_own_month(
     assert seen == [(["2026-02-01"], 1)]
 
 
+def test_the_first_state_of_alerts_reads_the_table_once(spark, place, monkeypatch):
+    """All its rows are changes: no months are looked up, and the marks do not wait for the sort."""
+    layout.load_partitioned(spark, place("t"), spark.createDataFrame(some_runs(random.Random(6), range(50)), FINAL))
+    want = rows_of(alerts.alert_rows(layout.read_partitioned(spark, place("t"))))
+    monkeypatch.setattr(layout, "read_months", lambda *a: 1 / 0)
+    read, reads = layout.read_partitioned, []
+    monkeypatch.setattr(layout, "read_partitioned", lambda *a: reads.append(a) or read(*a))
+    assert rows_of(alerts.kept_alerts(spark, place("t"), place("k"))) == want and len(reads) == 1
+
+
 LINE = "l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate date"
 
 
@@ -132,6 +142,20 @@ def test_a_merge_of_lines_that_failed_is_made_good_and_reads_touched_months_only
         add(late, "../b3")
 
 
+def test_reopened_runs_are_told_by_name_and_month(spark, place, places, monkeypatch):
+    """Not by each supplier of the name, who may be many; other runs of the month are not built again."""
+    stage, staged = rollup.stage, []
+    monkeypatch.setattr(rollup, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1])
+    load, built = layout.load_partitioned, []
+    monkeypatch.setattr(layout, "load_partitioned", lambda s, t, runs: built.append(rows_of(runs.select("run_id"))) or load(s, t, runs))
+    lines = [(k, 1, 5.0, "A", "O", datetime.date(1995, 1, 2)) for k in (1, 2, 3)]
+    for name, part in (("b1", lines), ("b2", lines[1:2])):
+        rollup.merge_lines(spark.createDataFrame(part, LINE), name, place("f"), place("t"), *places, inputs.MADE_UP)
+    assert rows_of(staged[-1]) == [("S#1", datetime.date(1995, 1, 1))] and built[-1] == [("s_1_19950101",)]
+    assert {r.run_id: r.expected_rows for r in layout.read_partitioned(spark, place("t")).collect()} == {
+        "s_1_19950101": 15, "s_3_19950101": 5}
+
+
 def test_range_digests_find_what_a_full_comparison_finds(spark):
     rnd = random.Random(5)
     left = [(None if i % 97 == 0 else f"k{i}", rnd.choice([None, "", "a", "b"]), rnd.choice([None, "", "a"]), i / 7) for i in range(600)]
