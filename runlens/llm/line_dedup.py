@@ -257,7 +257,8 @@ def dedup_lines(docs: DataFrame, scope: Scope) -> DataFrame:
         *[F.col(f"t.`{c}`") for c in rows.columns if c not in _IDENTITY], F.col("s.spans").alias("removed"))
     lines = F.size(F.split("text", "\n"))
     none = F.col("removed").isNull()
-    cut = F.pandas_udf(_cut, "string")(F.when(~none, F.col("text")), F.col("removed"))
+    # a filter of the cut text stays above the cut: below it, the cut would run once more, in workers of its own
+    cut = F.pandas_udf(_cut, "string").asNondeterministic()(F.when(~none, F.col("text")), F.col("removed"))
     return joined.withColumns({
         "n_lines": F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long"),
         "n_removed_lines": F.coalesce(

@@ -179,6 +179,13 @@ def test_lines_keep_other_columns_and_counts(spark, edge_docs, no_docs):
         assert line_dedup.filter_documents(no_docs, scope).count() == 0
 
 
+def test_texts_are_cut_once(spark, edge_docs):
+    """Not again for the filter that drops what is empty then: each task would hold two Python workers."""
+    with Scope(spark) as scope:
+        left = line_dedup.filter_documents(edge_docs, scope)
+        assert left._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def repeated_words(words):
     grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
     many = Counter(grams)
