@@ -13,7 +13,7 @@
    accidental agreement, is within six standard deviations of the threshold. The deviation is that of
    registers of which some are borrowed, thus equal to others. Members of a bucket that this leaves
    in different families of near pairs are then paired with each other, in buckets of more than ``BLOCK``
-   members each two blocks in one task, so that only what is near becomes a row. So bucket mates that may be
+   members each two blocks that hold different families in one task, so that only what is near becomes a row. So bucket mates that may be
    linked share a family, while groups of near copies cost a multiple of their size only.
 5. Near pairs of larger sets whose estimate from whole registers, corrected for collisions, is not below the
    threshold by six standard deviations are decided on their full sets, computed again from the
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens.llm.batches import MOST_BYTES, bounded
-from runlens.llm.components import connected_components
+from runlens.llm.components import components_of_each, connected_components
 from runlens.llm.shingles import mix, shingle_sets
 from runlens.sources.staging import Scope, stage
 
@@ -359,9 +359,8 @@ class _Classes:
             y, (F.col("b") == F.col("y.node")) & _may_link("x", "y"))
         return self.scope.stage(found.select("a", "b"), "near")
 
-    def families(self, buckets: DataFrame, near: DataFrame) -> DataFrame:
-        """(node, root) of the families, grown until no two bucket mates that are near are apart."""
-        families = connected_components(near, self.scope)
+    def families(self, buckets: DataFrame, families: DataFrame) -> DataFrame:
+        """(node, root) of the families of near pairs, grown until no two bucket mates that are near are apart."""
         placed = self.scope.stage(_rooted(buckets.select("key", "node"), families), "rooted-buckets")
         mixed = placed.groupBy("key").agg(
             F.min("root").alias("l"), F.max("root").alias("h"), F.ceil(F.count("*") / BLOCK).alias("blocks"))
@@ -372,16 +371,36 @@ class _Classes:
         apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (
             F.col("x.root") != F.col("y.root")) & _may_link("x", "y")
         few = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        own, others = F.pmod(F.xxhash64("node"), "blocks"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-        met = placed.where("blocks > 1").select(
-            "key", "node", "root", own.alias("own"), F.explode(others).alias("other")).select(
-            "key", "node", "root", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
-        many = met.join(self.small.hint("merge"), "node").groupBy("key", "one", "two").applyInArrow(_mates, "a long, b long")
-        more = self.scope.stage(few.union(many).distinct(), "more")
+        crowded = self.scope.stage(placed.where("blocks > 1").select("key", "node", "root"), "crowded")
+        pairs = few.union(self.apart_in(crowded)) if _has_rows(crowded) else few
+        more = self.scope.stage(pairs.distinct(), "more")
         if not _has_rows(more):
             return families
         return connected_components(_stars(families).union(more), self.scope)
 
+    def apart_in(self, crowded: DataFrame) -> DataFrame:
+        """(a, b): the pairs of different families that may be linked, of the members (key, node, root) of large
+        buckets. A large family has blocks of its own, which do not meet each other; small ones share blocks."""
+        held = crowded.groupBy("key", "root").agg(F.count("*").alias("c"))
+        large = F.collect_list(F.when(F.col("c") >= BLOCK, F.struct("root", F.ceil(F.col("c") / BLOCK).alias("n"))))
+        small = F.ceil(F.sum(F.when(F.col("c") < BLOCK, F.col("c")).otherwise(0)) / BLOCK)
+        dealt = self.scope.stage(held.groupBy("key").agg(large.alias("large"), small.alias("small")), "dealt")
+        none = F.lit(None).cast("long").alias("of")
+        shared = F.transform(F.filter(F.sequence(F.lit(0).cast("long"), "small"), lambda i: i < F.col("small")),
+                             lambda i: F.struct(none, i.alias("number")))
+        owned = F.flatten(F.transform("large", lambda x: F.transform(
+            F.sequence(F.lit(0).cast("long"), x["n"] - 1),
+            lambda i: F.struct(x["root"].alias("of"), i.alias("number")))))
+        own = F.get(F.filter("large", lambda x: x["root"] == F.col("root")), F.lit(0))["n"]
+        number = F.pmod(F.xxhash64("node"), F.coalesce("own", "small")).alias("number")
+        block = F.struct(F.when(F.col("own").isNotNull(), F.col("root")).alias("of"), number)
+        placed = crowded.join(dealt.hint("merge"), "key").withColumn("own", own).select(
+            "key", "node", "root", block.alias("block"), F.concat(shared, owned).alias("blocks"))
+        apart = F.col("block.of").isNull() | F.col("other.of").isNull() | (F.col("block.of") != F.col("other.of"))
+        met = placed.join(self.small.hint("merge"), "node").withColumn("other", F.explode("blocks")).where(apart)
+        return met.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop(
+            "block", "blocks", "other").groupBy("key", "one", "two").applyInArrow(_mates, "a long, b long")
+
     def contested(self, families: DataFrame, roots: DataFrame) -> DataFrame:
         """(a, b): links within families of several components, enough to join what is linked."""
         member = _rooted(families.withColumnRenamed("root", "family"), roots)
@@ -466,8 +485,8 @@ def near_duplicates(docs: DataFrame, second: DataFrame | None = None) -> DataFra
         links = classes.links(classes.likely(near))
         if second is not None:
             links = links.union(classes.bonds())
-        roots = connected_components(links, scope)
-        more = classes.contested(classes.families(buckets, near), roots)
+        families, roots = components_of_each([near, links], scope)
+        more = classes.contested(classes.families(buckets, families), roots)
         if _has_rows(more):
             roots = connected_components(_stars(roots).union(more), scope)
         rooted = scope.stage(

@@ -87,12 +87,16 @@ class Scope:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self, path: str) -> None:
+        """Remove one of the folders before the end: nothing reads it any more."""
+        remove_folder(self.spark, path)
+        if path in _open:
+            _open.remove(path)
+        self.paths.remove(path)
+
     def close(self) -> None:
-        for path in self.paths:
-            remove_folder(self.spark, path)
-            if path in _open:
-                _open.remove(path)
-        self.paths.clear()
+        for path in list(self.paths):
+            self.remove(path)
 
     def __enter__(self) -> "Scope":
         return self

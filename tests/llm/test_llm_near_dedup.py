@@ -7,7 +7,7 @@ import pytest
 
 from runlens.llm import near_dedup
 from runlens.llm.batches import bounded
-from runlens.llm.components import connected_components
+from runlens.llm.components import components_of_each, connected_components
 from runlens.llm.shingles import shingle_sets
 from runlens.sources.staging import Scope
 
@@ -140,6 +140,26 @@ def test_hot_buckets_are_compared_in_blocks(spark, monkeypatch, shared):
     assert kept["largest"] <= 8  # no larger bucket is joined with itself
 
 
+def test_a_large_family_of_a_hot_bucket_has_blocks_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    passage = " ".join(f"p{i}" for i in range(600))
+    own = [" ".join(f"o{k}x{i}" for i in range(400)) for k in range(20)]
+    rows = [(k, f"{passage} {text}") for k, text in enumerate(own)]
+    rows += [(100 + k, f"{passage} {own[0]} and {k} more") for k in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    original, large = Scope.stage, []
+
+    def stage(self, df, name):
+        table = original(self, df, name)
+        if name == "dealt":
+            large.extend(r.large for r in table.collect())
+        return table
+
+    monkeypatch.setattr(Scope, "stage", stage)
+    assert found(docs) == brute_force(rows)
+    assert max(f.n for bucket in large for f in bucket) == 4  # 25 near copies, which are not compared once more
+
+
 def test_one_row_of_each_component_stays(edge_docs, edge_rows):
     left = near_dedup.filter_documents(edge_docs).collect()
     components = {c for _, n, c in brute_force([(r[0], r[1]) for r in edge_rows]) if n}
@@ -166,6 +186,38 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(20)}, 200: 200, 201: 200}
 
 
+def test_components_of_several_tables_share_their_rounds(spark):
+    tables = [[(i, i + 1) for i in range(9)], [(9, 3), (3, 5), (20, 21)], []]
+    with Scope(spark) as scope:
+        graphs = [spark.createDataFrame(links, "a long, b long") for links in tables]
+        got = [{r.node: r.root for r in found.collect()} for found in components_of_each(graphs, scope)]
+    assert got == [{i: 0 for i in range(10)}, {3: 3, 5: 3, 9: 3, 20: 20, 21: 20}, {}]
+
+
+def test_rounds_of_components_take_few_stages_and_leave_one_table(spark):
+    links = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)]
+    staged, original = [], Scope.stage
+    sc = spark.sparkContext
+
+    class Counting(Scope):
+        def stage(self, df, name):
+            staged.append(name)
+            return original(self, df, name)
+
+    with Counting(spark) as scope:
+        pairs = original(scope, spark.createDataFrame(links, "a long, b long"), "pairs")
+        sc.setJobGroup("rounds-of-components", "")
+        try:
+            connected_components(pairs, scope)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        assert len(scope.paths) == 2  # the pairs and the last round
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("rounds-of-components") for s in tracker.getJobInfo(j).stageIds}
+    ran = [s for s in stages if (info := tracker.getStageInfo(s)) and info.numCompletedTasks]
+    assert len(ran) <= 5 * len(staged) and len(staged) >= 3
+
+
 def test_slices_are_bounded_by_bytes_and_rows_and_leave_the_sketches_alike(monkeypatch):
     texts = ["a b c d e f", None, "", "x " * 300, "short", *[f"w{i} " * 9 + f"v{i}" for i in range(40)], "y z " * 500]
     batch = pa.RecordBatch.from_pydict(
